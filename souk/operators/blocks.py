@@ -39,6 +39,8 @@ def reduce_block_pairs(
     every right row of its key exactly once; pairs exist only inside a task and never as rows.
     """
     keys = list(keys)
+    # fresh column identities, since both sides may come from the same table
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     if keys:
         counts = _block_counts(left, right, keys, left_rows, right_rows)
         left, right = left.join(counts, keys), right.join(counts, keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.student_t import t_p_value
@@ -173,9 +173,11 @@ def seq_guardrail_prefix(
         placed.withColumn("look", first_look).filter(F.col("look").isNotNull())
         .groupBy("variant", "look").agg(moments_of(F.col("metric")).alias("part"))
     )
-    # at most one row per arm and look from here on
-    upto = Window.partitionBy("variant").orderBy("look").rowsBetween(Window.unboundedPreceding, 0)
-    merged = per_look.select("variant", "look", merged_moments(F.collect_list("part").over(upto)).alias("m"))
+    # one row per arm from here on, holding at most one entry per look
+    per_arm = per_look.groupBy("variant").agg(F.collect_list(F.struct("look", "part")).alias("parts"))
+    at_look = per_arm.withColumn("look", F.explode(F.array(*[F.lit(size) for size in looks])))
+    seen = F.filter("parts", lambda p: p["look"] <= F.col("look"))
+    merged = at_look.select("variant", "look", merged_moments(F.transform(seen, lambda p: p["part"])).alias("m"))
     arms = merged.groupBy("look").agg(
         *[F.max(F.when(F.col("variant") == arm, F.col("m"))).alias(tag) for arm, tag in (("control", "c"), ("treatment", "t"))]
     )
