@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Interaction, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor
@@ -50,18 +50,13 @@ def ranker_examples(events: DataFrame, users: DataFrame, items: DataFrame, click
 
 def train_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25) -> DataFrame:
     """``examples`` with ``ctr_pred`` and ``cvr_pred`` from two logistic heads over shared crossed features."""
-    half = [c for c in inputs if c.startswith("user")], [c for c in inputs if not c.startswith("user")]
-    raw = VectorAssembler(inputCols=list(inputs), outputCol="raw").transform(
-        examples.withColumns({c: F.col(c).cast("double") for c in inputs})
-    )
-    scaled = StandardScaler(inputCol="raw", outputCol="plain", withMean=True).fit(raw).transform(raw)
-    scaled = scaled.withColumn("_x", vector_to_array("plain"))
-    sides = scaled.withColumns({
-        "user_side": array_to_vector(F.slice("_x", 1, len(half[0]))),
-        "item_side": array_to_vector(F.slice("_x", len(half[0]) + 1, len(half[1]))),
-    })
-    crossed = Interaction(inputCols=["user_side", "item_side"], outputCol="crosses").transform(sides)
-    shared = VectorAssembler(inputCols=["plain", "crosses"], outputCol="x").transform(crossed)
+    raw = examples.withColumn("raw", array_to_vector(F.array(*[F.col(c).cast("double") for c in inputs])))
+    scaled = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True).fit(raw).transform(raw)
+    plain = scaled.withColumn("plain", vector_to_array("scaled"))
+    of_user = [F.col("plain")[i] for i, c in enumerate(inputs) if c.startswith("user")]
+    of_item = [F.col("plain")[i] for i, c in enumerate(inputs) if not c.startswith("user")]
+    crosses = F.array(*[u * i for u in of_user for i in of_item])
+    shared = plain.withColumn("x", array_to_vector(F.concat("plain", crosses)))
     scored = shared
     for task in ("ctr", "cvr"):
         head = LogisticRegression(featuresCol="x", labelCol=f"{task}_label", maxIter=iterations, regParam=1e-3,
