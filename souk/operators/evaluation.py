@@ -16,7 +16,7 @@ from souk.operators.ordered import running_totals, value_counts
 MAPE_OFFSET = 1e-5
 TEMPERATURE = 0.07
 CVR_LOSS_WEIGHT = 0.5
-PROBABILITY_FLOOR = 1e-12
+LOG_FLOOR = -100.0
 
 
 def forecast_error(df: DataFrame, actual: str = "y", predicted: str = "y_hat", keys: Sequence[str] = ()) -> DataFrame:
@@ -28,9 +28,13 @@ def forecast_error(df: DataFrame, actual: str = "y", predicted: str = "y_hat", k
     )
 
 
+def _safe_log(p: Column) -> Column:
+    """Logarithm limited from below, so that a certain but wrong prediction has a finite loss."""
+    return F.when(p > 0, F.greatest(F.ln(p), F.lit(LOG_FLOOR))).otherwise(F.lit(LOG_FLOOR))
+
+
 def _cross_entropy(label: Column, probability: Column) -> Column:
-    p = F.least(F.greatest(probability, F.lit(PROBABILITY_FLOOR)), F.lit(1 - PROBABILITY_FLOOR))
-    return -(label * F.ln(p) + (F.lit(1.0) - label) * F.ln(F.lit(1.0) - p))
+    return -(label * _safe_log(probability) + (F.lit(1.0) - label) * _safe_log(F.lit(1.0) - probability))
 
 
 def bce_joint_loss(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.vectors import l2_normalize
+from souk.functions.scalars import ltr_features, relevance_label, sigmoid
+from souk.functions.vectors import dot, l2_normalize
 from souk.operators.graph import neighbor_mean
 from souk.operators.lookups import user_item_features
-from souk.functions.scalars import ltr_features, relevance_label
+from souk.session import cut_lineage
 
 # Boosting rounds, learning rate, depth and embedding width.
 ROUNDS, LEARNING_RATE, DEPTH = 30, 0.05, 5
@@ -37,6 +38,28 @@ def train_embeddings(events: DataFrame, weight: Column, dim: int = EMBEDDING_DIM
     return unit(model.userFactors, "query_id"), unit(model.itemFactors, "item_id")
 
 
+def _logistic(rows: DataFrame, label: str, iterations: int) -> LogisticRegressionModel:
+    """Fit on the array column ``x``; inputs are standardised by the fit itself."""
+    vectors = rows.select(F.col(label).cast("double").alias("label"), array_to_vector("x").alias("features"))
+    return LogisticRegression(maxIter=iterations, regParam=1e-3, standardization=True).fit(vectors)
+
+
+def _probability(model: LogisticRegressionModel, x: Column) -> Column:
+    """The model as a Column expression: scoring needs no vector conversion and no model object in tasks."""
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
+    return sigmoid(dot(x, weights) + F.lit(float(model.intercept)))
+
+
+def _standardised(rows: DataFrame, values: Column, into: str) -> DataFrame:
+    """Adds an array of the values with mean 0 and spread 1; a constant value becomes 0."""
+    raw = rows.withColumn("_raw", values)
+    scaler = StandardScaler(inputCol="raw", outputCol="x").fit(raw.select(array_to_vector("_raw").alias("raw")))
+    means = F.array(*[F.lit(float(m)) for m in scaler.mean])
+    scales = F.array(*[F.lit(1.0 / float(s) if s > 0 else 0.0) for s in scaler.std])
+    centred = F.zip_with("_raw", means, lambda v, m: v - m)
+    return raw.withColumn(into, F.zip_with(centred, scales, lambda v, s: v * s)).drop("_raw")
+
+
 CTR_INPUTS = ("user_view_count", "user_purchase_count", "user_conversion_rate", "base_price", "popularity")
 
 
@@ -50,20 +73,15 @@ def ranker_examples(events: DataFrame, users: DataFrame, items: DataFrame, click
 
 def train_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25) -> DataFrame:
     """``examples`` with ``ctr_pred`` and ``cvr_pred`` from two logistic heads over shared crossed features."""
-    raw = examples.withColumn("raw", array_to_vector(F.array(*[F.col(c).cast("double") for c in inputs])))
-    scaled = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True).fit(raw).transform(raw)
-    plain = scaled.withColumn("plain", vector_to_array("scaled"))
-    of_user = [F.col("plain")[i] for i, c in enumerate(inputs) if c.startswith("user")]
-    of_item = [F.col("plain")[i] for i, c in enumerate(inputs) if not c.startswith("user")]
+    examples = cut_lineage(examples)
+    plain = _standardised(examples, F.array(*[F.col(c).cast("double") for c in inputs]), "_plain")
+    of_user = [F.col("_plain")[i] for i, c in enumerate(inputs) if c.startswith("user")]
+    of_item = [F.col("_plain")[i] for i, c in enumerate(inputs) if not c.startswith("user")]
     crosses = F.array(*[u * i for u in of_user for i in of_item])
-    shared = plain.withColumn("x", array_to_vector(F.concat("plain", crosses)))
-    scored = shared
-    for task in ("ctr", "cvr"):
-        head = LogisticRegression(featuresCol="x", labelCol=f"{task}_label", maxIter=iterations, regParam=1e-3,
-                                  probabilityCol=f"{task}_p", predictionCol=f"{task}_c", rawPredictionCol=f"{task}_r")
-        scored = head.fit(shared).transform(scored)
-        scored = scored.withColumn(f"{task}_pred", vector_to_array(f"{task}_p")[1])
-    return scored.select(*examples.columns, "ctr_pred", "cvr_pred")
+    shared = plain.withColumn("x", F.concat("_plain", crosses))
+    heads = {f"{task}_pred": _logistic(shared, f"{task}_label", iterations) for task in ("ctr", "cvr")}
+    scores = {name: _probability(head, F.col("x")) for name, head in heads.items()}
+    return shared.withColumns(scores).select(*examples.columns, *scores)
 
 
 def ltr_examples(events: DataFrame, users: DataFrame, items: DataFrame, grades: dict[str, int]) -> DataFrame:
@@ -76,7 +94,7 @@ def ltr_examples(events: DataFrame, users: DataFrame, items: DataFrame, grades:
 
 def train_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42) -> DataFrame:
     """``examples`` with ``ltr_score`` from gradient-boosted trees on the relevance grade."""
-    rows = examples.withColumn("x", array_to_vector("features"))
+    rows = cut_lineage(examples).withColumn("x", array_to_vector("features"))
     model = GBTRegressor(featuresCol="x", labelCol="relevance", predictionCol="ltr_score", maxIter=rounds,
                          stepSize=rate, maxDepth=depth, seed=seed).fit(rows)
     return model.transform(rows).drop("x")
@@ -86,8 +104,6 @@ def graph_score(nodes: DataFrame, edges: DataFrame, dim: int, iterations: int =
                 features: str = "features", label: str = "label") -> DataFrame:
     """``(node, graph_risk)``: probability from a node's own features beside its neighbours' mean."""
     both = neighbor_mean(nodes, edges, dim, node, features)
-    rows = both.select(node, F.col(label).cast("double").alias("label"),
-                       array_to_vector(F.concat(features, "neighbor_mean")).alias("raw"))
-    scaled = StandardScaler(inputCol="raw", outputCol="x", withMean=True).fit(rows).transform(rows)
-    model = LogisticRegression(featuresCol="x", labelCol="label", maxIter=iterations, regParam=1e-3).fit(scaled)
-    return model.transform(scaled).select(node, vector_to_array("probability")[1].alias("graph_risk"))
+    # the fit scales its inputs itself; it and the scoring read the joined table once more each
+    rows = cut_lineage(both.select(node, label, F.concat(features, "neighbor_mean").alias("x")))
+    return rows.select(node, _probability(_logistic(rows, label, iterations), F.col("x")).alias("graph_risk"))

