@@ -75,10 +75,11 @@ def forest_sample(nodes: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
 
     A first cut keeps the ``trees * sample`` rows of smallest hash, which bounds the work per tree.
     """
-    pool = nodes.select(node, features).orderBy(F.xxhash64(F.lit(seed), F.col(node)), node).limit(trees * sample)
+    pool = nodes.select(node).orderBy(F.xxhash64(F.lit(seed), F.col(node)), node).limit(trees * sample)
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", node), node)
-    return drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample).drop("_r")
+    kept = drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample).select("tree", node)
+    return nodes.select(node, features).join(kept, node)
 
 
 def isolation_forest(nodes: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = 42, node: str = "node_id",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.operators.ordered import quantiles_of, running_totals, value_counts
+from souk.operators.ordered import place, quantiles_of, running_totals, value_counts
 
 # Bins, widening of the outer edges, smallest share, and the retraining threshold.
 PSI_BINS = 10
@@ -33,9 +33,9 @@ def psi(df: DataFrame, is_expected: str, columns: Sequence[str], bins: int = PSI
         melt(df, [is_expected], columns), ["column_name"], "value",
         expected=F.count_if(flag), actual=F.count_if(~flag),
     )
-    running = running_totals(counts, ["column_name"], ["value"], ["expected", "actual"])
+    placed = place(counts, ["column_name"], ["value"])
     probs = [i / bins for i in range(bins + 1)]
-    edges = quantiles_of(running, ["column_name"], "value", "expected", probs)
+    edges = quantiles_of(placed, ["column_name"], "value", "expected", probs)
     margin = F.lit(EDGE_MARGIN)
     widened = edges.select(
         "column_name",
@@ -47,22 +47,25 @@ def psi(df: DataFrame, is_expected: str, columns: Sequence[str], bins: int = PSI
     slot = F.size(F.filter("edges", lambda e: e <= value)) - 1
     inside = (slot >= 0) & (value <= F.element_at("edges", -1))
     binned = (
-        running.join(F.broadcast(widened), "column_name")
+        placed.join(F.broadcast(widened), "column_name")
         .withColumn("bin", F.when(inside, F.least(slot, F.lit(bins - 1))))
-        .groupBy("column_name", "bin").agg(
-            F.sum("expected").alias("expected"), F.sum("actual").alias("actual"),
-            F.max("expected_all").alias("expected_all"), F.max("actual_all").alias("actual_all"),
-        )
+        .groupBy("column_name", "bin").agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
     )
+    per_column = binned.groupBy("column_name").agg(
+        F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("expected", "actual"))).alias("counts"),
+        F.sum("expected").alias("n_expected"), F.sum("actual").alias("n_actual"),
+    )
+
+    def share(part: Column, whole: str) -> Column:
+        return F.least(F.greatest(part / F.nullif(F.col(whole), F.lit(0)), F.lit(SHARE_FLOOR)), F.lit(1.0))
 
-    def share(part: str, whole: str) -> Column:
-        return F.least(F.greatest(F.col(part) / F.nullif(F.col(whole), F.lit(0)), F.lit(SHARE_FLOOR)), F.lit(1.0))
+    def term(counts: Column) -> Column:
+        e, a = share(counts["expected"], "n_expected"), share(counts["actual"], "n_actual")
+        return (a - e) * F.ln(a / e)
 
-    e, a = share("expected", "expected_all"), share("actual", "actual_all")
     # an empty bin on both sides would contribute zero, so absent bins need no rows
-    terms = binned.select("column_name", F.when(F.col("bin").isNotNull(), (a - e) * F.ln(a / e)).alias("term"))
-    total = terms.groupBy("column_name").agg(F.sum("term").alias("psi"))
-    return total.withColumn("retrain", F.col("psi") >= RETRAIN_AT)
+    total = F.aggregate("counts", F.lit(0.0), lambda s, c: s + term(c))
+    return per_column.select("column_name", total.alias("psi")).withColumn("retrain", F.col("psi") >= RETRAIN_AT)
 
 
 def ks_two_sample(df: DataFrame, is_expected: str, value: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.session import cut_lineage
@@ -21,74 +21,83 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, **weights) -> D
     return present.groupBy(*keys, value).agg(*[w.alias(name) for name, w in weights.items()])
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Sequence[str]) -> DataFrame:
-    """Adds ``<c>_run`` (inclusive running sum) and ``<c>_all`` (sum over the key) for each total ``c``.
+def place(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned and written, with its partition number in ``_part``.
 
-    ``keys + order`` must identify a row; aggregate ties first, for instance with ``value_counts``.
+    Range bounds come from a sample, so the placement is fixed by writing it before anything reads it twice.
     """
-    keys, order, totals = list(keys), list(order), list(totals)
-    placed = cut_lineage(
-        df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
-    )
+    return cut_lineage(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+
+
+def _offsets(placed: DataFrame, keys: list[str], totals: list[str]) -> DataFrame:
+    """Per key and partition: the sums of the partitions before it, and over the whole key."""
     parts = placed.groupBy(*keys, "_part").agg(*[F.sum(c).alias(c) for c in totals])
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    offsets = parts.select(
+    return parts.select(
         *keys, "_part",
+        *[F.col(c).alias(f"{c}_here") for c in totals],
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in totals],
         *[F.sum(c).over(whole).alias(f"{c}_all") for c in totals],
     )
+
+
+def running_over(placed: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Running sums over a placed table; see ``running_totals``."""
+    keys, order, totals = list(keys), list(order), list(totals)
     within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     running = placed.select("*", *[F.sum(c).over(within).alias(f"{c}_run") for c in totals])
-    joined = running.join(offsets, [*keys, "_part"])
+    joined = running.join(_offsets(placed, keys, totals), [*keys, "_part"])
     return joined.select(
-        *df.columns,
+        *[c for c in placed.columns if c != "_part"],
         *[(F.col(f"{c}_run") + F.col(f"{c}_before")).alias(f"{c}_run") for c in totals],
         *[F.col(f"{c}_all") for c in totals],
     )
 
 
-def quantiles_of(running: DataFrame, keys: Sequence[str], value: str, count: str, probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, from running value counts: ``(keys, quantiles array)``.
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Adds ``<c>_run`` (inclusive running sum) and ``<c>_all`` (sum over the key) for each total ``c``.
 
-    ``running`` holds ``count``, ``count_run`` and ``count_all`` per distinct value.
+    ``keys + order`` must identify a row; aggregate ties first, for instance with ``value_counts``.
     """
-    run, n = F.col(f"{count}_run"), F.col(f"{count}_all")
+    return running_over(place(df, keys, order), keys, order, totals)
 
-    def rank(p: float):
-        return (n - 1).cast("double") * F.lit(float(p))
-
-    marks = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.floor(rank(p)).alias("low"), F.ceil(rank(p)).alias("high"),
-                     (rank(p) - F.floor(rank(p))).alias("share"))
-            for i, p in enumerate(probs)
-        ]
-    )
 
-    def holds(position):
-        return (position >= run - F.col(count)) & (position < run)
+def quantiles_of(placed: DataFrame, keys: Sequence[str], value: str, count: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation: ``(keys, quantiles array)``.
 
-    hits = running.filter((F.col(count) > 0)).select(
-        *keys, F.col(value).cast("double").alias("_v"), run.alias("_run"), F.col(count).alias("_count"),
-        F.explode(F.filter(marks, lambda m: holds(m["low"]) | holds(m["high"]))).alias("m"),
-    )
-    first = F.col("_run") - F.col("_count")
-
-    def value_at(position):
-        return F.max(F.when((position >= first) & (position < F.col("_run")), F.col("_v")))
-
-    points = hits.groupBy(*keys, F.col("m.i").alias("i")).agg(
-        value_at(F.col("m.low")).alias("a"), value_at(F.col("m.high")).alias("b"), F.max("m.share").alias("share")
+    ``placed`` holds one row per key and distinct value with its ``count``. Partition sums tell which
+    partitions hold a wanted rank; only those, at most two per quantile and key, are sorted and summed.
+    """
+    keys = list(keys)
+    n = F.col(f"{count}_all")
+
+    def mark(i: int, p: float, side: int) -> Column:
+        rank = (n - 1).cast("double") * F.lit(float(p))
+        return F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), (F.ceil(rank) if side else F.floor(rank)).alias("rank"),
+                        (rank - F.floor(rank)).alias("share"))
+
+    marks = F.array(*[mark(i, p, side) for i, p in enumerate(probs) for side in (0, 1)])
+    start, stop = F.col(f"{count}_before"), F.col(f"{count}_before") + F.col(f"{count}_here")
+    holding = _offsets(placed, keys, [count]).select(
+        *keys, "_part", start.alias("_start"),
+        F.filter(marks, lambda m: (m["rank"] >= start) & (m["rank"] < stop)).alias("_marks"),
+    ).filter(F.size("_marks") > 0)
+    within = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    near = placed.filter(F.col(count) > 0).join(holding, [*keys, "_part"]).withColumn(
+        "_stop", F.sum(count).over(within) + F.col("_start")
     )
-    return points.groupBy(*keys).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("q")))),
-            lambda s: s["q"],
-        ).alias("quantiles")
+    first, last = F.col("_stop") - F.col(count), F.col("_stop")
+    hits = near.select(
+        *keys, F.col(value).cast("double").alias("_v"),
+        F.inline(F.filter("_marks", lambda m: (m["rank"] >= first) & (m["rank"] < last))),
     )
+    low, high = (F.max(F.when(F.col("side") == side, F.col("_v"))) for side in (0, 1))
+    points = hits.groupBy(*keys, "i").agg((low + (high - low) * F.max("share")).alias("q"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "q")))
+    return points.groupBy(*keys).agg(F.transform(ordered, lambda s: s["q"]).alias("quantiles"))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     counts = value_counts(df, keys, value, n=F.count(F.lit(1)))
-    return quantiles_of(running_totals(counts, keys, [value], ["n"]), keys, value, "n", probs)
+    return quantiles_of(place(counts, keys, [value]), keys, value, "n", probs)
