@@ -123,7 +123,7 @@ def json_text(value: Column) -> Column:
 
     def escape(ch: Column) -> Column:
         units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
-        out = F.when(ch.rlike("^[ -~]$"), ch).otherwise(F.regexp_replace(units, "(.{4})", r"\\\\u$1"))
+        out = F.when(ch.rlike("^[ -~]$"), ch).otherwise(F.regexp_replace(units, "(.{4})", r"\\u$1"))
         for plain, escaped in escapes.items():
             out = F.when(ch == F.lit(plain), F.lit(escaped)).otherwise(out)
         return out

@@ -74,11 +74,3 @@ def stream_window_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...],
         condition = condition & equal
     rest = [F.col(f"b.{c}") for c in right.columns if c not in keys]
     return a.join(b, condition, "inner").select("a.*", *rest)
-
-
-def ttl_dedup(requests: DataFrame, key: str = "key", ttl: str = "60 seconds", ts: str = "ts") -> DataFrame:
-    """The requests that compute: the first per key, until its entry expires.
-
-    Expiry follows the watermark, so an entry lives at least ``ttl`` of event time.
-    """
-    return with_event_time(requests, ts).withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
