@@ -101,3 +101,12 @@ def quantiles_of(placed: DataFrame, keys: Sequence[str], value: str, count: str,
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     counts = value_counts(df, keys, value, n=F.count(F.lit(1)))
     return quantiles_of(place(counts, keys, [value]), keys, value, "n", probs)
+
+
+def global_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
+    """Adds the 1-based position of each row within its key, for keys of any size.
+
+    ``keys + order`` must identify a row; order is ascending, so negate a score to rank it downwards.
+    """
+    placed = running_totals(df.withColumn("_one", F.lit(1)), keys, order, ["_one"])
+    return placed.withColumn(name, F.col("_one_run").cast("int")).drop("_one", "_one_run", "_one_all")

@@ -2,35 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.scalars import ctr_cvr_score, ltr_linear_score
+from souk.operators.ordered import global_rank
 
 
-def _ranked(df: DataFrame, query: str, score: str, item: str) -> DataFrame:
-    order = Window.partitionBy(query).orderBy(F.desc(score), F.asc(item))
-    return df.withColumn("rank", F.row_number().over(order))
+def rank_rows(df: DataFrame, score: str, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
+    """Adds ``rank`` by falling score; equal scores go to the smaller item id.
 
+    With ``longest``, lists are known to hold at most that many rows and are ranked in one window each.
+    Without it a list may be of any length and is ranked across tasks.
+    """
+    if longest is not None:
+        order = Window.partitionBy(query).orderBy(F.desc(score), F.asc(item))
+        return df.withColumn("rank", F.row_number().over(order))
+    return global_rank(df.withColumn("_falling", -F.col(score)), [query], ["_falling", item]).drop("_falling")
 
-def rank_by_ctr(candidates: DataFrame, query: str = "user_id", item: str = "item_id") -> DataFrame:
-    """Adds ``ctr``, ``cvr`` and ``rank``. Candidate lists are at most k rows per query."""
+
+def score_ctr(candidates: DataFrame) -> DataFrame:
+    """Adds ``ctr`` and ``cvr``."""
     ctr, cvr = ctr_cvr_score(F.col("popularity"), F.col("base_price"), F.col("user_conversion_rate"))
-    return _ranked(candidates.withColumns({"ctr": ctr, "cvr": cvr}), query, "ctr", item)
+    return candidates.withColumns({"ctr": ctr, "cvr": cvr})
+
+
+def score_ltr(candidates: DataFrame) -> DataFrame:
+    """Adds ``ltr_score``."""
+    return candidates.withColumn(
+        "ltr_score", ltr_linear_score(F.col("popularity"), F.col("user_conversion_rate"), F.col("base_price"))
+    )
+
+
+def rank_by_ctr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
+    return rank_rows(score_ctr(candidates), "ctr", query, item, longest)
+
 
+def rank_by_ltr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
+    return rank_rows(score_ltr(candidates), "ltr_score", query, item, longest)
 
-def rank_by_ltr(candidates: DataFrame, query: str = "user_id", item: str = "item_id") -> DataFrame:
-    """Adds ``ltr_score`` and ``rank``."""
-    score = ltr_linear_score(F.col("popularity"), F.col("user_conversion_rate"), F.col("base_price"))
-    return _ranked(candidates.withColumn("ltr_score", score), query, "ltr_score", item)
 
+def cap_per_category(rows: DataFrame, cap: int, *order: Column, query: str = "user_id", category: str = "category") -> DataFrame:
+    """At most ``cap`` items of a category per query, then ranked in ``order``; the cap is the diversity rule itself.
 
-def cap_per_category(ranked: DataFrame, cap: int, query: str = "user_id", category: str = "category",
-                     rank: str = "rank") -> DataFrame:
-    """At most ``cap`` items of a category per query, re-ranked; the cap is the diversity rule itself."""
-    inside = Window.partitionBy(query, category).orderBy(rank)
-    kept = ranked.withColumn("_place", F.row_number().over(inside)).filter(F.col("_place") <= cap).drop("_place")
-    return kept.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(rank)))
+    The cap is applied before the shuffle of a long list, which leaves ``cap`` rows per category to rank.
+    """
+    inside = Window.partitionBy(query, category).orderBy(*order)
+    kept = rows.withColumn("_place", F.row_number().over(inside)).filter(F.col("_place") <= cap).drop("_place")
+    return kept.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(*order)))
 
 
 def dedup_first(lists: DataFrame, query: str, item: str, position: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 
 from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 
+MIN_BITS, MAX_BITS = 4, 24
 SCORE_DIGITS = 9  # scores are rounded here, so that the order of a sum cannot change a rank
 
 
@@ -127,7 +130,7 @@ def knn_lsh(
     k: int,
     dim: int,
     tables: int = 8,
-    bits: int = 6,
+    bits: int | None = None,
     seed: int = 42,
     query_id: str = "query_id",
     query_vec: str = "embedding",
@@ -136,8 +139,11 @@ def knn_lsh(
 ) -> DataFrame:
     """Approximate neighbours: exact search among the items that share a sign code in any of the tables.
 
-    A crowded code is cut into blocks like the exact search, so it costs tasks, never one large task.
+    ``bits`` per code default to what makes a code hold about one index block, so work grows linearly with
+    the index. A crowded code is cut into blocks like the exact search: more tasks, never one large task.
     """
+    if bits is None:
+        bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, index.count()) / RIGHT_ROWS + 1))))
     left, right = _sides(queries, index, query_id, query_vec, item_id, item_vec)
     codes = signature(hyperplanes(dim, tables, bits, seed))
 

@@ -90,8 +90,8 @@ def rank_by_ltr(spark, d):
 
 
 def cap_per_category(spark, d):
-    ranked = ranking.rank_by_ltr(_candidates(spark, d)).select("user_id", "item_id", "category", "rank")
-    return ranking.cap_per_category(ranked, 2).select("user_id", "item_id", "category", "rank")
+    scored = ranking.score_ltr(_candidates(spark, d)).select("user_id", "item_id", "category", "ltr_score")
+    return ranking.cap_per_category(scored, 2, F.desc("ltr_score"), F.asc("item_id")).select("user_id", "item_id", "category", "rank")
 
 
 def batch_recommend(spark, d):
@@ -176,7 +176,8 @@ def champion_challenger(spark, d):
 
 
 def ranking_metrics(spark, d):
-    ranked = ranking.rank_by_ltr(_candidates(spark, d)).select(F.col("user_id").alias("query_id"), "item_id", "rank")
+    scored = ranking.score_ltr(_candidates(spark, d)).select(F.col("user_id").alias("query_id"), "item_id", "ltr_score")
+    ranked = retrieval.topk_per_query(scored, 10, score="ltr_score")
     grade = F.when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "click", 2).when(F.col("event_type") == "view", 1).otherwise(0)
     truth = A.interactions(spark, d).groupBy(F.col("user_id").alias("query_id"), "item_id").agg(F.max(grade).alias("relevance"))
     return _r(evaluation.ranking_metrics(ranked, truth, 10), 6, "recall", "ndcg")

@@ -94,6 +94,13 @@ def test_running_totals_over_a_hot_key(spark, many_parts):
     assert got == {(r.k, r.t): (r.run, r["all"]) for _, r in want.iterrows()}
 
 
+def test_ranks_of_a_long_list_equal_those_of_a_window(spark, many_parts):
+    df = spark.range(500).select(F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 3).alias("user_id"),
+                                 F.col("id").alias("item_id"), (F.col("id") * 31 % 17).cast("double").alias("s"))
+    far, near = (ranking.rank_rows(df, "s", longest=n).collect() for n in (None, 500))
+    assert sorted(map(tuple, far)) == sorted(map(tuple, near))
+
+
 @pytest.mark.parametrize("n", [1, 2, 501])
 def test_quantiles_match_numpy(spark, many_parts, n):
     rng = np.random.default_rng(n)
@@ -167,7 +174,7 @@ def test_dedup_first_and_category_cap(spark):
     lists = spark.createDataFrame([("q", "a", 1), ("q", "b", 2), ("q", "a", 3)], "q string, item string, p int")
     assert sorted((r.item, r.p) for r in ranking.dedup_first(lists, "q", "item", "p").collect()) == [("a", 1), ("b", 2)]
     rows = spark.createDataFrame([(1, i, "c" if i < 4 else "d", i) for i in range(1, 6)], "user_id int, item_id int, category string, rank int")
-    assert [(r["rank"], r.item_id) for r in ranking.cap_per_category(rows, 2).orderBy("rank").collect()] == [(1, 1), (2, 2), (3, 4), (4, 5)]
+    assert [(r["rank"], r.item_id) for r in ranking.cap_per_category(rows.withColumnRenamed("rank", "place"), 2, F.asc("place")).orderBy("rank").collect()] == [(1, 1), (2, 2), (3, 4), (4, 5)]
 
 
 @pytest.mark.parametrize("k", [-5, 0, 101])
