@@ -84,7 +84,6 @@ def stream_window_join(spark, d):
 def ttl_dedup(spark, d):
     """Per endpoint, the requests that are computed when a response lives for an hour."""
     requests = streams.table_stream(spark, d, "events").select(F.concat(F.lit("/"), "event_type").alias("key"), "ts", "event_id")
-    review.use_rocksdb(spark)
     computed = streams.drain_to_table(cache.ttl_dedup(requests, ttl=timedelta(hours=1)), "dedup")
     return computed.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
@@ -108,7 +107,6 @@ def stream_hitl(spark, d):
         item.alias("transaction_id"), F.col("event_id").alias("decision_id"),
         F.when(F.col("user_id") % 3 == 0, "Approved").otherwise("Blocked").alias("action"), F.col("user_id").alias("reviewer_id"), F.col("ts").alias("decided_at")
     )
-    review.use_rocksdb(spark)
     queue = _latest_state(_drained(review.stream_hitl(alerts, decisions), "queue"), "transaction_id")
     return queue.withColumn("alert_at", F.col("alert_at").cast("timestamp_ntz"))
 

@@ -8,7 +8,7 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from souk.streaming.counts import with_event_time
 
@@ -17,38 +17,31 @@ DEFAULT_TTL = timedelta(seconds=60)
 GATEWAY_TTL = timedelta(seconds=30)
 
 
-class FirstPerTtl(StatefulProcessor):
-    """Per key, when the current entry expires. A request at or after that time computes a new one."""
+def _first_per_ttl(ttl: timedelta, ts: str):
+    """Per key, the requests at which no entry is alive; each starts an entry that lives for ``ttl``."""
+    length = int(ttl.total_seconds() * 1_000_000)
 
-    def __init__(self, ttl: timedelta, ts: str) -> None:
-        self.ttl, self.ts = int(ttl.total_seconds() * 1_000_000), ts
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.until = handle.getValueState("until", "until bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
-        at = batch[self.ts].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        until = self.until.get()[0] if self.until.exists() else at[0]
+    def pick(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        batch = pd.concat(list(rows)).sort_values(ts, kind="stable")
+        at = batch[ts].to_numpy(dtype="datetime64[us]").astype(np.int64)
+        until = state.get[0] if state.exists else int(at[0])
         picks = []
         place = int(np.searchsorted(at, until))
         while place < len(at):
             picks.append(place)
-            until = int(at[place]) + self.ttl
+            until = int(at[place]) + length
             place = int(np.searchsorted(at, until))
-        if picks:
-            self.until.update((until,))
-            self.handle.registerTimer(until // 1000 + 1)
-            yield batch.iloc[picks]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.until.exists() and self.until.get()[0] // 1000 < expiredTimerInfo.getExpiryTimeInMs():
-            self.until.clear()
-        return iter(())
+        if until // 1000 > state.getCurrentWatermarkMs():
+            state.update((until,))
+            state.setTimeoutTimestamp(until // 1000 + 1)
+        elif state.exists:
+            state.remove()  # every later request is past this entry
+        yield batch.iloc[picks]
 
-    def close(self) -> None:
-        pass
+    return pick
 
 
 def ttl_dedup(requests: DataFrame, key: str = "key", ttl: timedelta = DEFAULT_TTL, ts: str = "ts",
@@ -56,9 +49,10 @@ def ttl_dedup(requests: DataFrame, key: str = "key", ttl: timedelta = DEFAULT_TT
     """The requests that compute: the first per key, then the first at or after each expiry.
 
     Requests of a key are taken in time order within a micro-batch. State is one number per key, dropped
-    once the watermark passes it. Needs the RocksDB state store (``souk.streaming.review.use_rocksdb``).
+    once the watermark passes it.
     """
     timed = with_event_time(requests, ts).withWatermark(ts, late)
-    return timed.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstPerTtl(ttl, ts), outputStructType=timed.schema, outputMode="Append", timeMode="EventTime"
+    return timed.groupBy(key).applyInPandasWithState(
+        _first_per_ttl(ttl, ts), outputStructType=timed.schema, stateStructType="until bigint", outputMode="Append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from souk.operators.experiments import seq_guardrail
 
 TX = "transaction_id"
 PENDING = "pending"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ALERT, DECISION = 0, 1
 ENTRY = "alert_id string, user_id string, amount double, alert_at timestamp, status string, moderated_by string"
 QUEUE = f"{TX} string, {ENTRY}"
+QUEUE_COLUMNS = [field.split()[0] for field in QUEUE.split(", ")]
 
 
 def stream_guardrail(observations: DataFrame, metric: str = "metric") -> DataFrame:
@@ -27,51 +29,42 @@ def review_events(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Alerts and decisions in one stream; an alert sorts before a decision of the same instant."""
     text, none = "string", F.lit(None)
     a = alerts.select(
-        F.col(TX).cast(text), F.lit(0).alias("kind"), F.col("alert_at").cast("timestamp").alias("at"),
+        F.col(TX).cast(text), F.lit(ALERT).alias("kind"), F.col("alert_at").cast("timestamp").alias("at"),
         F.col("alert_id").cast("bigint").alias("id"), F.col("user_id").cast(text).alias("who"), F.col("amount").cast("double"),
         none.cast(text).alias("action"),
     )
     d = decisions.select(
-        F.col(TX).cast(text), F.lit(1).alias("kind"), F.col("decided_at").cast("timestamp").alias("at"),
+        F.col(TX).cast(text), F.lit(DECISION).alias("kind"), F.col("decided_at").cast("timestamp").alias("at"),
         F.col("decision_id").cast("bigint").alias("id"), F.col("reviewer_id").cast(text).alias("who"), none.cast("double").alias("amount"),
         "action",
     )
     return a.unionByName(d)
 
 
-class ReviewQueue(StatefulProcessor):
+def _review(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """One queue entry per transaction: the latest alert, and the first decision made since."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entry = handle.getValueState("entry", ENTRY)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["at", "kind", "id"])
-        entry = self.entry.get() if self.entry.exists() else None
-        raised = events[events["kind"] == 0]
-        if len(raised):
-            last = raised.iloc[-1]
-            entry = (str(last["id"]), last["who"], float(last["amount"]), last["at"].to_pydatetime(), PENDING, None)
-        if entry is None:
-            return  # a decision on an unknown transaction changes nothing
-        if entry[4] == PENDING:
-            made = events[(events["kind"] == 1) & (events["at"] >= pd.Timestamp(entry[3]))]
-            if len(made):
-                entry = (*entry[:4], made.iloc[0]["action"].lower(), made.iloc[0]["who"])
-        self.entry.update(entry)
-        names = [field.split()[0] for field in QUEUE.split(", ")]
-        yield pd.DataFrame([(key[0], *entry)], columns=names)
-
-    def close(self) -> None:
-        pass
+    chunks = list(rows)
+    events = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    at, kind, ident = (events[c].to_numpy() for c in ("at", "kind", "id"))
+    order = np.lexsort((ident, kind, at))
+    entry, raised = state.getOption, order[kind[order] == ALERT]
+    if len(raised):
+        last = int(raised[-1])
+        when = pd.Timestamp(at[last]).to_pydatetime()
+        entry = (str(ident[last]), events["who"].iat[last], float(events["amount"].iat[last]), when, PENDING, None)
+    if entry is None:
+        return  # a decision on an unknown transaction changes nothing
+    if entry[4] == PENDING:
+        made = order[(kind[order] == DECISION) & (at[order] >= np.datetime64(entry[3]))]
+        if len(made):
+            first = int(made[0])
+            entry = (*entry[:4], events["action"].iat[first].lower(), events["who"].iat[first])
+    state.update(entry)
+    yield pd.DataFrame([(key[0], *entry)], columns=QUEUE_COLUMNS)
 
 
 def stream_hitl(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Queue entries that change in each micro-batch. Needs the RocksDB state store (see ``use_rocksdb``)."""
-    return review_events(alerts, decisions).groupBy(TX).transformWithStateInPandas(
-        statefulProcessor=ReviewQueue(), outputStructType=QUEUE, outputMode="Update", timeMode="None"
+    """Queue entries touched by each micro-batch; state is one entry per transaction."""
+    return review_events(alerts, decisions).groupBy(TX).applyInPandasWithState(
+        _review, outputStructType=QUEUE, stateStructType=ENTRY, outputMode="Update", timeoutConf=GroupStateTimeout.NoTimeout
     )
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

@@ -107,7 +107,6 @@ def test_review_stream_equals_batch_over_many_files(spark, tmp_path):
     d_schema = "transaction_id string, decision_id bigint, action string, reviewer_id string, decided_at timestamp"
     alerts = [[(tx, i, "u", 1.0, at) for at, d, i, tx in events[p:p + 20] if not d] for p in (0, 20, 40)]
     decisions = [[(tx, i, "Blocked" if i % 2 else "Approved", f"r{i}", at) for at, d, i, tx in events[p:p + 20] if d] for p in (0, 20, 40)]
-    review.use_rocksdb(spark)
     out = review.stream_hitl(table_batches(spark, str(tmp_path / "a"), alerts, a_schema), table_batches(spark, str(tmp_path / "d"), decisions, d_schema))
     seen = {}
     streams.drain(out, lambda rows, n: seen.update({r.transaction_id: (r.status, r.moderated_by) for r in rows.collect()}), checkpoint=str(tmp_path / "c"))
@@ -130,7 +129,6 @@ def test_ttl_dedup_computes_again_at_expiry(spark, tmp_path):
     t0 = datetime(2024, 1, 1)
     offsets = [[("a", 0), ("a", 5), ("b", 0), ("a", 60), ("a", 119)], [("a", 90), ("b", 59)], [("a", 120), ("c", 600)], [("a", 1000), ("b", 1000)]]
     batches = [[(k, t0 + timedelta(seconds=s)) for k, s in part] for part in offsets]
-    review.use_rocksdb(spark)
     stream = table_batches(spark, str(tmp_path / "in"), batches, "key string, ts timestamp")
     rows = []
     streams.drain(cache.ttl_dedup(stream), lambda df, n: rows.extend(df.collect()), "append", str(tmp_path / "c"))
