@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.scalars import numeric_cast_default
+
 # Features of ids that were never materialised.
 USER_DEFAULTS = {"user_view_count": 0, "user_purchase_count": 0, "user_conversion_rate": 0.0}
 ITEM_DEFAULTS = {"category": "unknown", "base_price": 0.0, "popularity": 0}
@@ -20,6 +22,22 @@ def cold_start_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFr
     return df.withColumns(filled)
 
 
+def from_online(table: DataFrame, view: str, entity: str, identifier: str, defaults: Mapping[str, object]) -> DataFrame:
+    """Typed features of an online ``(key, features)`` table: text fields as stored, numbers parsed.
+
+    A field that is absent or does not parse takes its default.
+    """
+    prefix = f"fv:{view}:{entity}:"
+    fields = []
+    for name, default in defaults.items():
+        text = F.col("features")[name]
+        value = F.coalesce(text, F.lit(default)) if isinstance(default, str) else numeric_cast_default(text, default)
+        fields.append(value.alias(name))
+    return table.filter(F.col("key").startswith(prefix)).select(
+        F.substring_index("key", ":", -1).alias(identifier), *fields
+    )
+
+
 def _lookup(requests: DataFrame, features: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
     kept = features.select(key, *defaults)
     return cold_start_defaults(requests.join(kept, key, "left"), defaults)

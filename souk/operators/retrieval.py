@@ -69,10 +69,10 @@ def topk_per_query(scored: DataFrame, k: int, query: str = "query_id", item: str
 
 
 def _sides(queries: DataFrame, index: DataFrame, query_id: str, query_vec: str, item_id: str, item_vec: str):
-    return (
-        queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec")),
-        index.select(F.col(item_id).alias("item_id"), F.col(item_vec).alias("item_vec")),
-    )
+    """Both tables under common names; a row without a vector has no neighbours and is nobody's."""
+    left = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec"))
+    right = index.select(F.col(item_id).alias("item_id"), F.col(item_vec).alias("item_vec"))
+    return left.filter(F.col("query_vec").isNotNull()), right.filter(F.col("item_vec").isNotNull())
 
 
 def _result_schema(queries: DataFrame, index: DataFrame) -> str:

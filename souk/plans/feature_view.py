@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from souk.functions.scalars import entity_key, format_feature_map, rate_text, safe_ratio
 from souk.operators.asof import pit_join
 from souk.sources.files import BatchSource, StreamSource, resolve_source
+from souk.sources.streams import stream_source
+from souk.streaming.counts import parse_events, valid_events
 
 # Type tags of feature declarations, and the default lifetime.
 SPARK_TYPES = {"INT32": "int", "INT64": "bigint", "FLOAT": "float", "DOUBLE": "double", "float": "double", "STRING": "string"}
@@ -92,6 +94,13 @@ def materialize(spark: SparkSession, view: FeatureView) -> DataFrame:
     return compile_feature_view(view, resolve_source(spark, view.batch_source))
 
 
+def materialize_stream(spark: SparkSession, view: FeatureView) -> DataFrame:
+    """Compile a view over its stream of JSON payloads; the result is a running aggregate for update mode."""
+    if view.stream_source is None:
+        raise ValueError(f"view {view.name} has no stream source")
+    return compile_feature_view(view, valid_events(parse_events(stream_source(spark, view.stream_source))))
+
+
 def historical_features(view: FeatureView, snapshots: DataFrame, labels: DataFrame, label_ts: str, snapshot_ts: str,
                         tiebreak: str, values: list[str] | None = None) -> DataFrame:
     """Labels with the view's values as they were known at label time, no older than the view's ttl."""

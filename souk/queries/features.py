@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,6 +165,21 @@ def key_scan(spark, d):
     return online.key_scan(_online_table(spark, d), "fv:item_aggregates:item:")
 
 
+def online_lookup(spark, d):
+    """Users' features as serving reads them back: rates carry the four stored decimals."""
+    table = _online_table(spark, d)
+    users = lookups.from_online(table, "user_aggregates", "user", "user_id", {**lookups.USER_DEFAULTS, "user_age": 18})
+    return users.withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+def event_log_days(spark, d):
+    """Three days of the log, read from its daily folders."""
+    path = scratch_path(spark, "event-log")
+    files.write_event_log(A.table(spark, d, "events"), path)
+    days = files.read_event_log(spark, path, date(2024, 1, 10), date(2024, 1, 12))
+    return days.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 6).alias("value"))
+
+
 def user_feature_lookup(spark, d):
     return lookups.user_feature_lookup(requests_of(spark, d).select("pos", "user_id"), users_of(spark, d))
 
@@ -256,7 +271,7 @@ QUERIES = {
     for f in (
         scan_parquet, jsonl_roundtrip, resolve_source, parse_events, valid_events, parse_event_time, user_behavior_aggregates,
         item_aggregates, safe_ratio, compile_feature_view, fv_transformation, entity_counts, format_feature_map, entity_key,
-        online_sink, key_scan, user_feature_lookup, item_feature_lookup, user_item_features, cold_start_defaults,
+        online_sink, key_scan, online_lookup, event_log_days, user_feature_lookup, item_feature_lookup, user_item_features, cold_start_defaults,
         numeric_cast_default, dq_null_rate, dq_between, dq_report, dq_passed, query_group_sizes, sort_by_query, hier_rollup,
         pit_join, lambda_merge,
     )
@@ -303,6 +318,10 @@ ORACLE = {
     "entity_key": f"WITH {INTERACTIONS} SELECT DISTINCT item_id, 'fv:item_aggregates:item:' || item_id AS key FROM interactions",
     "online_sink": f"WITH {INTERACTIONS}, {USERS}, {ITEMS} {_USER_FIELDS} UNION ALL {_ITEM_FIELDS}",
     "key_scan": f"WITH {INTERACTIONS} SELECT DISTINCT 'fv:item_aggregates:item:' || item_id AS key, CAST(item_id AS VARCHAR) AS id FROM interactions",
+    "online_lookup": f"""WITH {USERS} SELECT user_id, CAST(user_view_count AS DOUBLE) AS user_view_count, CAST(user_purchase_count AS DOUBLE) AS user_purchase_count,
+        CAST(printf('%.4f', user_conversion_rate) AS DOUBLE) AS user_conversion_rate, 18.0::DOUBLE AS user_age FROM users""",
+    "event_log_days": """SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events
+        WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY 1, 2""",
     "user_feature_lookup": f"""WITH {REQUESTS}, {USERS} SELECT pos, r.user_id, coalesce(user_view_count, 0) AS user_view_count,
         coalesce(user_purchase_count, 0) AS user_purchase_count, coalesce(user_conversion_rate, 0.0) AS user_conversion_rate
         FROM requests r LEFT JOIN users u ON r.user_id = u.user_id""",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Schema of the interaction log. Prices and categories are absent from the live stream, hence nullable.
@@ -59,6 +61,26 @@ def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
+def write_event_log(events: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
+    """The event log in one folder per day.
+
+    Rows are rebalanced by day before writing: small days share a task, and a very large day is split, so
+    files come out at a useful size either way.
+    """
+    dated = events.withColumn("event_date", F.to_date(ts))
+    dated.hint("rebalance", "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
+
+
+def read_event_log(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Days ``first`` to ``last`` of an event log; other folders are not opened."""
+    log = spark.read.parquet(path)
+    if first is not None:
+        log = log.filter(F.col("event_date") >= F.lit(first))
+    if last is not None:
+        log = log.filter(F.col("event_date") <= F.lit(last))
+    return log
+
+
 def resolve_source(spark: SparkSession, source: BatchSource, schema: T.StructType | None = None) -> DataFrame:
     """The DataFrame behind a batch source.
 

@@ -239,3 +239,21 @@ def test_best_run_uses_the_last_step_and_skips_nan(spark, tmp_path):
     path = str(tmp_path / "runs")
     runs.append_metrics(spark.createDataFrame(rows, runs.RUN_METRICS), path)
     assert tuple(runs.best_run(runs.read_metrics(spark, path), "auc").first()) == ("e", "r2", 0.7)
+
+
+def test_event_log_opens_only_the_days_asked_for(spark, tmp_path):
+    path, start = str(tmp_path / "log"), datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(hours=6 * i)) for i in range(40)]
+    files.write_event_log(spark.createDataFrame(rows, "id int, ts timestamp"), path)
+    some = files.read_event_log(spark, path, start.date() + timedelta(days=2), start.date() + timedelta(days=3))
+    assert sorted(r.id for r in some.collect()) == list(range(8, 16))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and len(os.listdir(path)) >= 10
+
+
+def test_online_table_reads_back_with_defaults(spark):
+    table = spark.createDataFrame([("fv:user_aggregates:user:u1", {"user_view_count": "3", "user_purchase_count": "x"}), ("fv:item_aggregates:item:i1", {"category": "home"})], "key string, features map<string,string>")
+    users = lookups.from_online(table, "user_aggregates", "user", "user_id", lookups.USER_DEFAULTS).collect()
+    assert [tuple(r) for r in users] == [("u1", 3.0, 0.0, 0.0)]
+    items = lookups.from_online(table, "item_aggregates", "item", "item_id", lookups.ITEM_DEFAULTS).collect()
+    assert [tuple(r) for r in items] == [("i1", "home", 0.0, 0.0)]

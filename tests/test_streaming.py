@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from souk.operators import experiments, moderation
+from souk.plans.feature_view import materialize_stream, user_behavior_view
 from souk.sources import online, streams
 from souk.sources.files import StreamSource
 from souk.streaming import cache, counts, review
@@ -55,6 +56,16 @@ def test_user_counts_across_batches(spark, tmp_path):
     assert seen == {"user_100": (1, 1, 1.0), "user_404": (1, 0, 0.0)}
 
 
+def test_a_feature_view_compiles_over_its_stream(spark, tmp_path):
+    folder = text_files(str(tmp_path / "in"), [PAYLOADS[:2], PAYLOADS[2:]])
+    view = user_behavior_view(stream=StreamSource(type="text", path=folder))
+    seen = {}
+    streams.drain(materialize_stream(spark, view), lambda rows, n: seen.update({r.user_id: tuple(r)[1:] for r in rows.collect()}), checkpoint=str(tmp_path / "c"))
+    assert seen == {"user_100": (1, 1, 1.0), "user_404": (1, 0, 0.0), "user_7": (0, 0, 0.0)}
+    with pytest.raises(ValueError):
+        materialize_stream(spark, user_behavior_view())
+
+
 def test_malformed_payload_passes_through(spark):
     df = spark.createDataFrame([(p,) for p in PAYLOADS], "value string")
     rows = counts.parse_events(df).collect()
