@@ -76,7 +76,8 @@ def forest_sample(nodes: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
     A first cut keeps the ``trees * sample`` rows of smallest hash, which bounds the work per tree.
     """
     pool = nodes.select(node).orderBy(F.xxhash64(F.lit(seed), F.col(node)), node).limit(trees * sample)
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    spread = pool.repartition(max(1, trees // 4), node)  # the cut leaves one partition
+    drawn = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", node), node)
     kept = drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample).select("tree", node)
     return nodes.select(node, features).join(kept, node)
@@ -94,7 +95,9 @@ def isolation_forest(nodes: DataFrame, trees: int = TREES, sample: int = SAMPLE,
         rows = np.stack(group.sort_values(node)[features].to_numpy()).astype(float)
         return pd.DataFrame(_grow(tree, rows, seed), columns=[f.split()[0] for f in TREE_SCHEMA.split(", ")])
 
-    grown = forest_sample(nodes, trees, sample, seed, node, features).groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
+    # a few trees per task: the sample is small in bytes but not in work
+    drawn = forest_sample(nodes, trees, sample, seed, node, features).repartition(max(1, trees // 4), "tree")
+    grown = drawn.groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
     forest = grown.toPandas().sort_values(["tree", "node"])
     plans = [part[["feature", "split", "low", "high", "depth"]].to_numpy().T for _, part in forest.groupby("tree")]
     shared = nodes.sparkSession.sparkContext.broadcast(plans)

@@ -44,7 +44,7 @@ def psi(df: DataFrame, is_expected: str, columns: Sequence[str], bins: int = PSI
         ).alias("edges"),
     )
     value = F.col("value")
-    slot = F.size(F.filter("edges", lambda e: e <= value)) - 1
+    slot = sum(((F.col("edges")[i] <= value).cast("int") for i in range(bins + 1)), F.lit(-1))
     inside = (slot >= 0) & (value <= F.element_at("edges", -1))
     binned = (
         placed.join(F.broadcast(widened), "column_name")
