@@ -43,11 +43,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     rounds grows with the logarithm of the longest path. Each round is written by ``checkpoint()``, and the
     driver sees one count. Hot ids cost one row per edge; their labels are pre-aggregated by ``min``.
     """
-    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    both = cut_lineage(
-        pairs.select(F.inline(F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-        .distinct()
-    )
+    pairs = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct()
+    both = cut_lineage(pairs.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))))
     labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(

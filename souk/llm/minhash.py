@@ -8,8 +8,12 @@ Links are confirmed on full sets and none between different texts is lost to the
 
 1. documents with equal sets form a class, and only its smallest id goes on;
 2. in each bucket every class is compared with the bucket's smallest id (a star, so a group of n copies costs n);
-3. in buckets that still hold several components, all classes of different components are compared, in blocks,
-   first by signature and then by full sets. Pairs inside a component need no link of their own.
+3. in buckets that still hold several components, all classes of different components are compared by signature,
+   in blocks; classes that are plausibly similar, directly or in turn, form a cluster;
+4. in each cluster all classes of different components are compared on full sets, again in blocks.
+
+Pairs inside a component need no link of their own. Steps 3 and 4 hand on a spanning forest of the pairs that they
+find in a block, so their output grows with the rows and not with the pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from souk.llm.common import components, map_batches, written
 from souk.llm.words import WordHasher, constants, grams, joined, mixed
 
-#: Permutations; two signature values each. At 48 and four values a band, similarity 0.80 meets in none of the 24 bands
+#: Permutations; two signature values each, of which one byte is kept beside the bands. At 48 and four values a band, similarity 0.80 meets in none of the 24 bands
 #: with probability 3e-6, and 0.85 with 2e-8.
 PERMUTATIONS = 48
 BAND = 4
@@ -33,8 +37,9 @@ BAND = 4
 DEVIATIONS = 5.0
 #: Rows of a bucket or of a star that one comparison block holds.
 BLOCK = 256
-#: Shingles hashed at a time.
+#: Shingles hashed at a time, and columns of a block's table of shingles.
 CHUNK = 1 << 18
+WIDE = 4096
 
 
 def shingle_sets(column: pa.Array, k: int, hasher: WordHasher) -> Iterator[np.ndarray]:
@@ -73,10 +78,10 @@ def signatures(sets: list[np.ndarray], permutations: int) -> np.ndarray:
 
 
 def bands(signature: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of each signature row."""
+    """One 64-bit key per band of each signature row; different bands have different keys."""
     rows, width = signature.shape
     parts = signature.astype(np.uint64).reshape(rows, width // BAND, BAND)
-    return mixed((parts * constants(BAND, 13)).sum(axis=2, dtype=np.uint64))
+    return mixed((parts * constants(BAND, 13)).sum(axis=2, dtype=np.uint64) ^ constants(width // BAND, 31))
 
 
 def least_agreement(percent: int, values: int) -> int:
@@ -100,7 +105,7 @@ def _signed(docs: DataFrame, key: str, text: str, k: int, permutations: int) ->
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two),
-                    pa.array(list(buckets), pa.list_(pa.int64())), pa.array([r.tobytes() for r in signature], pa.binary()),
+                    pa.array(list(buckets), pa.list_(pa.int64())), pa.array([r.tobytes() for r in signature.astype(np.uint8)], pa.binary()),
                 ],
                 ["id", "n", "s1", "s2", "bands", "signature"],
             )
@@ -115,8 +120,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, p
 
     A star's centre ``a`` goes with each block of its ``b``, so that no task holds more than one set and one row.
     """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
-    blocked = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), "_blocks").alias("block"))
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks")).filter("_blocks > 1")
+    blocked = pairs.join(sizes, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("_blocks", F.lit(1))).alias("block"))
     members = blocked.select(F.col("b").alias("id"), "a", "block", F.lit(1).alias("member"))
     centres = blocked.select(F.col("a").alias("id"), "a", "block", F.lit(0).alias("member")).distinct()
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
@@ -144,59 +149,131 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, p
     return rows.repartition("a", "block").sortWithinPartitions("a", "block", "member").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _cross_pairs(members: DataFrame, percent: int, permutations: int) -> DataFrame:
-    """Candidate pairs of different components within buckets, by signature, in blocks of at most ``BLOCK`` rows a side.
+def _cells(rows: DataFrame, key: str) -> DataFrame:
+    """``(key, id, component)`` rows dealt to cells, each of two blocks of about ``BLOCK`` rows.
 
-    ``members``: ``(band_no, band, id, n, component, signature, size)`` with the bucket's size. A bucket of several
-    blocks becomes one cell for each pair of its blocks.
+    Rows of a key's largest component need no comparison among themselves, so one block of a cell holds rows of
+    other components, and a component of any size with s rows beside it costs s times its size and not its square.
     """
-    least = least_agreement(percent, 2 * permutations)
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), n_blocks).cast("int")
-    cells = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1))).select(
-        "band_no", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "n", "component", "signature"
+    parts = rows.groupBy(key, "component").agg(F.count("*").alias("size"))
+    shapes = parts.groupBy(key).agg(
+        F.max_by("component", F.struct("size", "component")).alias("major"), F.max("size").alias("majors"), F.sum("size").alias("size")
+    ).filter("size > majors").select(
+        key, "major", F.ceil((F.col("size") - F.col("majors")) / BLOCK).cast("int").alias("nm"), F.ceil(F.col("majors") / BLOCK).cast("int").alias("nb")
     )
+    code = F.xxhash64("id")
+    own = F.when(F.col("component") == F.col("major"), F.col("nm") + F.pmod(code, "nb")).otherwise(F.pmod(code, "nm")).cast("int")
+    last = F.when(F.col("own") >= F.col("nm"), F.col("nm")).otherwise(F.col("nm") + F.col("nb")) - 1
+    dealt = rows.join(shapes, key).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other", "major", "nm", "nb")
 
-    def pairs_in(cell: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        left = np.flatnonzero(cell["own"] == cell["x"][0])
-        right = np.flatnonzero(cell["own"] == cell["y"][0])
-        signature = np.stack([np.frombuffer(s, np.uint32) for s in cell["signature"]])
-        apart = cell["component"][left][:, None] != cell["component"][right][None, :]
-        apart &= cell["id"][left][:, None] != cell["id"][right][None, :]
-        small = np.minimum(cell["n"][left][:, None], cell["n"][right][None, :])
-        large = np.maximum(cell["n"][left][:, None], cell["n"][right][None, :])
-        i, j = np.nonzero(apart & (100 * small >= percent * large))
-        agree = np.concatenate(
-            [(signature[left[i[s : s + 8192]]] == signature[right[j[s : s + 8192]]]).sum(axis=1) for s in range(0, len(i), 8192)] or [np.empty(0)]
-        )
-        i, j = i[agree >= least], j[agree >= least]
-        one, two = cell["id"][left[i]], cell["id"][right[j]]
-        return np.minimum(one, two), np.maximum(one, two)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+def _by_cell(cells: DataFrame, key: str, start) -> DataFrame:
+    """Edges ``(a, b)`` that a function finds in each cell; ``start`` makes one such function per task."""
+    names = [key, "x", "y"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, held = start(), None
         for batch in batches:
             table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            columns = {c: table.column(c).to_numpy() for c in table.column_names}
-            names = ("band_no", "band", "x", "y")
             new = np.ones(table.num_rows, bool)
-            new[1:] = np.logical_or.reduce([columns[c][1:] != columns[c][:-1] for c in names])
-            starts = np.flatnonzero(new)
-            found = [pairs_in({c: v[a:b] for c, v in columns.items()}) for a, b in zip(starts[:-1], starts[1:])]
-            held = table.slice(starts[-1]).to_batches()[0]
-            yield _pair_batch(found)
+            columns = [table.column(c).to_numpy() for c in names]
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+            starts = np.flatnonzero(new).tolist()
+            if len(starts) > 1:
+                yield _edge_batch([find(table.slice(a, b - a)) for a, b in zip(starts[:-1], starts[1:])])
+            held = table.slice(starts[-1]).combine_chunks().to_batches()[0]
         if held is not None:
-            yield _pair_batch([pairs_in({c: held.column(c).to_numpy(zero_copy_only=False) for c in held.schema.names})])
+            yield _edge_batch([find(pa.Table.from_batches([held]))])
 
-    cut = cells.repartition("band_no", "band", "x", "y").sortWithinPartitions("band_no", "band", "x", "y")
-    return cut.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a bigint, b bigint")
 
 
-def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _edge_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     arrays = [pa.array(joined((f[i] for f in found), np.int64).astype(np.int64)) for i in range(2)]
     return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
 
+def _forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each id to the smallest that the pairs (i, j) of rows connect it with."""
+    rank = np.argsort(np.argsort(ids, kind="stable"))
+    by_rank = np.sort(ids, kind="stable")
+    label, i, j = np.arange(len(ids)), rank[i], rank[j]
+    while True:
+        before = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    own = np.flatnonzero(label != np.arange(len(ids)))
+    return by_rank[label[own]], by_rank[own]
+
+
+def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    own = cell.column("own").to_numpy()
+    return np.flatnonzero(own == cell.column("x")[0].as_py()), np.flatnonzero(own == cell.column("y")[0].as_py())
+
+
+def _apart(cell: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs of different components, which also leaves out a row and itself."""
+    component = cell.column("component").to_numpy()
+    return component[left][:, None] != component[right][None, :]
+
+
+def _plausible(members: DataFrame, percent: int, permutations: int) -> DataFrame:
+    """Edges within buckets that connect all classes of different components whose signatures may belong to a link."""
+    least = least_agreement(percent, 2 * permutations)
+
+    def find(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        left, right = _sides(cell)
+        n = cell.column("n").to_numpy()
+        signature = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint8).reshape(cell.num_rows, -1)
+        small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
+        i, j = np.nonzero(_apart(cell, left, right) & (100 * small >= percent * large))
+        parts = [slice(s, s + 8192) for s in range(0, len(i), 8192)]
+        agree = joined(((signature[left[i[p]]] == signature[right[j[p]]]).sum(axis=1) for p in parts), np.int64)
+        near = agree >= least
+        return _forest(cell.column("id").to_numpy(), left[i[near]], right[j[near]])
+
+    cells = _cells(members, "band").select("band", "x", "y", "own", "id", "n", "component", "signature")
+    return _by_cell(cells, "band", lambda: find)
+
+
+def _linked(clusters: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """Edges between different components of each cluster that are links on full sets, as forests of the blocks."""
+    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    cells = _cells(clusters, "cluster").join(texts, "id").select("cluster", "x", "y", "own", "id", "component", "text")
+
+    def start():
+        hasher = WordHasher(fold=True)
+
+        def find(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            left, right = _sides(cell)
+            sets = list(shingle_sets(cell.column("text").combine_chunks(), k, hasher))
+            sizes = np.array([len(s) for s in sets])
+            values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            row = np.repeat(np.arange(len(sets)), sizes)
+            shared = count[column] > 1
+            column, row = (np.cumsum(count > 1) - 1)[column[shared]], row[shared]
+            order = np.argsort(column, kind="stable")
+            column, row = column[order], row[order]
+            both = np.zeros((len(left), len(right)), np.float32)
+            for s in range(0, int(column[-1]) + 1 if len(column) else 0, WIDE):
+                a, b = np.searchsorted(column, [s, s + WIDE])
+                holds = np.zeros((len(sets), WIDE), np.float32)
+                holds[row[a:b], column[a:b] - s] = 1
+                both += holds[left] @ holds[right].T
+            union = sizes[left][:, None] + sizes[right][None, :] - both
+            i, j = np.nonzero(_apart(cell, left, right) & (100 * both >= percent * union) & (union > 0))
+            return _forest(cell.column("id").to_numpy(), left[i], right[j])
+
+        return find
+
+    return _by_cell(cells, "cluster", start)
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, permutations: int = PERMUTATIONS
 ) -> DataFrame:
@@ -212,23 +289,24 @@ def near_duplicates(
     classes = written(
         filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes"
     )
-    buckets = classes.select("id", "n", F.posexplode("bands").alias("band_no", "band"))
-    hubs = buckets.groupBy("band_no", "band").agg(F.min("id").alias("a"), F.count("*").alias("size")).filter("size > 1")
-    stars = buckets.join(hubs, ["band_no", "band"]).filter("id <> a").join(
-        classes.select(F.col("id").alias("a"), F.col("n").alias("hub_n")), "a"
+    buckets = classes.select("id", F.explode("bands").alias("band"))
+    hubs = buckets.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("size")).filter("size > 1")
+    shared = written(buckets.join(hubs, "band"), "buckets")
+    sizes = classes.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    stars = shared.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    sized = stars.join(sizes.withColumnRenamed("id", "b"), "b").join(
+        sizes.select(F.col("id").alias("a"), F.col("low").alias("hub_low"), F.col("high").alias("hub_high")), "a"
     )
-    fits = F.expr(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-    tried = written(stars.filter(fits).select("a", F.col("id").alias("b")).distinct(), "stars")
-    links = written(_confirmed(tried, docs, key, text, k, percent), "links")
+    fits = F.expr(f"100 * least(high, hub_high) >= {percent} * greatest(low, hub_low)")
+    links = written(_confirmed(sized.filter(fits).select("a", "b"), docs, key, text, k, percent), "links")
     first = components(links)
 
-    large = hubs.filter("size > 2").select("band_no", "band")
-    named = buckets.join(large, ["band_no", "band"]).join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = named.groupBy("band_no", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    open_ = named.join(split.filter("low <> high").select("band_no", "band", "size"), ["band_no", "band"])
-    members = open_.join(classes.select("id", "signature"), "id").select("band_no", "band", "id", "n", "component", "signature", "size")
-    rest = _cross_pairs(members, percent, permutations).join(tried, ["a", "b"], "left_anti")
-    more = written(_confirmed(written(rest, "rest"), docs, key, text, k, percent), "more")
+    named = shared.filter("size > 2").join(first, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+    split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
+    open_ = named.join(split, "band").join(classes.select("id", "n", "signature"), "id")
+    plausible = components(_plausible(open_, percent, permutations)).withColumnRenamed("component", "cluster")
+    clusters = plausible.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    more = written(_linked(clusters, docs, key, text, k, percent), "more")
 
     sames = filled.join(classes.select("n", "s1", "s2", F.col("id").alias("a")), ["n", "s1", "s2"]).filter("id <> a").select("a", F.col("id").alias("b"))
     found = components(links.unionByName(more).unionByName(sames))
