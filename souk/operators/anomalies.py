@@ -73,12 +73,18 @@ def forest_sample(nodes: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
                   features: str = "features") -> DataFrame:
     """``sample`` rows for each tree, chosen by hash rank so that partitioning cannot change them.
 
-    A first cut keeps the ``trees * sample`` rows of smallest hash, which bounds the work per tree.
+    Every tree draws from all nodes by hashes of its own. Only hashes below a threshold that lets about twice the
+    sample through are kept before rows multiply, so the work per tree is bounded and no node is out of reach.
     """
-    pool = nodes.select(node).orderBy(F.xxhash64(F.lit(seed), F.col(node)), node).limit(trees * sample)
-    spread = pool.repartition(max(1, trees // 4), node)  # the cut leaves one partition
-    drawn = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", node), node)
+    share = min(1.0, (2 * sample + 64) / max(1, nodes.count()))
+
+    def code(tree):
+        return F.xxhash64(F.lit(seed), tree, F.col(node))
+
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    passing = F.filter(every, lambda t: F.pmod(code(t), F.lit(1 << 40)) < int(share * (1 << 40)))
+    drawn = nodes.select(node, F.explode(passing).alias("tree"))
+    order = Window.partitionBy("tree").orderBy(F.pmod(code(F.col("tree")), F.lit(1 << 40)), node)
     kept = drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample).select("tree", node)
     return nodes.select(node, features).join(kept, node)
 

@@ -166,16 +166,16 @@ def seq_guardrail_prefix(
     placed = running_totals(
         df.select("variant", *order, F.col(metric).alias("metric"), F.lit(1).alias("one")), ["variant"], order, ["one"]
     )
-    first_look = F.lit(None).cast("int")
+    first_look = F.lit(None).cast("bigint")
     for size in reversed(looks):
-        first_look = F.when(F.col("one_run") <= size, F.lit(size)).otherwise(first_look)
+        first_look = F.when(F.col("one_run") <= size, F.lit(size).cast("bigint")).otherwise(first_look)
     per_look = (
         placed.withColumn("look", first_look).filter(F.col("look").isNotNull())
         .groupBy("variant", "look").agg(moments_of(F.col("metric")).alias("part"))
     )
     # one row per arm from here on, holding at most one entry per look
     per_arm = per_look.groupBy("variant").agg(F.collect_list(F.struct("look", "part")).alias("parts"))
-    at_look = per_arm.withColumn("look", F.explode(F.array(*[F.lit(size) for size in looks])))
+    at_look = per_arm.withColumn("look", F.explode(F.array(*[F.lit(size).cast("bigint") for size in looks])))
     seen = F.filter("parts", lambda p: p["look"] <= F.col("look"))
     merged = at_look.select("variant", "look", merged_moments(F.transform(seen, lambda p: p["part"])).alias("m"))
     arms = merged.groupBy("look").agg(

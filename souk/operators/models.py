@@ -102,8 +102,13 @@ def train_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_
 
 def graph_score(nodes: DataFrame, edges: DataFrame, dim: int, iterations: int = 25, node: str = "node_id",
                 features: str = "features", label: str = "label") -> DataFrame:
-    """``(node, graph_risk)``: probability from a node's own features beside its neighbours' mean."""
-    both = neighbor_mean(nodes, edges, dim, node, features)
+    """``(node, graph_risk)``: probability from a node's own features beside its neighbours' mean over ``edges``."""
+    return neighborhood_score(neighbor_mean(nodes, edges, dim, node, features), iterations, node, features, label)
+
+
+def neighborhood_score(both: DataFrame, iterations: int = 25, node: str = "node_id", features: str = "features",
+                       label: str = "label") -> DataFrame:
+    """``graph_score`` of nodes that already have their ``neighbor_mean``, for instance from ``shared_attr_mean``."""
     # the fit scales its inputs itself; it and the scoring read the joined table once more each
     rows = cut_lineage(both.select(node, label, F.concat(features, "neighbor_mean").alias("x")))
     return rows.select(node, _probability(_logistic(rows, label, iterations), F.col("x")).alias("graph_risk"))

@@ -9,16 +9,17 @@ from souk.functions.scalars import ctr_cvr_score, ltr_linear_score
 from souk.operators.ordered import global_rank
 
 
-def rank_rows(df: DataFrame, score: str, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
-    """Adds ``rank`` by falling score; equal scores go to the smaller item id.
+def rank_rows(df: DataFrame, score: str, query: str = "user_id", item: str = "item_id", bounded: bool = False) -> DataFrame:
+    """Adds ``rank`` by falling score, null scores last; equal scores go to the smaller item id.
 
-    With ``longest``, lists are known to hold at most that many rows and are ranked in one window each.
-    Without it a list may be of any length and is ranked across tasks.
+    If lists are ``bounded`` in length, each is ranked in one window. Otherwise a list may be of any length and is
+    ranked across tasks.
     """
-    if longest is not None:
-        order = Window.partitionBy(query).orderBy(F.desc(score), F.asc(item))
+    if bounded:
+        order = Window.partitionBy(query).orderBy(F.desc_nulls_last(score), F.asc(item))
         return df.withColumn("rank", F.row_number().over(order))
-    return global_rank(df.withColumn("_falling", -F.col(score)), [query], ["_falling", item]).drop("_falling")
+    keyed = df.withColumns({"_missing": F.col(score).isNull(), "_falling": -F.col(score)})
+    return global_rank(keyed, [query], ["_missing", "_falling", item]).drop("_missing", "_falling")
 
 
 def score_ctr(candidates: DataFrame) -> DataFrame:
@@ -34,12 +35,12 @@ def score_ltr(candidates: DataFrame) -> DataFrame:
     )
 
 
-def rank_by_ctr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
-    return rank_rows(score_ctr(candidates), "ctr", query, item, longest)
+def rank_by_ctr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", bounded: bool = False) -> DataFrame:
+    return rank_rows(score_ctr(candidates), "ctr", query, item, bounded)
 
 
-def rank_by_ltr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", longest: int | None = None) -> DataFrame:
-    return rank_rows(score_ltr(candidates), "ltr_score", query, item, longest)
+def rank_by_ltr(candidates: DataFrame, query: str = "user_id", item: str = "item_id", bounded: bool = False) -> DataFrame:
+    return rank_rows(score_ltr(candidates), "ltr_score", query, item, bounded)
 
 
 def cap_per_category(rows: DataFrame, cap: int, *order: Column, query: str = "user_id", category: str = "category") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 
-MIN_BITS, MAX_BITS = 4, 24
+# Fixed parameters of the hashed search, whatever the index holds: bits per code, and flipped bits per probed code.
+BITS, FLIPS = 6, 1
 SCORE_DIGITS = 9  # scores are rounded here, so that the order of a sum cannot change a rank
 
 
@@ -130,28 +131,30 @@ def knn_lsh(
     k: int,
     dim: int,
     tables: int = 8,
-    bits: int | None = None,
+    bits: int = BITS,
+    flips: int = FLIPS,
     seed: int = 42,
     query_id: str = "query_id",
     query_vec: str = "embedding",
     item_id: str = "item_id",
     item_vec: str = "embedding",
 ) -> DataFrame:
-    """Approximate neighbours: exact search among the items that share a sign code in any of the tables.
+    """Approximate neighbours: exact search among the items whose sign code is near the query's in any of the tables.
 
-    ``bits`` per code default to what makes a code hold about one index block, so work grows linearly with
-    the index. A crowded code is cut into blocks like the exact search: more tasks, never one large task.
+    A query looks up its own code and those with up to ``flips`` other bits. More bits make codes smaller, more flips
+    and tables raise recall; none of them depends on the size of the index. A crowded code is cut into blocks like
+    the exact search: more tasks, never one large task.
     """
-    if bits is None:
-        bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, index.count()) / RIGHT_ROWS + 1))))
+    masks = [sum(1 << b for b in chosen) for n in range(flips + 1) for chosen in itertools.combinations(range(bits), n)]
     left, right = _sides(queries, index, query_id, query_vec, item_id, item_vec)
     codes = signature(hyperplanes(dim, tables, bits, seed))
 
     def hashed(df: DataFrame, vector: str) -> DataFrame:
         return df.select("*", F.posexplode(codes(vector)).alias("lsh_table", "lsh_code"))
 
+    probes = F.explode(F.array(*[F.col("lsh_code").bitwiseXOR(F.lit(m).cast("bigint")) for m in masks]))
     partial = reduce_block_pairs(
-        hashed(left, "query_vec"), hashed(right, "item_vec"), ["lsh_table", "lsh_code"], "query_id", "item_id",
+        hashed(left, "query_vec").withColumn("lsh_code", probes), hashed(right, "item_vec"), ["lsh_table", "lsh_code"], "query_id", "item_id",
         _block_topk(k), _result_schema(left, right),
     )
     return topk_per_query(partial.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)

@@ -29,7 +29,7 @@ def batch_recommend(user_vectors: DataFrame, item_vectors: DataFrame, users: Dat
     """``(user_id, rank, item_id, ctr, cvr)``: the k nearest items of every user, ordered by click probability."""
     _check(k, RECOMMEND_MAX)
     candidates = user_item_features(_candidates(user_vectors, item_vectors, k), users, items)
-    return rank_by_ctr(candidates, longest=k).select("user_id", "rank", "item_id", "ctr", "cvr")
+    return rank_by_ctr(candidates, bounded=True).select("user_id", "rank", "item_id", "ctr", "cvr")
 
 
 def batch_search(user_vectors: DataFrame, item_vectors: DataFrame, users: DataFrame, items: DataFrame,
@@ -37,7 +37,7 @@ def batch_search(user_vectors: DataFrame, item_vectors: DataFrame, users: DataFr
     """``(user_id, rank, item_id, ltr_score)``: 2k nearest items rescored, best k kept. The query text plays no part."""
     _check(k, SEARCH_MAX)
     candidates = user_item_features(_candidates(user_vectors, item_vectors, 2 * k), users, items)
-    return rank_by_ltr(candidates, longest=2 * k).filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "ltr_score")
+    return rank_by_ltr(candidates, bounded=True).filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "ltr_score")
 
 
 def as_response(ranked: DataFrame, *fields: str) -> DataFrame:

@@ -13,10 +13,6 @@ from souk.sources import adapters as A
 FEATURES = len(A.NODE_FEATURES)
 
 
-def _edges(spark, d):
-    return graph.both_directions(graph.shared_attr_edges(A.customer_parts(spark, d)))
-
-
 def train_embeddings(spark, d):
     weight = S.relevance_label(F.col("event_type"), A.STORED_RELEVANCE)
     users, items = models.train_embeddings(A.interactions(spark, d), weight)
@@ -45,7 +41,7 @@ def forecast_basis(spark, d):
 
 
 def graph_score(spark, d):
-    return models.graph_score(A.customer_nodes(spark, d), _edges(spark, d), FEATURES)
+    return models.neighborhood_score(graph.shared_attr_mean(A.customer_nodes(spark, d), A.customer_parts(spark, d), FEATURES))
 
 
 def recon_error(spark, d):
@@ -57,7 +53,7 @@ def isolation_forest(spark, d):
 
 
 def fraud_ensemble(spark, d):
-    return fraud.fraud_ensemble(A.customer_nodes(spark, d), _edges(spark, d), FEATURES)
+    return fraud.fraud_ensemble(A.customer_nodes(spark, d), A.customer_parts(spark, d), FEATURES, shared=True)
 
 
 QUERIES = {

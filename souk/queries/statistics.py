@@ -11,7 +11,8 @@ from souk.sources import adapters as A
 
 DID_START = "1998-06-01"
 IMPACT_START = "2000-01-01"
-LOOKS = [50, 100, 150, 200, 1000, 4000, 100000]
+#: Sample sizes per arm at which the guardrail looks; the last is beyond any arm, so that look has every row.
+LOOKS = [50, 100, 150, 200, 1000, 4000, 100000, 1 << 62]
 
 
 def _r(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -65,7 +66,7 @@ def _pre_post(spark, d):
 
 def causal_impact(spark, d):
     out = causal.causal_impact(*_pre_post(spark, d), "revenue", ["n_orders"])
-    out = _r(out, 1, "actual_cumulative", "counterfactual_cumulative", "absolute_uplift")
+    out = _r(out, 2, "actual_cumulative", "counterfactual_cumulative", "absolute_uplift")
     return _r(out, 5, "relative_lift_pct", "t_statistic", "df", "p_value")
 
 
@@ -188,7 +189,7 @@ ORACLE = {
       sqrt(var_pop(metric) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') + var_pop(metric) FILTER (variant = 'treatment') / count(*) FILTER (variant = 'treatment')) AS z FROM metrics)
       SELECT nc AS n_control, nt AS n_treatment, round(z, 6) AS z, {_decision()} AS decision FROM g""",
     "seq_guardrail_prefix": f"""WITH {METRICS}, r AS (SELECT variant, metric, row_number() OVER (PARTITION BY variant ORDER BY ts, event_id) AS i FROM metrics),
-      looks AS (SELECT CAST(unnest({LOOKS}) AS INTEGER) AS look),
+      looks AS (SELECT CAST(unnest({LOOKS}) AS BIGINT) AS look),
       g AS (SELECT look, count(*) FILTER (variant = 'control') AS nc, count(*) FILTER (variant = 'treatment') AS nt,
       (avg(metric) FILTER (variant = 'treatment') - avg(metric) FILTER (variant = 'control')) /
       sqrt(var_pop(metric) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') + var_pop(metric) FILTER (variant = 'treatment') / count(*) FILTER (variant = 'treatment')) AS z
@@ -203,7 +204,7 @@ ORACLE = {
     "ols_fit": f"WITH {DAYS} SELECT round(regr_intercept(revenue, n_orders), 2) AS intercept, round(regr_slope(revenue, n_orders), 2) AS slope FROM days",
     "causal_impact": f"""WITH {IMPACT}, m AS (SELECT sum(y) AS act, sum(c) AS pred, avg(y) AS my, avg(c) AS mc, var_samp(y) / count(*) AS a, var_samp(c) / count(*) AS b, count(*) AS n FROM post),
       w AS (SELECT *, (my - mc) / sqrt(a + b) AS t, (a + b) * (a + b) / (a * a / (n - 1) + b * b / (n - 1)) AS dof FROM m)
-      SELECT round(act, 1) AS actual_cumulative, round(pred, 1) AS counterfactual_cumulative, round(act - pred, 1) AS absolute_uplift,
+      SELECT round(act, 2) AS actual_cumulative, round(pred, 2) AS counterfactual_cumulative, round(act - pred, 2) AS absolute_uplift,
       round((act - pred) / pred * 100, 5) AS relative_lift_pct, round(t, 5) AS t_statistic, round(dof, 5) AS df,
       round({p_value('t', 'dof')}, 5) AS p_value, {p_value('t', 'dof')} < 0.05 AS significant FROM w""",
     "pointwise_effect": f"""WITH {IMPACT} SELECT day, round(y, 3) AS actual, round(c, 1) AS counterfactual, round(y - c, 1) AS effect,

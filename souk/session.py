@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +25,11 @@ def build_session(app: str = "souk", master: str | None = None, shuffle_partitio
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of its own; a cluster without the setting is an error.
-    """
+    """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``; without it, an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="souk-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

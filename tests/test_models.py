@@ -100,3 +100,17 @@ def test_rankers_order_their_training_data(spark, clustered):
     graded = models.train_ltr(models.ltr_examples(odd, users, items, {"view": 1, "purchase": 3}), rounds=5)
     means = {r.relevance: r.m for r in graded.groupBy("relevance").agg(F.avg("ltr_score").alias("m")).collect()}
     assert means[3] > means[1] + 1
+
+
+def test_shared_attributes_make_true_neighbourhoods(spark):
+    nodes = spark.createDataFrame([(1, [0.0]), (2, [10.0]), (3, [100.0])], "node_id long, features array<double>")
+    members = spark.createDataFrame([(u, "shared") for u in (1, 2, 3)], "user_id long, attribute string")
+    means = {r.node_id: r.neighbor_mean[0] for r in graph.shared_attr_mean(nodes, members, 1).collect()}
+    assert means == {1: 55.0, 2: 50.0, 3: 5.0}
+
+
+def test_forest_sample_reaches_every_part_of_the_table(spark):
+    nodes = spark.range(60_000).select(F.col("id").alias("node_id"), F.array(F.col("id").cast("double")).alias("features"))
+    drawn = anomalies.forest_sample(nodes, trees=50, sample=128)
+    sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    assert sizes == [128] * 50 and drawn.select("node_id").distinct().count() > 0.9 * 50 * 128

@@ -97,7 +97,7 @@ def test_running_totals_over_a_hot_key(spark, many_parts):
 def test_ranks_of_a_long_list_equal_those_of_a_window(spark, many_parts):
     df = spark.range(500).select(F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 3).alias("user_id"),
                                  F.col("id").alias("item_id"), (F.col("id") * 31 % 17).cast("double").alias("s"))
-    far, near = (ranking.rank_rows(df, "s", longest=n).collect() for n in (None, 500))
+    far, near = (ranking.rank_rows(df, "s", bounded=b).collect() for b in (False, True))
     assert sorted(map(tuple, far)) == sorted(map(tuple, near))
 
 
@@ -155,7 +155,7 @@ def draft_by_hand(request, a, b, size):
 def test_interleaving_matches_the_stepwise_rule(spark):
     rng = np.random.default_rng(5)
     lists = {f"r{i}": ([f"i{x}" for x in rng.integers(0, 12, rng.integers(0, 8))], [f"i{x}" for x in rng.integers(0, 12, rng.integers(0, 8))]) for i in range(200)}
-    lists["demo"] = (["item_1", "item_2", "item_3", "item_4", "item_8"], ["item_5", "item_2", "item_6", "item_7", "item_9"])
+    lists["demo"] = (["pear", "plum", "fig", "kiwi", "lime"], ["date", "plum", "mango", "guava", "melon", "quince"])
 
     def rows(side, name):
         data = [(r, p, item) for r, pair in lists.items() for p, item in enumerate(pair[side])]
@@ -196,3 +196,9 @@ def test_recommend_and_search_for_known_and_unknown_ids(spark):
     assert {r.user_id: r.item_id for r in search} == {"u1": "i2", "u2": "i2"}
     body = serving.as_response(serving.batch_recommend(vectors, index, users, items, 2), "item_id", "ctr").orderBy("user_id").first()
     assert body.item_id == ["i2", "i1"] and body.ctr[0] > body.ctr[1]
+
+
+def test_null_scores_rank_last_in_both_ways(spark):
+    df = spark.createDataFrame([("q", 1, 5.0), ("q", 2, None), ("q", 3, 9.0)], "user_id string, item_id int, s double")
+    for bounded in (False, True):
+        assert {r.item_id: r["rank"] for r in ranking.rank_rows(df, "s", bounded=bounded).collect()} == {3: 1, 1: 2, 2: 3}

@@ -235,3 +235,14 @@ def test_forecast_recovers_trend_and_season(spark):
 def test_forecast_error_formula(spark):
     row = evaluation.forecast_error(frame(spark, {"y": [2.0, 4.0], "y_hat": [1.0, 5.0]})).first()
     assert row.mse == 1.0 and row.mape == pytest.approx((1 / 2.00001 + 1 / 4.00001) / 2 * 100)
+
+
+def test_p_values_with_very_many_degrees_of_freedom():
+    import math
+
+    from souk.functions.student_t import p_two_sided
+
+    for t in (0.1, 0.5, 1.96, 4.0):
+        normal = math.erfc(t / math.sqrt(2))
+        assert all(abs(p_two_sided(t, df) - normal) < 1e-9 for df in (1e10, 1e12))
+        assert abs(p_two_sided(t, 0.999e6) - p_two_sided(t, 1.001e6)) < 1e-9
