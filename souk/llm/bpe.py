@@ -77,8 +77,8 @@ class Bpe:
         self._load_merges(model["merges"])
         self._load_text_rules(spec)
         letters = byte_alphabet()
-        self._symbol = {bytes([b]): self.vocab[letters[b]] for b in range(256)}
-        self._last = {bytes([b]): self.vocab[letters[b] + self.suffix] for b in range(256)}
+        self._symbol = [self.vocab[letter] for letter in letters]
+        self._last = [self.vocab[letter + self.suffix] for letter in letters]
         self._memory: dict[str, tuple[int, ...]] = {}
         self.pieces = {i: token.encode() for token, i in self.vocab.items()} | {i: s.encode() for s, i in self.special.items()}
 
@@ -123,15 +123,7 @@ class Bpe:
     def _merged(self, ids: list[int]) -> list[int]:
         """All merges, lowest rank first and left before right, over one list of symbols."""
         if len(ids) <= SHORT:
-            while len(ids) > 1:
-                best, at, new = 1 << 60, 0, -1
-                for i, found in enumerate(map(self._merge.get, itertools.pairwise(ids))):
-                    if found and found[0] < best:
-                        best, at, new = found[0], i, found[1]
-                if new < 0:
-                    break
-                ids = [*ids[:at], new, *ids[at + 2 :]]
-            return ids
+            return self._merged_short(ids)
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(found[0], i, *pair) for i, pair in enumerate(itertools.pairwise(ids)) if (found := self._merge.get(pair))]
         heapq.heapify(heap)
@@ -149,6 +141,28 @@ class Bpe:
                     heapq.heappush(heap, (found[0], a, ids[a], ids[b]))
         return [x for x in ids if x != gone]
 
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        """The same for a short list: one rank per pair, of which a merge changes two."""
+        get, none = self._ranked.get, 1 << 62
+        ranks = [get(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            at = ranks.index(best)
+            new = best & 0xFFFFFFFF
+            ids[at : at + 2] = [new]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((ids[at - 1], new), none)
+            if at < len(ranks):
+                ranks[at] = get((new, ids[at + 1]), none)
+        return ids
+
+    @functools.cached_property
+    def _ranked(self) -> dict[tuple[int, int], int]:
+        return {pair: rank << 32 | new for pair, (rank, new) in self._merge.items()}
+
     @functools.cached_property
     def _length(self) -> dict[int, int]:
         return {i: len(self._symbols(token)) for token, i in self.vocab.items()}
@@ -161,9 +175,9 @@ class Bpe:
         held: list[int] = []
         for start in range(0, len(data), CHUNK):
             chunk = data[start : start + CHUNK]
-            held += [self._symbol[chunk[i : i + 1]] for i in range(len(chunk))]
+            held += [self._symbol[b] for b in chunk]
             if start + CHUNK >= len(data):
-                held[-1] = self._last[data[-1:]]
+                held[-1] = self._last[data[-1]]
                 yield self._merged(held)
                 return
             final, used, tokens = len(held) - self.lookahead, 0, []
@@ -175,15 +189,13 @@ class Bpe:
             held = held[used:]
             yield tokens
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        found = self._memory.get(word)
-        if found is None:
-            found = tuple(itertools.chain.from_iterable(self.transduce(word)))
-            if len(word) <= SHORT:
-                if len(self._memory) >= MEMORY:
-                    self._memory.clear()
-                self._memory[word] = found
-        return found
+    def _remember(self, words: set[str]) -> None:
+        """Ids of words of at most ``SHORT`` characters, kept for the next time."""
+        for word in words:
+            data = word.encode()
+            ids = [self._symbol[b] for b in data]
+            ids[-1] = self._last[data[-1]]
+            self._memory[word] = tuple(self._merged_short(ids))
 
     def _blocks(self, text: str) -> Iterator[str]:
         """Parts that end before an ASCII space, which nothing composes or joins across."""
@@ -201,16 +213,21 @@ class Bpe:
         for block in self._blocks(text):
             if not block.isascii():
                 block = unicodedata.normalize("NFC", block).replace("Σ", "σ")  # no final form of sigma
-            ids: list[int] = []
-            for word in self._words.findall(block.lower()):
-                if len(word) > SHORT:
-                    yield ids
-                    ids = []
+            words = self._words.findall(block.lower())
+            missing = set(words).difference(memory)
+            if len(memory) + len(missing) > MEMORY:
+                memory.clear()
+                missing = set(words)
+            long = {word for word in missing if len(word) > SHORT}
+            self._remember(missing - long)
+            if not long:
+                yield list(itertools.chain.from_iterable(map(memory.__getitem__, words)))
+                continue
+            for word in words:
+                if word in long:
                     yield from self.transduce(word)
-                    continue
-                found = memory.get(word)
-                ids += self._word(word) if found is None else found
-            yield ids
+                else:
+                    yield list(memory[word])
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of a whole text in bounded lists; special tokens are found in the raw text."""
