@@ -69,4 +69,20 @@ QUERIES = {
     )
 }
 
-ORACLE = {}
+ORACLE = {
+    "op2_substring_dedup": r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+      s AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d),
+      r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM s),
+      gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r WHERE nth > 1),
+      w AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+      k AS (SELECT w.doc_id, count(*) AS n, count(g.i) AS n_gone, string_agg(word, ' ' ORDER BY w.i) FILTER (g.i IS NULL) AS kept
+        FROM w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY 1)
+      SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(n_gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+      FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op6_line_dedup": """WITH l AS (SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents),
+      b AS (SELECT trim(line, ' ') AS k, min(doc_id) AS first_id FROM l WHERE length(trim(line, ' ')) >= 20 GROUP BY 1 HAVING count(DISTINCT site) >= 10),
+      k AS (SELECT l.doc_id, i, line, b.k IS NOT NULL AND l.doc_id <> b.first_id AS gone FROM l LEFT JOIN b ON trim(l.line, ' ') = b.k)
+      SELECT doc_id, CASE WHEN count(*) = 1 AND max(line) = '' THEN 0 ELSE count(*) END AS n_lines, count(*) FILTER (gone) AS n_removed,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM k GROUP BY doc_id""",
+}
