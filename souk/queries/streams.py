@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from souk.functions.scalars import request_key
 from souk.operators.aggregates import lambda_merge, user_behavior_aggregates
 from souk.queries.features import USERS
 from souk.queries.operations import _queue
@@ -82,9 +83,10 @@ def stream_window_join(spark, d):
 
 
 def ttl_dedup(spark, d):
-    """Per endpoint, the requests that are computed when a response lives for an hour."""
-    requests = streams.table_stream(spark, d, "events").select(F.concat(F.lit("/"), "event_type").alias("key"), "ts", "event_id")
-    computed = streams.drain_to_table(cache.ttl_dedup(requests, ttl=timedelta(hours=1)), "dedup")
+    """Per endpoint and user, the requests that are computed when a response lives for a day, up to the watermark."""
+    endpoint = F.concat(F.lit("/"), "event_type")
+    requests = streams.table_stream(spark, d, "events").select(request_key(endpoint, F.col("user_id")).alias("key"), "ts", "event_id")
+    computed = streams.drain_to_table(cache.ttl_dedup(requests, ttl=timedelta(days=1)), "dedup")
     return computed.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
@@ -131,10 +133,11 @@ ORACLE = {
     "stream_window_join": """WITH i AS (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS item_id FROM events)
       SELECT v.user_id, v.item_id AS viewed, b.item_id AS bought, v.event_id AS view_id, b.event_id AS buy_id FROM i v JOIN i b ON v.user_id = b.user_id
       AND b.ts >= v.ts AND b.ts <= v.ts + INTERVAL 6 HOURS WHERE v.event_type = 'view' AND b.event_type = 'purchase'""",
-    "ttl_dedup": """WITH RECURSIVE r AS (SELECT '/' || event_type AS key, ts, event_id FROM events),
+    "ttl_dedup": """WITH RECURSIVE r AS (SELECT 'cache:/' || event_type || ':' || user_id AS key, ts, event_id FROM events),
       chain AS (SELECT key, min(ts) AS ts FROM r GROUP BY key UNION ALL
-        SELECT c.key, min(r.ts) FROM chain c JOIN r ON r.key = c.key AND r.ts >= c.ts + INTERVAL 1 HOUR GROUP BY c.key)
-      SELECT r.key, r.ts, r.event_id FROM chain JOIN r ON r.key = chain.key AND r.ts = chain.ts""",
+        SELECT c.key, min(r.ts) FROM chain c JOIN r ON r.key = c.key AND r.ts >= c.ts + INTERVAL 1 DAY GROUP BY c.key)
+      SELECT r.key, r.ts, r.event_id FROM chain JOIN r ON r.key = chain.key AND r.ts = chain.ts
+      WHERE r.ts < (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events)""",
     "stream_guardrail": f"""WITH {METRICS}, g AS (SELECT count(*) FILTER (variant = 'control') AS nc, count(*) FILTER (variant = 'treatment') AS nt,
       (avg(metric) FILTER (variant = 'treatment') - avg(metric) FILTER (variant = 'control')) /
       sqrt(var_pop(metric) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') + var_pop(metric) FILTER (variant = 'treatment') / count(*) FILTER (variant = 'treatment')) AS z FROM metrics)

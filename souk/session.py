@@ -16,6 +16,8 @@ def build_session(app: str = "souk", master: str | None = None, shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # state of streams on local disk and in the checkpoint, not on the executors' heap
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,9 @@ PENDING = "pending"
 ALERT, DECISION = 0, 1
 ENTRY = "alert_id string, user_id string, amount double, alert_at bigint, status string, moderated_by string"
 QUEUE = f"{TX} string, {ENTRY}"
+# per transaction: its latest alert, the effective decision, and the decisions that a late alert could still bring into force
+DECISIONS = "array<struct<at: bigint, id: bigint, action: string, who: string>>"
+REVIEW_STATE = f"alert struct<at: bigint, id: bigint, who: string, amount: double>, first {DECISIONS[6:-1]}, held {DECISIONS}"
 QUEUE_COLUMNS = [field.split()[0] for field in QUEUE.split(", ")]
 
 
@@ -26,48 +28,75 @@ def stream_guardrail(observations: DataFrame, metric: str = "metric") -> DataFra
 
 
 def review_events(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Alerts and decisions in one stream; an alert sorts before a decision of the same instant.
+    """Alerts and decisions in one stream, with the event time in ``time`` and, in microseconds, in ``at``.
 
-    Times travel as microseconds, which reach Python without a zone conversion per group.
+    Microseconds reach Python without a zone conversion per group.
     """
     text, none = "string", F.lit(None)
     a = alerts.select(
-        F.col(TX).cast(text), F.lit(ALERT).alias("kind"), F.unix_micros(F.col("alert_at").cast("timestamp")).alias("at"),
+        F.col(TX).cast(text), F.lit(ALERT).alias("kind"), F.col("alert_at").cast("timestamp").alias("time"),
         F.col("alert_id").cast("bigint").alias("id"), F.col("user_id").cast(text).alias("who"), F.col("amount").cast("double"),
         none.cast(text).alias("action"),
     )
     d = decisions.select(
-        F.col(TX).cast(text), F.lit(DECISION).alias("kind"), F.unix_micros(F.col("decided_at").cast("timestamp")).alias("at"),
+        F.col(TX).cast(text), F.lit(DECISION).alias("kind"), F.col("decided_at").cast("timestamp").alias("time"),
         F.col("decision_id").cast("bigint").alias("id"), F.col("reviewer_id").cast(text).alias("who"), none.cast("double").alias("amount"),
         "action",
     )
-    return a.unionByName(d)
+    return a.unionByName(d).withColumn("at", F.unix_micros("time"))
+
+
+def _text(value) -> str | None:
+    return None if pd.isna(value) else str(value)
+
+
+def _queue_row(key: str, alert: tuple, first: tuple | None) -> pd.DataFrame:
+    at, ident, who, amount = alert
+    status = (first[2].lower() or PENDING, first[3]) if first else (PENDING, None)
+    return pd.DataFrame([(key, str(ident), who, amount, at, *status)], columns=QUEUE_COLUMNS)
 
 
 def _review(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One queue entry per transaction: the latest alert, and the first decision made since."""
-    chunks = list(rows)
-    events = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    at, kind, ident = (events[c].to_numpy() for c in ("at", "kind", "id"))
-    order = np.lexsort((ident, kind, at))
-    entry, raised = state.getOption, order[kind[order] == ALERT]
-    if len(raised):
-        last = int(raised[-1])
-        entry = (str(ident[last]), events["who"].iat[last], float(events["amount"].iat[last]), int(at[last]), PENDING, None)
-    if entry is None:
-        return  # a decision on an unknown transaction changes nothing
-    if entry[4] == PENDING:
-        made = order[(kind[order] == DECISION) & (at[order] >= entry[3])]
-        if len(made):
-            first = int(made[0])
-            entry = (*entry[:4], events["action"].iat[first].lower(), events["who"].iat[first])
-    state.update(entry)
-    yield pd.DataFrame([(key[0], *entry)], columns=QUEUE_COLUMNS)
-
-
-def stream_hitl(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Queue entries touched by each micro-batch; state is one entry per transaction."""
-    entries = review_events(alerts, decisions).groupBy(TX).applyInPandasWithState(
-        _review, outputStructType=QUEUE, stateStructType=ENTRY, outputMode="Update", timeoutConf=GroupStateTimeout.NoTimeout
+    """One queue entry per transaction: the latest alert by event time, and the first decision made since.
+
+    Nothing older than the watermark arrives any more, so a decision behind it can only be in force if it is the
+    first since the alert; the others are let go, and the whole entry with them once it is resolved.
+    """
+    alert, first, held = state.getOption or (None, None, [])
+    before, made = (alert, first), [tuple(d) for d in held]
+    if first is not None:
+        made.append(tuple(first))
+    for chunk in rows:
+        for kind, at, ident, who, amount, action in chunk[["kind", "at", "id", "who", "amount", "action"]].itertuples(index=False):
+            if kind == DECISION:
+                made.append((int(at), int(ident), _text(action) or "", _text(who)))
+            elif alert is None or (int(at), int(ident)) > tuple(alert)[:2]:
+                alert = (int(at), int(ident), _text(who), None if pd.isna(amount) else float(amount))
+    watermark = state.getCurrentWatermarkMs() * 1000
+    made = sorted({d for d in made if alert is None or d[0] >= alert[0]}, key=lambda d: (d[:3], d[3] or ""))
+    first = made[0] if alert is not None and made else None
+    held = [d for d in made if d[0] >= watermark and d != first]
+    if alert is not None and (before != (alert, first)):
+        yield _queue_row(key[0], alert, first)
+    settled = first is not None and first[0] < watermark
+    if (alert is None or settled) and not held:
+        if state.exists:
+            state.remove()
+        return
+    state.update((alert, first, held))
+    waits = [d[0] for d in ([first] if first else []) + held]
+    if waits:
+        state.setTimeoutTimestamp(max(max(waits), watermark) // 1000 + 1)  # when all of them are settled
+
+
+def stream_hitl(alerts: DataFrame, decisions: DataFrame, late: str = "1 day") -> DataFrame:
+    """Queue entries changed by each micro-batch, equal to the batch queue whatever order rows within ``late`` arrive in.
+
+    An older alert never replaces a newer one, and a decision may come before its alert. State is one entry per
+    transaction, dropped once it is resolved and the watermark has passed its decision; pending entries stay.
+    """
+    events = review_events(alerts, decisions).filter(F.col("time").isNotNull()).withWatermark("time", late)
+    entries = events.groupBy(TX).applyInPandasWithState(
+        _review, outputStructType=QUEUE, stateStructType=REVIEW_STATE, outputMode="Update", timeoutConf=GroupStateTimeout.EventTimeTimeout
     )
     return entries.withColumn("alert_at", F.timestamp_micros("alert_at"))

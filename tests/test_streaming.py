@@ -3,6 +3,7 @@
 import json
 import os
 from datetime import datetime, timedelta
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,7 +139,8 @@ def test_windows_drop_only_late_rows(spark, tmp_path):
 
 def test_ttl_dedup_computes_again_at_expiry(spark, tmp_path):
     t0 = datetime(2024, 1, 1)
-    offsets = [[("a", 0), ("a", 5), ("b", 0), ("a", 60), ("a", 119)], [("a", 90), ("b", 59)], [("a", 120), ("c", 600)], [("a", 1000), ("b", 1000)]]
+    offsets = [[("a", 0), ("a", 5), ("b", 0), ("a", 60), ("a", 119)], [("a", 90), ("b", 59)], [("a", 120), ("c", 600)], [("a", 1000), ("b", 1000)], [("z", 5000)]]
+    # the last request only moves the watermark past the others
     batches = [[(k, t0 + timedelta(seconds=s)) for k, s in part] for part in offsets]
     stream = table_batches(spark, str(tmp_path / "in"), batches, "key string, ts timestamp")
     rows = []
@@ -148,6 +150,45 @@ def test_ttl_dedup_computes_again_at_expiry(spark, tmp_path):
     ]
 
 
+def test_ttl_dedup_goes_by_event_time(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    offsets = [[(40, 1)], [(10, 2)], [(75, 3), (69, 4)], [(70, 5), (131, 6)], [(5000, 7)]]
+    batches = [[("a", t0 + timedelta(seconds=s, microseconds=s), i) for s, i in part] for part in offsets]
+    stream = table_batches(spark, str(tmp_path / "in"), batches, "key string, ts timestamp, id bigint")
+    rows = []
+    streams.drain(cache.ttl_dedup(stream), lambda df, n: rows.extend(df.collect()), "append", str(tmp_path / "c"))
+    assert sorted((r.ts, r.id) for r in rows) == [(t0 + timedelta(seconds=s, microseconds=s), i) for s, i in ((10, 2), (70, 5), (131, 6))]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_review_stream_ignores_the_order_of_arrival(spark, tmp_path, seed):
+    start, shuffled = datetime(2024, 1, 1), Random(seed)
+    events = [(start + timedelta(minutes=i), shuffled.random() < 0.5, i, f"t{shuffled.randrange(8)}") for i in range(60)]
+    shuffled.shuffle(events)
+    a_schema = "transaction_id string, alert_id bigint, user_id string, amount double, alert_at timestamp"
+    d_schema = "transaction_id string, decision_id bigint, action string, reviewer_id string, decided_at timestamp"
+    alerts = [[(tx, i, "u", 1.0, at) for at, d, i, tx in events[p:p + 15] if not d] for p in (0, 15, 30, 45)]
+    decisions = [[(tx, i, "Blocked" if i % 2 else "Approved", f"r{i}", at) for at, d, i, tx in events[p:p + 15] if d] for p in (0, 15, 30, 45)]
+    out = review.stream_hitl(table_batches(spark, str(tmp_path / "a"), alerts, a_schema), table_batches(spark, str(tmp_path / "d"), decisions, d_schema))
+    seen = {}
+    streams.drain(out, lambda rows, n: seen.update({r.transaction_id: (r.alert_id, r.status, r.moderated_by) for r in rows.collect()}), checkpoint=str(tmp_path / "c"))
+    batch = moderation.hitl_status(spark.createDataFrame([r for b in alerts for r in b], a_schema), spark.createDataFrame([r for b in decisions for r in b], d_schema))
+    assert seen == {r.transaction_id: (str(r.alert_id), r.status, r.moderated_by) for r in batch.collect()}
+
+
+def test_resolved_reviews_leave_the_state(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    a_schema = "transaction_id string, alert_id bigint, user_id string, amount double, alert_at timestamp"
+    d_schema = "transaction_id string, decision_id bigint, action string, reviewer_id string, decided_at timestamp"
+    alerts = [[("x", 1, "u", 1.0, t0)], [("y", 2, "u", 1.0, t0 + timedelta(days=5))], [("x", 3, "u", 2.0, t0 + timedelta(days=9))]]
+    decisions = [[("x", 1, "Blocked", "r", t0 + timedelta(hours=1))], [("w", 2, "Blocked", "r", t0 + timedelta(days=5))], [("v", 3, "Blocked", "r", t0 + timedelta(days=9))]]
+    out = review.stream_hitl(table_batches(spark, str(tmp_path / "a"), alerts, a_schema), table_batches(spark, str(tmp_path / "d"), decisions, d_schema))
+    rows = []
+    query = streams.drain(out, lambda df, n: rows.extend((n, r.transaction_id, r.alert_id, r.status) for r in df.collect()), checkpoint=str(tmp_path / "c"))
+    assert [r[1:] for r in sorted(rows)] == [("x", "1", "blocked"), ("y", "2", "pending"), ("x", "3", "pending")]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3  # y and x wait for a decision, v for an alert
+
+
 def test_kafka_source_asks_for_the_connector(spark):
     try:
         streams.stream_source(spark, StreamSource(topic="interactions"))
