@@ -14,6 +14,7 @@ PSI_BINS = 10
 EDGE_MARGIN = 0.0001
 SHARE_FLOOR = 0.0001
 RETRAIN_AT = 0.2
+KS_TERMS, KS_FLOOR = 50, 0.2
 
 
 def melt(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -68,8 +69,20 @@ def psi(df: DataFrame, is_expected: str, columns: Sequence[str], bins: int = PSI
     return per_column.select("column_name", total.alias("psi")).withColumn("retrain", F.col("psi") >= RETRAIN_AT)
 
 
+def ks_p_value(distance: Column, n: Column, m: Column) -> Column:
+    """Kolmogorov's limit for the chance of at least this distance between samples of one distribution."""
+    size = n.cast("double") * m.cast("double") / (n.cast("double") + m.cast("double"))
+    scaled = distance * F.sqrt(size)
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
+        lambda s, k: s + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * scaled * scaled),
+    )
+    # below the floor the chance is 1 to eleven digits, and the series would need ever more terms
+    return F.when(scaled < KS_FLOOR, 1.0).when(scaled.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+
+
 def ks_two_sample(df: DataFrame, is_expected: str, value: str) -> DataFrame:
-    """Largest distance between the two empirical distributions, with both sample sizes."""
+    """Largest distance between the two empirical distributions, its asymptotic p-value, and both sample sizes."""
     flag = F.col(is_expected)
     counts = value_counts(df, [], value, expected=F.count_if(flag), actual=F.count_if(~flag))
     running = running_totals(counts, [], [value], ["expected", "actual"])
@@ -77,6 +90,7 @@ def ks_two_sample(df: DataFrame, is_expected: str, value: str) -> DataFrame:
         F.col("expected_run") / F.nullif(F.col("expected_all"), F.lit(0))
         - F.col("actual_run") / F.nullif(F.col("actual_all"), F.lit(0))
     )
-    return running.agg(
+    found = running.agg(
         F.max(gap).alias("ks_statistic"), F.max("expected_all").alias("n_expected"), F.max("actual_all").alias("n_actual")
     )
+    return found.withColumn("p_value", ks_p_value(F.col("ks_statistic"), F.col("n_expected"), F.col("n_actual")))

@@ -109,4 +109,4 @@ def global_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     ``keys + order`` must identify a row; order is ascending, so negate a score to rank it downwards.
     """
     placed = running_totals(df.withColumn("_one", F.lit(1)), keys, order, ["_one"])
-    return placed.withColumn(name, F.col("_one_run").cast("int")).drop("_one", "_one_run", "_one_all")
+    return placed.withColumn(name, F.col("_one_run")).drop("_one", "_one_run", "_one_all")

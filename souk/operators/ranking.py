@@ -17,7 +17,7 @@ def rank_rows(df: DataFrame, score: str, query: str = "user_id", item: str = "it
     """
     if bounded:
         order = Window.partitionBy(query).orderBy(F.desc_nulls_last(score), F.asc(item))
-        return df.withColumn("rank", F.row_number().over(order))
+        return df.withColumn("rank", F.row_number().over(order).cast("bigint"))
     keyed = df.withColumns({"_missing": F.col(score).isNull(), "_falling": -F.col(score)})
     return global_rank(keyed, [query], ["_missing", "_falling", item]).drop("_missing", "_falling")
 

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 
-# Fixed parameters of the hashed search, whatever the index holds: bits per code, and flipped bits per probed code.
-BITS, FLIPS = 6, 1
+# Fixed parameters of the hashed search, whatever the index holds: tables, bits per code, and flipped bits per probed code.
+TABLES, BITS, FLIPS = 16, 6, 1
 SCORE_DIGITS = 9  # scores are rounded here, so that the order of a sum cannot change a rank
 
 
@@ -130,7 +130,7 @@ def knn_lsh(
     index: DataFrame,
     k: int,
     dim: int,
-    tables: int = 8,
+    tables: int = TABLES,
     bits: int = BITS,
     flips: int = FLIPS,
     seed: int = 42,

@@ -255,20 +255,20 @@ ORACLE = {
     "topk_per_query": """SELECT query_id, item_id, score, rank FROM (SELECT user_id AS query_id, event_id AS item_id, value AS score,
       CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) WHERE rank <= 5""",
     "ctr_cvr_score": f"WITH {CANDIDATES} SELECT user_id, item_id, round({_CTR}, 6) AS ctr, round({_CVR}, 6) AS cvr FROM candidates",
-    "rank_by_ctr": f"""WITH {CANDIDATES} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_CTR} DESC, item_id) AS INTEGER) AS rank,
+    "rank_by_ctr": f"""WITH {CANDIDATES} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_CTR} DESC, item_id) AS BIGINT) AS rank,
       item_id, round({_CTR}, 6) AS ctr FROM candidates""",
     "ltr_features": f"""WITH {CANDIDATES}, f AS (SELECT user_id, item_id, [CAST(uv AS DOUBLE), up, cvr_u, price, pop, price * cvr_u, pop * uv, 0, 0, 0] AS v FROM candidates)
       SELECT user_id, item_id, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x FROM f""",
     "ltr_linear_score": f"WITH {CANDIDATES} SELECT user_id, item_id, round({_LTR}, 6) AS ltr_score FROM candidates",
-    "rank_by_ltr": f"""WITH {CANDIDATES} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_LTR} DESC, item_id) AS INTEGER) AS rank,
+    "rank_by_ltr": f"""WITH {CANDIDATES} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_LTR} DESC, item_id) AS BIGINT) AS rank,
       item_id, round({_LTR}, 6) AS ltr_score FROM candidates""",
     "cap_per_category": f"""WITH {CANDIDATES}, r AS (SELECT user_id, item_id, category, row_number() OVER (PARTITION BY user_id ORDER BY {_LTR} DESC, item_id) AS r FROM candidates),
       k AS (SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY r) AS c FROM r)
       SELECT user_id, item_id, category, CAST(row_number() OVER (PARTITION BY user_id ORDER BY r) AS INTEGER) AS rank FROM k WHERE c <= 2""",
     "batch_recommend": f"""WITH {INTERACTIONS}, {USERS}, {ITEMS}, {_nearest(20)} SELECT user_id,
-      CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_CTR} DESC, item_id) AS INTEGER) AS rank, item_id, round({_CTR}, 6) AS ctr, round({_CVR}, 6) AS cvr FROM full_""",
+      CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_CTR} DESC, item_id) AS BIGINT) AS rank, item_id, round({_CTR}, 6) AS ctr, round({_CVR}, 6) AS cvr FROM full_""",
     "batch_search": f"""WITH {INTERACTIONS}, {USERS}, {ITEMS}, {_nearest(20)}, r AS (SELECT user_id,
-      CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_LTR} DESC, item_id) AS INTEGER) AS rank, item_id, round({_LTR}, 6) AS ltr_score FROM full_)
+      CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_LTR} DESC, item_id) AS BIGINT) AS rank, item_id, round({_LTR}, 6) AS ltr_score FROM full_)
       SELECT * FROM r WHERE rank <= 10""",
     "relevance_label": """SELECT event_id, CASE event_type WHEN 'cart' THEN 2 WHEN 'purchase' THEN 3 ELSE 1 END AS relevance,
       CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 1 END AS stored_relevance FROM events""",

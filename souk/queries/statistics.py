@@ -81,7 +81,7 @@ def psi(spark, d):
 
 
 def ks_two_sample(spark, d):
-    return _r(drift.ks_two_sample(A.price_samples(spark, d), "is_expected", "l_extendedprice"), 9, "ks_statistic")
+    return _r(drift.ks_two_sample(A.price_samples(spark, d), "is_expected", "l_extendedprice"), 9, "ks_statistic", "p_value")
 
 
 def forecast_error(spark, d):
@@ -212,7 +212,10 @@ ORACLE = {
     "psi": f"WITH {SAMPLES} {_PSI}",
     "ks_two_sample": f"""WITH {SAMPLES}, v AS (SELECT l_extendedprice AS x, count(*) FILTER (early) AS e, count(*) FILTER (NOT early) AS a FROM samples GROUP BY 1),
       r AS (SELECT sum(e) OVER (ORDER BY x) / sum(e) OVER () - sum(a) OVER (ORDER BY x) / sum(a) OVER () AS gap FROM v)
-      SELECT round(max(abs(gap)), 9) AS ks_statistic, (SELECT CAST(sum(e) AS BIGINT) FROM v) AS n_expected, (SELECT CAST(sum(a) AS BIGINT) FROM v) AS n_actual FROM r""",
+      SELECT round(d, 9) AS ks_statistic, n AS n_expected, m AS n_actual,
+        round(CASE WHEN z < 0.2 THEN 1.0 ELSE (SELECT sum((CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * z * z)) FROM range(1, 51) t(k)) END, 9) AS p_value
+      FROM (SELECT d, n, m, d * sqrt(CAST(n AS DOUBLE) * m / (n + m)) AS z FROM (SELECT max(abs(gap)) AS d,
+        (SELECT CAST(sum(e) AS BIGINT) FROM v) AS n, (SELECT CAST(sum(a) AS BIGINT) FROM v) AS m FROM r))""",
     "forecast_error": f"""WITH {SALES}, n AS (SELECT series_id, y, lag(y) OVER (PARTITION BY series_id ORDER BY t) AS y_hat FROM sales)
       SELECT series_id, round(avg((y - y_hat) * (y - y_hat)), 4) AS mse, round(avg(abs((y - y_hat) / (y + 1e-5))) * 100, 4) AS mape
       FROM n WHERE y_hat IS NOT NULL GROUP BY 1""",

@@ -171,6 +171,14 @@ def test_ks_matches_numpy(spark):
     assert drift.ks_two_sample(df, "early", "x").first().ks_statistic == pytest.approx(gap)
 
 
+def test_ks_p_value_at_known_points(spark):
+    # 5 % and 1 % points of Kolmogorov's distribution, equal samples, and hardly any distance
+    points = [(1.3580986, 0.05), (1.6276236, 0.01), (0.0, 1.0), (0.25, 1.0), (None, None)]
+    df = spark.createDataFrame([(d and d / 50**0.5, 100, 100, p) for d, p in points], "d double, n bigint, m bigint, p double")
+    for row in df.select("p", drift.ks_p_value(F.col("d"), F.col("n"), F.col("m")).alias("got")).collect():
+        assert row.got is None if row.p is None else row.got == pytest.approx(row.p, abs=1e-6)
+
+
 def test_auc_counts_pairs(spark):
     rng = np.random.default_rng(6)
     score, label = rng.integers(0, 20, 300).astype(float), rng.integers(0, 2, 300)
