@@ -69,7 +69,51 @@ QUERIES = {
     )
 }
 
+
+def _scan_sql(rank: int, rule: secrets.Rule) -> str:
+    """Matches of one rule per document, and the pieces of text between them."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, '{pattern}' AS pattern, {rule.least} AS least,
+      regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS p FROM d"""
+
+
+#: The span of a match follows from the lengths of the pieces and matches before it.
+SECRETS_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+  r AS ({" UNION ALL ".join(_scan_sql(i, r) for i, r in enumerate(secrets.RULES))}),
+  i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM r),
+  s AS (SELECT doc_id, kind, rank, m[i] AS v, list_sum([length(x) for x in p[:i]]) + coalesce(list_sum([length(x) for x in m[:i - 1]]), 0) AS a
+    FROM i WHERE length(CASE WHEN kind = 'assign' THEN regexp_extract(m[i], pattern, 2) ELSE m[i] END) >= least),
+  t AS (SELECT *, kind || ':' || a::BIGINT || ':' || (a + length(v))::BIGINT AS span FROM s)
+  SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY a, rank) FILTER (rank < {len(secrets.BASE)}), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY a, rank), '') AS spans
+  FROM d LEFT JOIN t ON d.doc_id = t.doc_id GROUP BY d.doc_id"""
+
 ORACLE = {
+    "op3_secret_scan": SECRETS_SQL,
+    "op5_chat_format": r"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, min(coalesce(text, '')) AS text FROM conversations GROUP BY 1, 2, 3),
+      u AS (SELECT * FROM t WHERE role = 'user'),
+      c AS (SELECT u.conv_id, u.turn, u.text, h.turn AS half, r.text AS content, 'c' || u.conv_id || '-' || u.turn AS call_id FROM u
+        LEFT JOIN u h ON u.conv_id = h.conv_id AND u.turn // 2 = h.turn AND h.turn < u.turn
+        LEFT JOIN t r ON r.role = 'assistant' AND u.conv_id = r.conv_id AND r.turn = u.turn + 1),
+      l AS (SELECT conv_id, turn, 0 AS level FROM c WHERE half IS NULL
+        UNION ALL SELECT c.conv_id, c.turn, l.level + 1 FROM l JOIN c ON c.conv_id = l.conv_id AND c.half = l.turn),
+      j AS (SELECT c.conv_id, c.turn, call_id, level, content IS NOT NULL AS linked, length(c.text) >= 60 AS valid,
+        '{"arguments":{"query":' || to_json(c.text) || CASE WHEN half IS NULL THEN '' ELSE ',"refs":["c' || c.conv_id || '-' || half || '"]' END
+        || '},"id":"' || call_id || '","name":"answer","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS record
+        FROM c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.turn)
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) AS position, call_id, level, linked, valid,
+        CASE WHEN NOT valid THEN '$.query: length' END AS problem, record, sha256(record) AS record_sha256 FROM j""",
+    "op8_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+      g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s FROM w),
+      e AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM g),
+      l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.s = b.s AND a.doc_id <> b.doc_id
+        GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+      r AS (SELECT doc_id, doc_id AS c FROM g UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.c = l.a),
+      k AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1)
+      SELECT g.doc_id, len(s) AS n_shingles, component_id, g.doc_id = component_id AS kept FROM g JOIN k ON g.doc_id = k.doc_id""",
     "op2_substring_dedup": r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
       s AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d),
       r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM s),
