@@ -34,7 +34,7 @@ def psi(df: DataFrame, is_expected: str, columns: Sequence[str], bins: int = PSI
         melt(df, [is_expected], columns), ["column_name"], "value",
         expected=F.count_if(flag), actual=F.count_if(~flag),
     )
-    placed = place(counts, ["column_name"], ["value"])
+    placed = place(counts, ["column_name"], ["value"], ["expected"])
     probs = [i / bins for i in range(bins + 1)]
     edges = quantiles_of(placed, ["column_name"], "value", "expected", probs)
     margin = F.lit(EDGE_MARGIN)
@@ -85,7 +85,7 @@ def ks_two_sample(df: DataFrame, is_expected: str, value: str) -> DataFrame:
     """Largest distance between the two empirical distributions, its asymptotic p-value, and both sample sizes."""
     flag = F.col(is_expected)
     counts = value_counts(df, [], value, expected=F.count_if(flag), actual=F.count_if(~flag))
-    running = running_totals(counts, [], [value], ["expected", "actual"])
+    running = running_totals(counts, [], [value], ["expected", "actual"], whole=True)
     gap = F.abs(
         F.col("expected_run") / F.nullif(F.col("expected_all"), F.lit(0))
         - F.col("actual_run") / F.nullif(F.col("actual_all"), F.lit(0))

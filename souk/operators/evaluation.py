@@ -95,7 +95,7 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", keys: Sequenc
     below = F.col("neg_run") - F.col("neg")
     won = F.col("pos") * (below + F.col("neg") / 2)
     sums = running.groupBy(*keys).agg(
-        F.sum(won.cast("double")).alias("won"), F.max("pos_all").alias("n_pos"), F.max("neg_all").alias("n_neg")
+        F.sum(won.cast("double")).alias("won"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
     )
     area = F.col("won") / F.nullif(F.col("n_pos").cast("double") * F.col("n_neg"), F.lit(0.0))
     return sums.select(*keys, area.alias("auc"), "n_pos", "n_neg")

@@ -88,7 +88,7 @@ def test_running_totals_over_a_hot_key(spark, many_parts):
     df = spark.createDataFrame(rows, "k string, t int, n int").repartition(6)
     with_parts = ordered.place(df, ["k"], ["t"])
     assert with_parts.filter("k = 'hot'").select("_part").distinct().count() > 1
-    got = {(r.k, r.t): (r.n_run, r.n_all) for r in ordered.running_totals(df, ["k"], ["t"], ["n"]).collect()}
+    got = {(r.k, r.t): (r.n_run, r.n_all) for r in ordered.running_totals(df, ["k"], ["t"], ["n"], whole=True).collect()}
     want = pd.DataFrame(rows, columns=["k", "t", "n"]).sort_values("t")
     want["run"], want["all"] = want.groupby("k")["n"].cumsum(), want.groupby("k")["n"].transform("sum")
     assert got == {(r.k, r.t): (r.run, r["all"]) for _, r in want.iterrows()}
