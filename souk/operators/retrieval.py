@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 
 import numpy as np
@@ -107,7 +108,10 @@ def knn_cosine(
 
 
 def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((tables, bits, dim))
+    """Normals with coordinates spread evenly over -0.5 to 0.5, from md5 so that they can be rebuilt outside Spark."""
+    texts = (f"{seed}-{t}-{b}-{d}" for t in range(tables) for b in range(bits) for d in range(dim))
+    heads = [int(hashlib.md5(text.encode()).hexdigest()[:8], 16) for text in texts]
+    return (np.array(heads, float) / (1 << 32) - 0.5).reshape(tables, bits, dim)
 
 
 def signature(planes: np.ndarray):

@@ -1,4 +1,4 @@
-"""Model fits over the stored tables. Fits are iterative, so they are checked by tests instead of SQL."""
+"""Model fits over the stored tables. Closed forms are checked by SQL; iterative fits by tests with a known answer."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from souk.functions import scalars as S
 from souk.operators import anomalies, evaluation, graph, models, retrieval, series
 from souk.plans import fraud
 from souk.queries.features import items_of, users_of
+from souk.queries.operations import NODES
 from souk.sources import adapters as A
 
 FEATURES = len(A.NODE_FEATURES)
@@ -37,7 +38,7 @@ def train_ltr(spark, d):
 
 
 def forecast_basis(spark, d):
-    return series.forecast_basis(A.monthly_brand_sales(spark, d))
+    return series.forecast_basis(A.monthly_brand_sales(spark, d)).withColumn("y_hat", F.round("y_hat", 3))
 
 
 def graph_score(spark, d):
@@ -45,7 +46,7 @@ def graph_score(spark, d):
 
 
 def recon_error(spark, d):
-    return anomalies.recon_error(A.customer_nodes(spark, d))
+    return anomalies.recon_error(A.customer_nodes(spark, d)).withColumn("recon_error", F.round("recon_error", 6))
 
 
 def isolation_forest(spark, d):
@@ -63,4 +64,58 @@ QUERIES = {
         fraud_ensemble,
     )
 }
-ORACLE: dict[str, str] = {}
+
+
+def _basis_sql(step: str) -> list[str]:
+    waves = [f"{fn}({step} * {h} * 2 * pi() / {S.SEASON_PERIOD})" for h in (1, 2) for fn in ("cos", "sin")]
+    return ["1.0", f"{step}", f"{step} * {step}", *waves]
+
+
+def _forecast_sql() -> str:
+    """Gauss-Jordan elimination of each series' ridge system, one common table per column."""
+    p, past = 7, series.BACKCAST
+    cells = [(i, j) for i in range(p) for j in range(p + 1)]
+    x = ", ".join(f"{term} AS x{i}" for i, term in enumerate(_basis_sql("s")))
+    sums = ", ".join(
+        f"sum(x{i} * y) AS a{i}_{j}" if j == p else f"sum(x{i} * x{j}){' + 1e-6' if i == j else ''} AS a{i}_{j}" for i, j in cells
+    )
+    steps = []
+    for k in range(p):
+        new = ", ".join(
+            f"a{k}_{j} / a{k}_{k} AS a{k}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}" for i, j in cells
+        )
+        steps.append(f"m{k + 1} AS (SELECT series_id, last, {new} FROM m{k})")
+    y_hat = " + ".join(f"a{i}_{p} * ({term})" for i, term in enumerate(_basis_sql(f"CAST(h + {past - 1} AS DOUBLE)")))
+    return f"""WITH q AS (SELECT p_brand AS series_id, (year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 AS t, CAST(sum(l_quantity) AS DOUBLE) AS y
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+      l AS (SELECT series_id, max(t) AS last FROM q GROUP BY 1),
+      x AS (SELECT q.series_id, last, y, CAST(t - last + {past - 1} AS DOUBLE) AS s FROM q JOIN l ON q.series_id = l.series_id WHERE t - last + {past - 1} >= 0),
+      b AS (SELECT series_id, last, y, {x} FROM x), m0 AS (SELECT series_id, last, {sums} FROM b GROUP BY 1, 2), {", ".join(steps)},
+      f AS (SELECT *, unnest(range(1, {series.FORECAST + 1})) AS h FROM m{p})
+      SELECT series_id, CAST(last + h AS INTEGER) AS t, round({y_hat}, 3) AS y_hat FROM f"""
+
+
+def _recon_sql(squarings: int = 16) -> str:
+    """Projectors on the leading components: a matrix squared again and again tends to that on its first one."""
+    def scaled(name: str, of: str) -> str:
+        return f"{name} AS MATERIALIZED (SELECT i, j, v / sum(v) FILTER (i = j) OVER () AS v FROM ({of}))"
+
+    parts = []
+    for r in range(anomalies.LATENT):
+        parts.append(scaled(f"p{r}_0", f"SELECT * FROM c{r}"))
+        for k in range(squarings):
+            last = f"p{r}_{k}"
+            parts.append(scaled(f"p{r}_{k + 1}", f"SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY 1, 2"))
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c.i, c.j, c.v - p.v * sum(c.v * p.v) OVER () AS v FROM c{r} c JOIN p{r}_{squarings} p ON c.i = p.i AND c.j = p.j)")
+    projector = " UNION ALL ".join(f"SELECT * FROM p{r}_{squarings}" for r in range(anomalies.LATENT))
+    return f"""WITH {NODES}, x AS (SELECT node_id, unnest([{", ".join(A.NODE_FEATURES)}]) AS v, unnest(range({FEATURES})) AS i FROM nodes),
+      s AS (SELECT i, avg(v) AS mean, stddev_samp(v) AS spread FROM x GROUP BY 1),
+      z AS MATERIALIZED (SELECT node_id, x.i, coalesce((v - mean) / nullif(spread, 0), 0) AS v FROM x JOIN s ON x.i = s.i),
+      c0 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM z a JOIN z b ON a.node_id = b.node_id GROUP BY 1, 2), {", ".join(parts)},
+      q AS (SELECT i, j, sum(v) AS v FROM ({projector}) GROUP BY 1, 2),
+      w AS (SELECT a.node_id, sum(a.v * q.v * b.v) AS kept FROM z a JOIN q ON a.i = q.i JOIN z b ON a.node_id = b.node_id AND b.i = q.j GROUP BY 1),
+      n AS (SELECT node_id, sum(v * v) AS whole FROM z GROUP BY 1)
+      SELECT n.node_id, round(greatest((whole - kept) / {FEATURES}, 0), 6) AS recon_error FROM n JOIN w ON n.node_id = w.node_id"""
+
+
+ORACLE = {"forecast_basis": _forecast_sql(), "recon_error": _recon_sql()}

@@ -252,6 +252,14 @@ ORACLE = {
       s AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM v a, v b),
       r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s)
       SELECT query_id, item_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
+    "knn_lsh": f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+      n AS (SELECT t, b, list(('0x' || substr(md5('42-' || t || '-' || b || '-' || d), 1, 8))::BIGINT / 4294967296.0::DOUBLE - 0.5 ORDER BY d) AS n
+        FROM range({retrieval.TABLES}) t_(t), range({retrieval.BITS}) b_(b), range({DIM}) d_(d) GROUP BY 1, 2),
+      c AS (SELECT vec_id, t, CAST(sum(CASE WHEN list_dot_product(v, n) > 0 THEN 1 << b ELSE 0 END) AS BIGINT) AS c FROM v, n GROUP BY 1, 2),
+      p AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id AS item_id FROM c a JOIN c b ON a.t = b.t AND bit_count(xor(a.c, b.c)) <= {retrieval.FLIPS}),
+      s AS (SELECT query_id, item_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM p JOIN v a ON query_id = a.vec_id JOIN v b ON item_id = b.vec_id),
+      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s)
+      SELECT query_id, item_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
     "topk_per_query": """SELECT query_id, item_id, score, rank FROM (SELECT user_id AS query_id, event_id AS item_id, value AS score,
       CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) WHERE rank <= 5""",
     "ctr_cvr_score": f"WITH {CANDIDATES} SELECT user_id, item_id, round({_CTR}, 6) AS ctr, round({_CVR}, 6) AS cvr FROM candidates",
