@@ -30,7 +30,8 @@ def shared_attr_edges(memberships: DataFrame, user: str = "user_id", attribute:
 
 
 def both_directions(edges: DataFrame) -> DataFrame:
-    return edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    there, back = F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return edges.select(F.inline(F.array(there, back)))
 
 
 def shared_attr_mean(nodes: DataFrame, memberships: DataFrame, dim: int, node: str = "node_id",

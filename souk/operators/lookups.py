@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.scalars import numeric_cast_default
+from souk.sources.online import under
 
 # Features of ids that were never materialised.
 USER_DEFAULTS = {"user_view_count": 0, "user_purchase_count": 0, "user_conversion_rate": 0.0}
@@ -25,15 +26,18 @@ def cold_start_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFr
 def from_online(table: DataFrame, view: str, entity: str, identifier: str, defaults: Mapping[str, object]) -> DataFrame:
     """Typed features of an online ``(key, features)`` table: text fields as stored, numbers parsed.
 
-    A field that is absent or does not parse takes its default.
+    A field that is absent or does not parse takes its default; one with a whole default is a bigint.
     """
     prefix = f"fv:{view}:{entity}:"
     fields = []
     for name, default in defaults.items():
         text = F.col("features")[name]
-        value = F.coalesce(text, F.lit(default)) if isinstance(default, str) else numeric_cast_default(text, default)
+        if isinstance(default, str):
+            value = F.coalesce(text, F.lit(default))
+        else:
+            value = numeric_cast_default(text, default).cast("bigint" if isinstance(default, int) else "double")
         fields.append(value.alias(name))
-    return table.filter(F.col("key").startswith(prefix)).select(
+    return under(table, prefix).select(
         F.substring_index("key", ":", -1).alias(identifier), *fields
     )
 

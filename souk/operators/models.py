@@ -14,6 +14,7 @@ from souk.functions.scalars import ltr_features, relevance_label, sigmoid
 from souk.functions.vectors import dot, l2_normalize
 from souk.operators.graph import neighbor_mean
 from souk.operators.lookups import user_item_features
+from souk.operators.ordered import global_rank
 from souk.session import cut_lineage
 
 # Boosting rounds, learning rate, depth and embedding width.
@@ -25,17 +26,24 @@ def train_embeddings(events: DataFrame, weight: Column, dim: int = EMBEDDING_DIM
                      alpha: float = 1.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """User and item unit vectors from implicit-feedback factorisation: two ``(id, embedding)`` tables.
 
-    Repeated events of a pair are summed before the factorisation sees them.
+    Ids may be of any type that sorts; they are numbered across tasks for the factorisation, which takes 32-bit numbers.
+    Events without user or item are left out. Repeated events of a pair are summed before the factorisation sees them.
     """
-    pairs = events.groupBy("user_id", "item_id").agg(F.sum(weight.cast("double")).alias("weight"))
+    sums = events.filter("user_id is not null and item_id is not null").groupBy("user_id", "item_id")
+    pairs = cut_lineage(sums.agg(F.sum(weight.cast("double")).alias("weight")))
+    numbers = {c: global_rank(pairs.select(c).distinct(), [], [c], f"_{c}") for c in ("user_id", "item_id")}
+    numbered = pairs
+    for c, table in numbers.items():
+        numbered = numbered.join(table, c)
     als = ALS(rank=dim, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
-              userCol="user_id", itemCol="item_id", ratingCol="weight")
-    model = als.fit(pairs)
+              userCol="_user_id", itemCol="_item_id", ratingCol="weight")
+    model = als.fit(numbered)
 
-    def unit(factors: DataFrame, name: str) -> DataFrame:
-        return factors.select(F.col("id").cast("bigint").alias(name), l2_normalize(F.col("features")).alias("embedding"))
+    def unit(factors: DataFrame, of: str, name: str) -> DataFrame:
+        known = factors.join(numbers[of], factors["id"] == numbers[of][f"_{of}"])
+        return known.select(F.col(of).alias(name), l2_normalize(F.col("features")).alias("embedding"))
 
-    return unit(model.userFactors, "query_id"), unit(model.itemFactors, "item_id")
+    return unit(model.userFactors, "user_id", "query_id"), unit(model.itemFactors, "item_id", "item_id")
 
 
 def _logistic(rows: DataFrame, label: str, iterations: int) -> LogisticRegressionModel:

@@ -153,7 +153,7 @@ def entity_key(spark, d):
 def _online_table(spark, d):
     path = scratch_path(spark, "online")
     online.online_sink(fv.user_online_rows(users_of(spark, d)), path)
-    online.online_sink(fv.item_online_rows(items_of(spark, d)), path, mode="append")
+    online.online_sink(fv.item_online_rows(items_of(spark, d)), path)
     return online.read_online(spark, path)
 
 
@@ -318,8 +318,8 @@ ORACLE = {
     "entity_key": f"WITH {INTERACTIONS} SELECT DISTINCT item_id, 'fv:item_aggregates:item:' || item_id AS key FROM interactions",
     "online_sink": f"WITH {INTERACTIONS}, {USERS}, {ITEMS} {_USER_FIELDS} UNION ALL {_ITEM_FIELDS}",
     "key_scan": f"WITH {INTERACTIONS} SELECT DISTINCT 'fv:item_aggregates:item:' || item_id AS key, CAST(item_id AS VARCHAR) AS id FROM interactions",
-    "online_lookup": f"""WITH {USERS} SELECT user_id, CAST(user_view_count AS DOUBLE) AS user_view_count, CAST(user_purchase_count AS DOUBLE) AS user_purchase_count,
-        CAST(printf('%.4f', user_conversion_rate) AS DOUBLE) AS user_conversion_rate, 18.0::DOUBLE AS user_age FROM users""",
+    "online_lookup": f"""WITH {USERS} SELECT user_id, user_view_count, user_purchase_count,
+        CAST(printf('%.4f', user_conversion_rate) AS DOUBLE) AS user_conversion_rate, 18::BIGINT AS user_age FROM users""",
     "event_log_days": """SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events
         WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY 1, 2""",
     "user_feature_lookup": f"""WITH {REQUESTS}, {USERS} SELECT pos, r.user_id, coalesce(user_view_count, 0) AS user_view_count,

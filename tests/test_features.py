@@ -251,6 +251,36 @@ def test_event_log_opens_only_the_days_asked_for(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan and len(os.listdir(path)) >= 10
 
 
+def test_online_table_is_keyed(spark, tmp_path):
+    def rows(*pairs):
+        return spark.createDataFrame([(k, {"n": v}) for k, v in pairs], "key string, features map<string,string>")
+
+    def stored():
+        return sorted((r.key, r.features["n"]) for r in online.read_online(spark, path).collect())
+
+    path = str(tmp_path / "online")
+    for _ in range(2):
+        online.online_sink(rows(("fv:a:user:1", "1"), ("fv:a:user:2", "2")), path)
+        online.online_sink(rows(("fv:b:item:1", "7")), path)
+    assert stored() == [("fv:a:user:1", "1"), ("fv:a:user:2", "2"), ("fv:b:item:1", "7")]
+    online.online_upsert(rows(("fv:a:user:2", "5"), ("fv:a:user:3", "6")), path)
+    assert stored() == [("fv:a:user:1", "1"), ("fv:a:user:2", "5"), ("fv:a:user:3", "6"), ("fv:b:item:1", "7")]
+    scan = online.key_scan(online.read_online(spark, path), "fv:a:user:")
+    assert sorted(r.id for r in scan.collect()) == ["1", "2", "3"]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "namespace" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.id for r in online.key_scan(online.read_online(spark, path), "fv:a:user:3").collect()] == ["3"]
+
+
+def test_serving_view_adds_later_increments(spark, tmp_path):
+    write = online.write_increments(str(tmp_path / "inc"))
+    for number, delta in enumerate([100, 2, 3]):
+        write(spark.createDataFrame([("u1", "views", delta), ("u2", "views", delta)], "key string, field string, delta long"), number)
+    snapshot = spark.createDataFrame([("u1", {"views": "100", "rate": "0.5"}), ("u3", {"views": "1"})], "key string, features map<string,string>")
+    view = online.with_increments(snapshot, online.read_increments(spark, str(tmp_path / "inc"), after=0))
+    assert {r.key: r.features for r in view.collect()} == {"u1": {"views": "105", "rate": "0.5"}, "u2": {"views": "5"}, "u3": {"views": "1"}}
+
+
 def test_online_table_reads_back_with_defaults(spark):
     table = spark.createDataFrame([("fv:user_aggregates:user:u1", {"user_view_count": "3", "user_purchase_count": "x"}), ("fv:item_aggregates:item:i1", {"category": "home"})], "key string, features map<string,string>")
     users = lookups.from_online(table, "user_aggregates", "user", "user_id", lookups.USER_DEFAULTS).collect()

@@ -87,6 +87,14 @@ def test_embeddings_beat_popularity(clustered):
     assert agree > 0.75  # a popularity list would agree half the time
 
 
+def test_embeddings_take_ids_of_any_type(clustered):
+    weight = F.when(F.col("event_type") == "purchase", 5).otherwise(0.1)
+    far = clustered.select((F.col("user_id") + (1 << 40)).alias("user_id"), F.concat(F.lit("i-"), "item_id").alias("item_id"), "event_type")
+    users, items = models.train_embeddings(far, weight, dim=4)
+    assert {r.query_id for r in users.collect()} == {(1 << 40) + u for u in range(60)}
+    assert {r.item_id for r in items.collect()} == {f"i-{i}" for i in range(30)}
+
+
 def test_rankers_order_their_training_data(spark, clustered):
     users = clustered.groupBy("user_id").agg(F.count_if(F.col("event_type") == "view").alias("user_view_count"),
                                              F.count_if(F.col("event_type") == "purchase").alias("user_purchase_count"))
