@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector
@@ -17,6 +19,9 @@ from souk.operators.lookups import user_item_features
 from souk.operators.ordered import global_rank
 from souk.session import cut_lineage
 
+#: A fitted model: adds its scores to rows.
+Scorer = Callable[[DataFrame], DataFrame]
+
 # Boosting rounds, learning rate, depth and embedding width.
 ROUNDS, LEARNING_RATE, DEPTH = 30, 0.05, 5
 EMBEDDING_DIM = 32
@@ -58,16 +63,6 @@ def _probability(model: LogisticRegressionModel, x: Column) -> Column:
     return sigmoid(dot(x, weights) + F.lit(float(model.intercept)))
 
 
-def _standardised(rows: DataFrame, values: Column, into: str) -> DataFrame:
-    """Adds an array of the values with mean 0 and spread 1; a constant value becomes 0."""
-    raw = rows.withColumn("_raw", values)
-    scaler = StandardScaler(inputCol="raw", outputCol="x").fit(raw.select(array_to_vector("_raw").alias("raw")))
-    means = F.array(*[F.lit(float(m)) for m in scaler.mean])
-    scales = F.array(*[F.lit(1.0 / float(s) if s > 0 else 0.0) for s in scaler.std])
-    centred = F.zip_with("_raw", means, lambda v, m: v - m)
-    return raw.withColumn(into, F.zip_with(centred, scales, lambda v, s: v * s)).drop("_raw")
-
-
 CTR_INPUTS = ("user_view_count", "user_purchase_count", "user_conversion_rate", "base_price", "popularity")
 
 
@@ -79,33 +74,56 @@ def ranker_examples(events: DataFrame, users: DataFrame, items: DataFrame, click
     return user_item_features(seen, users, items)
 
 
+def fit_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25,
+                names: tuple[str, str] = ("ctr_pred", "cvr_pred")) -> Scorer:
+    """A scorer that adds click and conversion probabilities to any rows with the input columns, seen or not.
+
+    Two logistic heads over shared inputs, standardised as in the examples, and their user x item products. The fit
+    reads ``examples`` several times, so pass a written table; the scorer is plain Column arithmetic.
+    """
+    raw = examples.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in inputs])).alias("raw"))
+    scaler = StandardScaler(inputCol="raw", outputCol="x").fit(raw)
+    plain = {
+        c: (F.col(c).cast("double") - float(mean)) * (1.0 / float(spread) if spread > 0 else 0.0)
+        for c, mean, spread in zip(inputs, scaler.mean, scaler.std)
+    }
+    of_user = [v for c, v in plain.items() if c.startswith("user")]
+    of_item = [v for c, v in plain.items() if not c.startswith("user")]
+    x = F.array(*plain.values(), *[u * i for u in of_user for i in of_item])
+    shared = examples.withColumn("x", x)
+    heads = [_logistic(shared, label, iterations) for label in ("ctr_label", "cvr_label")]
+    return lambda rows: rows.withColumns({name: _probability(head, x) for name, head in zip(names, heads)})
+
+
 def train_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25) -> DataFrame:
-    """``examples`` with ``ctr_pred`` and ``cvr_pred`` from two logistic heads over shared crossed features."""
+    """``examples`` with the ``ctr_pred`` and ``cvr_pred`` of the model that they teach."""
     examples = cut_lineage(examples)
-    plain = _standardised(examples, F.array(*[F.col(c).cast("double") for c in inputs]), "_plain")
-    of_user = [F.col("_plain")[i] for i, c in enumerate(inputs) if c.startswith("user")]
-    of_item = [F.col("_plain")[i] for i, c in enumerate(inputs) if not c.startswith("user")]
-    crosses = F.array(*[u * i for u in of_user for i in of_item])
-    shared = plain.withColumn("x", F.concat("_plain", crosses))
-    heads = {f"{task}_pred": _logistic(shared, f"{task}_label", iterations) for task in ("ctr", "cvr")}
-    scores = {name: _probability(head, F.col("x")) for name, head in heads.items()}
-    return shared.withColumns(scores).select(*examples.columns, *scores)
+    return fit_ctr_cvr(examples, inputs, iterations)(examples)
+
+
+def with_ltr_features(rows: DataFrame) -> DataFrame:
+    """Adds the ten ranking ``features`` to rows with the ranking inputs."""
+    return rows.withColumn("features", ltr_features(*[F.col(c) for c in CTR_INPUTS]))
 
 
 def ltr_examples(events: DataFrame, users: DataFrame, items: DataFrame, grades: dict[str, int]) -> DataFrame:
     """One row per (user, item) with its best grade and the ten ranking features."""
     seen = events.groupBy("user_id", "item_id").agg(F.max(relevance_label(F.col("event_type"), grades)).alias("relevance"))
-    inputs = user_item_features(seen, users, items)
-    x = ltr_features(*[F.col(c) for c in CTR_INPUTS])
-    return inputs.select("user_id", "item_id", "relevance", x.alias("features"))
+    inputs = with_ltr_features(user_item_features(seen, users, items))
+    return inputs.select("user_id", "item_id", "relevance", "features")
 
 
-def train_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42) -> DataFrame:
-    """``examples`` with ``ltr_score`` from gradient-boosted trees on the relevance grade."""
-    rows = cut_lineage(examples).withColumn("x", array_to_vector("features"))
+def fit_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42) -> Scorer:
+    """A scorer that adds ``ltr_score`` to rows with ``features``: gradient-boosted trees on the relevance grade."""
     model = GBTRegressor(featuresCol="x", labelCol="relevance", predictionCol="ltr_score", maxIter=rounds,
-                         stepSize=rate, maxDepth=depth, seed=seed).fit(rows)
-    return model.transform(rows).drop("x")
+                         stepSize=rate, maxDepth=depth, seed=seed).fit(examples.withColumn("x", array_to_vector("features")))
+    return lambda rows: model.transform(rows.withColumn("x", array_to_vector("features"))).drop("x")
+
+
+def train_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42) -> DataFrame:
+    """``examples`` with the ``ltr_score`` of the model that they teach."""
+    examples = cut_lineage(examples)
+    return fit_ltr(examples, rounds, rate, depth, seed)(examples)
 
 
 def graph_score(nodes: DataFrame, edges: DataFrame, dim: int, iterations: int = 25, node: str = "node_id",

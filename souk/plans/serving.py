@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.operators.lookups import user_item_features
-from souk.operators.ranking import rank_by_ctr, rank_by_ltr
+from souk.operators.ranking import rank_rows, score_ctr, score_ltr
 from souk.operators.retrieval import knn_cosine
 
 # Accepted request sizes.
@@ -19,25 +21,34 @@ def _check(k: int, largest: int) -> None:
         raise ValueError(f"k must be between 1 and {largest}, got {k}")
 
 
-def _candidates(user_vectors: DataFrame, item_vectors: DataFrame, k: int) -> DataFrame:
-    found = knn_cosine(user_vectors, item_vectors, k, query_id="user_id")
+def _candidates(user_vectors: DataFrame, item_vectors: DataFrame, k: int, nearest: Callable[..., DataFrame]) -> DataFrame:
+    found = nearest(user_vectors, item_vectors, k, query_id="user_id")
     return found.select(F.col("query_id").alias("user_id"), "item_id", F.col("score").alias("similarity"))
 
 
 def batch_recommend(user_vectors: DataFrame, item_vectors: DataFrame, users: DataFrame, items: DataFrame,
-                    k: int = RECOMMEND_DEFAULT) -> DataFrame:
-    """``(user_id, rank, item_id, ctr, cvr)``: the k nearest items of every user, ordered by click probability."""
+                    k: int = RECOMMEND_DEFAULT, score: Callable[[DataFrame], DataFrame] = score_ctr,
+                    nearest: Callable[..., DataFrame] = knn_cosine) -> DataFrame:
+    """``(user_id, rank, item_id, ctr, cvr)``: the k nearest items of every user, ordered by click probability.
+
+    ``score`` adds ``ctr`` and ``cvr``, for instance one that ``models.fit_ctr_cvr`` returns. ``nearest`` finds the
+    candidates: exactly, which compares all users with all items, or for large catalogues ``knn_lsh`` with its ``dim``.
+    """
     _check(k, RECOMMEND_MAX)
-    candidates = user_item_features(_candidates(user_vectors, item_vectors, k), users, items)
-    return rank_by_ctr(candidates, bounded=True).select("user_id", "rank", "item_id", "ctr", "cvr")
+    candidates = user_item_features(_candidates(user_vectors, item_vectors, k, nearest), users, items)
+    return rank_rows(score(candidates), "ctr", bounded=True).select("user_id", "rank", "item_id", "ctr", "cvr")
 
 
 def batch_search(user_vectors: DataFrame, item_vectors: DataFrame, users: DataFrame, items: DataFrame,
-                 k: int = SEARCH_DEFAULT) -> DataFrame:
-    """``(user_id, rank, item_id, ltr_score)``: 2k nearest items rescored, best k kept. The query text plays no part."""
+                 k: int = SEARCH_DEFAULT, score: Callable[[DataFrame], DataFrame] = score_ltr,
+                 nearest: Callable[..., DataFrame] = knn_cosine) -> DataFrame:
+    """``(user_id, rank, item_id, ltr_score)``: 2k nearest items rescored, best k kept. The query text plays no part.
+
+    ``score`` adds ``ltr_score``; see ``batch_recommend`` for it and ``nearest``.
+    """
     _check(k, SEARCH_MAX)
-    candidates = user_item_features(_candidates(user_vectors, item_vectors, 2 * k), users, items)
-    return rank_by_ltr(candidates, bounded=True).filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "ltr_score")
+    candidates = user_item_features(_candidates(user_vectors, item_vectors, 2 * k, nearest), users, items)
+    return rank_rows(score(candidates), "ltr_score", bounded=True).filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "ltr_score")
 
 
 def as_response(ranked: DataFrame, *fields: str) -> DataFrame:

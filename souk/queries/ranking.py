@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions import scalars as S
 from souk.functions import vectors as V
-from souk.operators import evaluation, interleaving, lookups, ranking, retrieval
+from souk.operators import evaluation, interleaving, lookups, models, ranking, retrieval
 from souk.plans import serving
 from souk.queries.features import INTERACTIONS, ITEMS, USERS, items_of, users_of
-from souk.session import scratch_path
+from souk.session import cut_lineage, scratch_path
 from souk.sources import adapters as A
 from souk.sources import vector_table
 
@@ -99,6 +101,15 @@ def batch_recommend(spark, d):
     return _r(out, 6, "ctr", "cvr")
 
 
+def recommend_trained(spark, d):
+    """Every user's candidates from the hashed search, most of them never seen, ordered by a ranker fitted on the log."""
+    users, items = users_of(spark, d), items_of(spark, d)
+    seen = models.ranker_examples(A.interactions(spark, d), users, items, F.col("event_type") == "click", F.col("event_type") == "purchase")
+    score = models.fit_ctr_cvr(cut_lineage(seen), names=("ctr", "cvr"))
+    return serving.batch_recommend(_user_vectors(spark, d), _vectors(spark, d, "item_id"), users, items, score=score,
+                                   nearest=partial(retrieval.knn_lsh, dim=DIM))
+
+
 def batch_search(spark, d):
     out = serving.batch_search(_user_vectors(spark, d), _vectors(spark, d, "item_id"), users_of(spark, d), items_of(spark, d))
     return _r(out, 6, "ltr_score")
@@ -193,7 +204,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         l2_normalize, vector_table_write, knn_cosine, knn_lsh, topk_per_query, ctr_cvr_score, rank_by_ctr, ltr_features,
-        ltr_linear_score, rank_by_ltr, cap_per_category, batch_recommend, batch_search, relevance_label, hash_bucket, dedup_first,
+        ltr_linear_score, rank_by_ltr, cap_per_category, batch_recommend, recommend_trained, batch_search, relevance_label, hash_bucket, dedup_first,
         team_draft_interleave, click_attribution, info_nce, bce_joint_loss, champion_challenger, ranking_metrics, assign_variant,
     )
 }

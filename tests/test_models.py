@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from souk.operators import anomalies, evaluation, graph, models, retrieval
+from souk.operators import anomalies, evaluation, graph, lookups, models, retrieval
 from souk.plans import fraud
 
 
@@ -105,6 +105,10 @@ def test_rankers_order_their_training_data(spark, clustered):
     scored = models.train_ctr_cvr(examples)
     assert evaluation.auc(scored, "ctr_pred", "ctr_label").first().auc > 0.95
     assert evaluation.bce_joint_loss(scored).first().ctr_loss < 0.69
+    unseen = users.select("user_id").crossJoin(items.select("item_id")).join(examples.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    rated = models.fit_ctr_cvr(examples, names=("ctr", "cvr"))(lookups.user_item_features(unseen, users, items))
+    odds = {r.odd: r.m for r in rated.groupBy((F.col("item_id") % 2).alias("odd")).agg(F.avg("ctr").alias("m")).collect()}
+    assert rated.count() == 60 * 30 - 60 * 12 and odds[1] > 0.8 > 0.2 > odds[0]
     graded = models.train_ltr(models.ltr_examples(odd, users, items, {"view": 1, "purchase": 3}), rounds=5)
     means = {r.relevance: r.m for r in graded.groupBy("relevance").agg(F.avg("ltr_score").alias("m")).collect()}
     assert means[3] > means[1] + 1
