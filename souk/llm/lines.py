@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct sites from which a line is boilerplate, and the shortest line (code points, trimmed) that can be.
-SITES, SHORTEST = 10, 20
+#: Distinct sites from which a line is boilerplate, and the shortest line (code points, trimmed) that can be: any that is not blank.
+SITES, SHORTEST = 10, 1
 #: Sketch size (log2 of the buckets; relative error 1.04 / sqrt(4096) = 1.6 %), and the band that is counted exactly.
 BUCKETS, BAND = 12, 0.25
 #: Columns that exist only between a join and the next selection.
@@ -24,11 +24,16 @@ def _hashes(line: Column) -> list[Column]:
     return [F.xxhash64(trimmed).alias("h1"), F.xxhash64(F.lit("second"), trimmed).alias("h2")]
 
 
+def _counts(line: Column, shortest: int) -> Column:
+    """Whether a line can be boilerplate: long enough, and not blank (white space of any kind, as the CR of a CRLF file)."""
+    return (F.length(F.trim(line)) >= shortest) & (F.length(F.btrim(line, F.lit(" \t\r\f\x0b"))) > 0)
+
+
 def _lines(docs: DataFrame, key: str, text: str, site: str, shortest: int) -> DataFrame:
     split = docs.select(
         F.col(key).alias("doc_id"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.explode(F.split(text, "\n")).alias("line")
     )
-    return split.filter(F.length(F.trim("line")) >= shortest).select("doc_id", "site", *_hashes(F.col("line")))
+    return split.filter(_counts(F.col("line"), shortest)).select("doc_id", "site", *_hashes(F.col("line")))
 
 
 def boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, shortest: int = SHORTEST) -> DataFrame:
@@ -46,7 +51,7 @@ def boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text", site:
 def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with ``text`` less its boilerplate lines, and two columns more: ``souk_lines`` and ``souk_removed``, their numbers.
 
-    A null text stays null and an empty one empty, both without lines; blank and short lines always stay; a null
+    A null text stays null and an empty one empty, both without lines; blank lines always stay, and so do those under ``shortest``; a null
     site counts as one site. Rows of the smallest id keep their lines, all of them if the id repeats; rows with a
     null id lose every boilerplate line that another row keeps. Repeated rows give repeated rows, an empty table
     gives none, and columns of any other name pass through.
@@ -58,7 +63,7 @@ def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ).withColumnRenamed("doc_id", DROPPED)
     joined = docs.join(drops, F.col(key).eqNullSafe(F.col(DROPPED)), "left")
     split = F.split(text, "\n")
-    kept = F.filter(split, lambda x: (F.length(F.trim(x)) < shortest) | ~F.array_contains(DROP, F.struct(*_hashes(x))))
+    kept = F.filter(split, lambda x: ~_counts(x, shortest) | ~F.array_contains(DROP, F.struct(*_hashes(x))))
     shrunk = joined.withColumn(KEPT, F.when(F.col(DROP).isNotNull(), kept))
     n = F.when(F.coalesce(F.length(text), F.lit(0)) == 0, 0).otherwise(F.size(split)).cast("bigint")
     return shrunk.select(
