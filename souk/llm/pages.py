@@ -1,8 +1,9 @@
 """Main text of web pages: parser events, text-to-tag ratios, Gaussian smoothing and threshold clustering.
 
 The standard library's parser streams a page into lines, one per block, each with its text, its number of tags,
-its link text and the elements around it. Lines in elements that are never the article (menus, forms, adverts,
-comments and the like, by element name, role or class) carry no text. The text-to-tag ratios of the other lines
+its link text and the elements around it. Lines in elements that are never the article (menus, forms and the
+like, by element name or role) carry no text. Words in a class or id (adverts, comments) only mark an element: what it
+holds is left out if that is the smaller part of the page's unlinked text. The text-to-tag ratios of the other lines
 are smoothed with a Gaussian kernel; lines above the threshold form the content cluster. The content region is
 the innermost element that holds most of the cluster's text, widened to the article element around it, and all
 its lines are kept, so that a short paragraph between long ones is not lost.
@@ -38,7 +39,7 @@ HIDDEN = frozenset(
     "footer aside form dialog search".split()
 )
 HIDDEN_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
-#: Words that mark an element as outside the article when they are part of its class or id.
+#: Words that mark an element as outside the article when its class or id consists of them.
 HIDDEN_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted cookie cookies consent "
     "gdpr notice notices notification popup modal overlay lightbox sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs topbar "
@@ -46,12 +47,26 @@ HIDDEN_WORDS = frozenset(
     "recommendations newsletter subscribe subscription signup signin login pagination pager widget widgets hidden skip announcement "
     "disclaimer paywall".split()
 )
+#: Words beside them that do not change what an element is: a class is read whole, so "with-sidebar" or "related-work" marks nothing.
+FRAME_WORDS = frozenset(
+    "box container wrapper wrap block area list bar section panel group item items inner outer link links icon icons button buttons btn form "
+    "title heading text left right top bottom primary secondary site page post posts entry article articles story stories blog global mobile "
+    "desktop sticky fixed unit slot google leaderboard column col row recent popular more module message dialog sign up in email fb twitter "
+    "facebook".split()
+)
+#: Words that are also plain titles: as the id of a section they name it, and mark nothing.
+TITLE_WORDS = frozenset("announcement disclaimer discussion hidden notice notices notification related replies reply sharing skip social".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A marked element with more than this share of the page's unlinked text is no side matter.
+MOST = 0.5
 #: These mark page heads unless they are inside an article, whose own head holds its title.
 HEAD_WORDS = frozenset("header head".split())
 ARTICLES = frozenset("article main".split())
+#: The words that mark an article element.
+ARTICLE_WORDS = frozenset("comment comments reply ad advert promo related".split())
 IMPLIED = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 SCOPES = frozenset("html body div section article main ul ol dl table blockquote nav aside footer header form td th li dd figure details".split())
-_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 @dataclass
@@ -61,20 +76,21 @@ class Element:
     hidden: bool
     in_article: bool
     depth: int
+    marked: bool = False
 
 
 @dataclass
 class Line:
     element: Element
     tags: int
-    parts: list[str] = field(default_factory=list)
+    parts: list[tuple[str, Element, bool]] = field(default_factory=list)
     links: int = 0
     text: str = ""
     heading: bool = False
 
 
 class Lines(HTMLParser):
-    """One ``Line`` per block of a page, in page order; hidden elements give none."""
+    """One ``Line`` per block of a page, in page order; hidden elements give none, marked ones only if they hold most of the text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -83,13 +99,9 @@ class Lines(HTMLParser):
 
     def _break(self) -> None:
         if self._line is not None:
-            self._line.text = " ".join("".join(self._line.parts).split())
             self._line.tags = self._tags
-            self._line.parts = []
-            if self._line.text:
-                self.lines.append(self._line)
-                self._tags = 0
-            self._line = None
+            self.lines.append(self._line)
+            self._line, self._tags = None, 0
 
     def _pop_to(self, at: int) -> None:
         for element in self.open[at:]:
@@ -108,21 +120,27 @@ class Lines(HTMLParser):
 
     @staticmethod
     def _is_hidden(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
-        if name in ("html", "body", "article", "main") and "hidden" not in attrs:
-            own = {w for w in re.split(r"[\s_-]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()) if w}
-            return name == "article" and bool(own & {"comment", "comments", "reply", "ad", "advert", "promo", "related"})
+        if name in ("html", "body", *ARTICLES) and "hidden" not in attrs:
+            return False
         if name in HIDDEN or (name == "header" and not in_article):
             return True
         style = (attrs.get("style") or "").replace(" ", "").lower()
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
             return True
-        if (attrs.get("role") or "").lower() in HIDDEN_ROLES:
-            return True
-        marks = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        if marks == " ":
+        return (attrs.get("role") or "").lower() in HIDDEN_ROLES
+
+    @staticmethod
+    def _is_marked(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+        if name in ("html", "body", "main"):
             return False
-        words = {w.lower() for w in _PARTS.findall(marks)} | {w for w in re.split(r"[^a-z0-9]+", marks.lower()) if w}
-        return bool(words & HIDDEN_WORDS) or (not in_article and bool(words & HEAD_WORDS) and name in ("div", "section", "table"))
+        of_class, of_id = (set(map(_words, (attrs.get(k) or "").split())) for k in ("class", "id"))
+        if name in HEADINGS or (name == "section" and in_article):
+            of_id = set()
+        elif name == "section":
+            of_id = {w for w in of_id if not w <= TITLE_WORDS}
+        heads = HEAD_WORDS if not in_article and name in ("div", "section", "table") else frozenset()
+        side = ARTICLE_WORDS if name == "article" else HIDDEN_WORDS | heads
+        return any(words & side and words <= side | FRAME_WORDS for words in of_class | of_id)
 
     def handle_starttag(self, name: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
@@ -134,9 +152,10 @@ class Lines(HTMLParser):
         if name in VOID:
             return
         parent = self.open[-1]
-        in_article = parent.in_article or name in ARTICLES
         hidden = parent.hidden or self._is_hidden(name, dict(attrs), parent.in_article)
-        self.open.append(Element(name, parent, hidden, in_article, parent.depth + 1))
+        marked = not hidden and self._is_marked(name, dict(attrs), parent.in_article)
+        in_article = parent.in_article or (name in ARTICLES and not marked)
+        self.open.append(Element(name, parent, hidden, in_article, parent.depth + 1, marked))
         self._anchors += name == "a"
 
     def handle_startendtag(self, name: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -166,13 +185,61 @@ class Lines(HTMLParser):
             while block.parent is not None and block.name not in BLOCKS:
                 block = block.parent
             self._line = Line(block, 0, heading=block.name in ("h1", "h2"))
-        self._line.parts.append(data)
-        if self._anchors:
-            self._line.links += len(data.strip())
+        self._line.parts.append((data, inner, self._anchors > 0))
 
     def close(self) -> None:
         super().close()
         self._break()
+        self._leave_out_marked()
+
+    def _leave_out_marked(self) -> None:
+        """Write the lines' text without that of marked elements, unless one holds most of the page or nothing else is left.
+
+        The page is its articles, if they hold any unlinked text: an advert longer than the article stays out.
+        """
+        held: dict[int, int] = {}
+        total = 0
+        articles = any(element.in_article and data.strip() and not linked for line in self.lines for data, element, linked in line.parts)
+        for line in self.lines:
+            for data, element, linked in line.parts:
+                weight = 0 if linked or (articles and not element.in_article) else len(data.strip())
+                total += weight
+                while weight and element is not None:
+                    if element.marked:
+                        held[id(element)] = held.get(id(element), 0) + weight
+                    element = element.parent
+        out: dict[int, bool] = {}
+
+        def left_out(element: Element) -> bool:
+            path = []
+            while element is not None and id(element) not in out:
+                path.append(element)
+                element = element.parent
+            found = element is not None and out[id(element)]
+            for one in reversed(path):
+                found = found or (one.marked and held.get(id(one), 0) <= MOST * total)
+                out[id(one)] = found
+            return found
+
+        some = any(data.strip() and not left_out(element) for line in self.lines for data, element, _ in line.parts)
+        lines, tags = [], 0
+        for line in self.lines:
+            parts = [(data, linked) for data, element, linked in line.parts if not some or not left_out(element)]
+            line.text = " ".join("".join(data for data, _ in parts).split())
+            line.links = sum(len(data.strip()) for data, linked in parts if linked)
+            line.tags += tags
+            tags = 0 if line.text else line.tags
+            line.parts = []
+            if line.text:
+                lines.append(line)
+        self.lines = lines
+
+
+def _words(token: str) -> frozenset[str]:
+    """The words of one class or id; a token that is a word itself stays one."""
+    if token.lower() in HIDDEN_WORDS:
+        return frozenset([token.lower()])
+    return frozenset(w.lower() for w in _PARTS.findall(token) if not w.isdigit())
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

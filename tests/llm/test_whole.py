@@ -1,6 +1,6 @@
 """Cases in which an operator once did less than its whole job."""
 
-from souk.llm import lines
+from souk.llm import lines, pages
 
 
 def test_short_lines_on_many_sites_go(spark):
@@ -10,3 +10,18 @@ def test_short_lines_on_many_sites_go(spark):
     assert got[0] == "Read more\nown line 0\n\n\r\n\t\nrare"
     assert all(got[i] == f"own line {i}\n\n\r\n\t" for i in range(1, 12))
     assert all(got[20 + i] == "Seldom" for i in range(9))
+
+
+WORDS = "This paragraph holds enough plain words to count as a part of the article, and it goes on for a while."
+
+
+def test_marked_words_do_not_hide_the_article():
+    for mark in ("layout with-sidebar", "has-sidebar", "no-sidebar", "withSidebar", "sidebar"):
+        assert pages.main_text(f'<body><div class="{mark}"><p>{WORDS}</p><p>{WORDS}</p></div></body>').count(WORDS) == 2
+    page = f"""<body><article><h1>Title</h1><p>{WORDS}</p><section id="discussion"><h2 id="related-work">Related work</h2><p>{WORDS} A</p></section>
+    <h2 id="social-impact">Social impact</h2><p>{WORDS} B</p><div id="notice-of-meeting"><p>{WORDS} C</p></div><h2 id="discussion">Discussion</h2>
+    <div class="share-buttons">Share</div><p>Go on <span class="ad">Buy</span> here.</p></article><div id="comments"><p>{WORDS} D</p></div></body>"""
+    assert pages.main_text(page).split("\n\n") == [
+        "Title", WORDS, "Related work", f"{WORDS} A", "Social impact", f"{WORDS} B", f"{WORDS} C", "Discussion", "Go on here.",
+    ]
+    assert pages.main_text(page.replace("article>", "div>")).split("\n\n")[2:4] == ["Related work", f"{WORDS} A"]
