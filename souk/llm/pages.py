@@ -5,8 +5,8 @@ its link text and the elements around it. Lines in elements that are never the a
 like, by element name or role) carry no text. Words in a class or id (adverts, comments) only mark an element: what it
 holds is left out if that is the smaller part of the page's unlinked text. The text-to-tag ratios of the other lines
 are smoothed with a Gaussian kernel; lines above the threshold form the content cluster. The content region is
-the innermost element that holds most of the cluster's text, widened to the article element around it, and all
-its lines are kept, so that a short paragraph between long ones is not lost.
+the innermost element that holds all of the cluster, or every article element that holds a part of it if articles hold
+most of its text, and all its lines are kept, so that a short paragraph between long ones is not lost.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from souk.llm.common import map_batches
 
-#: Kernel width in lines, share of the ratios' mean that is the threshold, and share of the cluster's text that a region must hold.
+#: Kernel width in lines, share of the ratios' mean that is the threshold, and share of the cluster's text that articles hold if they are the region.
 SIGMA = 1.0
 THRESHOLD = 0.5
 REGION = 0.6
@@ -251,6 +251,30 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(values, kernel)[middle] / weight
 
 
+def _unlinked(line: Line) -> int:
+    return max(0, len(line.text) - line.links)
+
+
+def _outermost(element: Element | None, name: str) -> Element | None:
+    """The outermost unmarked element of a name around an element."""
+    found = None
+    while element is not None:
+        if element.name == name and not element.marked:
+            found = element
+        element = element.parent
+    return found
+
+
+def _around(a: Element, b: Element) -> Element:
+    """The innermost element that holds both."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a
+
+
 def main_text(html: str) -> str:
     """The article's blocks, joined by an empty line; empty if the page has no text outside hidden elements."""
     parser = Lines()
@@ -261,32 +285,25 @@ def main_text(html: str) -> str:
         return ""
     ratios = smoothed(np.array([len(x.text) / max(1, x.tags) for x in lines]))
     content = ratios >= THRESHOLD * ratios.mean()
-    held: dict[int, int] = {}
-    elements: dict[int, Element] = {}
-    total = 0
-    for line, chosen in zip(lines, content):
-        weight = max(0, len(line.text) - line.links) if chosen else 0
-        total += weight
-        element = line.element
-        while element is not None:
-            held[id(element)] = held.get(id(element), 0) + weight
-            elements[id(element)] = element
-            element = element.parent
-    region = max((e for k, e in elements.items() if held[k] >= REGION * total), key=lambda e: e.depth)
-    if region.name in ("p", "span", "h1", "h2", "li", "td") and region.parent is not None:
-        region = region.parent
-    around = region
-    while around is not None and around.name != "article":
-        around = around.parent
-    if around is None:
-        around = region
-        while around is not None and around.name != "main":
-            around = around.parent
-    region = around or region
+    cluster = [x for x, c in zip(lines, content) if c and x.links <= LINKS * len(x.text)]
+    cluster = cluster or [x for x, c in zip(lines, content) if c]
+    total = sum(map(_unlinked, cluster))
+    regions: set[int] = set()
+    for name in ("article", "main"):
+        held = [(x, e) for x in cluster if (e := _outermost(x.element, name)) is not None]
+        if not regions and held and sum(_unlinked(x) for x, _ in held) >= REGION * total:
+            regions = {id(e) for _, e in held}
+    if not regions:
+        region = cluster[0].element
+        for line in cluster[1:]:
+            region = _around(region, line.element)
+        if region.name in ("p", "span", "h1", "h2", "li", "td") and region.parent is not None:
+            region = region.parent
+        regions = {id(region)}
 
     def inside(element: Element | None) -> bool:
         while element is not None:
-            if element is region:
+            if id(element) in regions:
                 return True
             element = element.parent
         return False

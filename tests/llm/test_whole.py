@@ -25,3 +25,16 @@ def test_marked_words_do_not_hide_the_article():
         "Title", WORDS, "Related work", f"{WORDS} A", "Social impact", f"{WORDS} B", f"{WORDS} C", "Discussion", "Go on here.",
     ]
     assert pages.main_text(page.replace("article>", "div>")).split("\n\n")[2:4] == ["Related work", f"{WORDS} A"]
+
+
+def test_region_holds_the_whole_cluster():
+    for inner in ("section", "ul", "blockquote", "pre", "table", "div"):
+        row = {"ul": "li", "table": "td"}.get(inner, "p")
+        middle = "".join(f"<{row}>{WORDS} {i}</{row}>" for i in range(6))
+        text = pages.main_text(f"<body><div><p>{WORDS} before</p><{inner}>{middle}</{inner}><p>{WORDS} after</p><p>Short end.</p></div></body>")
+        assert f"{WORDS} before" in text and f"{WORDS} 5" in text and f"{WORDS} after" in text and "Short end." in text
+    parts = [f"<article><p>{WORDS} {i}</p><p>{WORDS}</p><p>Short {i}.</p></article>" for i in range(2)]
+    text = pages.main_text(f"<body>{parts[0]}<p>{WORDS} third</p>{parts[1]}<div>x</div></body>")
+    assert all(x in text for x in (f"{WORDS} 0", f"{WORDS} 1", "Short 0.", "Short 1."))
+    text = pages.main_text(f"<body><article><p>{WORDS} 0</p>{f'<p>{WORDS}</p>' * 5}</article><article><p>{WORDS} 1</p><p>{WORDS}</p></article></body>")
+    assert f"{WORDS} 0" in text and f"{WORDS} 1" in text
