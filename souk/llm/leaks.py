@@ -9,6 +9,9 @@ are verified by an exact semi-global edit distance.
 
 An item of n words within d edits leaves one of d + 1 pieces untouched. Only windows around such a piece are
 embedded: no other window can be within the distance, so nothing is lost by that.
+
+Walks drift apart as edits add up, so an item of more than ``LONGEST`` words is searched by parts of about equal size.
+An item within its share of edits has a part within the part's own share; where one meets, the whole item is verified.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from souk.llm.words import WordHasher, constants, joined, mixed
 PERCENT, SHORTEST = 20, 8
 #: Output positions in a key, steps of the walk per word, and the recall to reach at the largest distance.
 SAMPLED, STEPS, RECALL = 3, 2, 0.995
+#: Words in the longest sequence that is embedded: the number of walks is fitted up to it.
+LONGEST = 64
 #: Words of items that one pass over the documents holds; more items take more passes.
 ITEM_WORDS = 1 << 20
 #: Windows embedded at a time.
@@ -77,7 +82,7 @@ def walk_keys(hashes: np.ndarray, starts: np.ndarray, size: int, repetition: int
 
 
 @functools.cache
-def repetitions(target: float = RECALL, sizes: tuple[int, ...] = (16, 32, 64)) -> int:
+def repetitions(target: float = RECALL, sizes: tuple[int, ...] = (16, 32, LONGEST)) -> int:
     """Walks needed for the target recall at the largest allowed distance, from simulated edits of random sequences.
 
     Each trial spreads the largest allowed number of edits (a third each of replacements, removals, insertions) over
@@ -132,15 +137,25 @@ def best_match(item: np.ndarray, part: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class Items:
-    """Benchmark items as word hashes, with their pieces and LSH keys."""
+    """Benchmark items as word hashes, in parts of at most ``LONGEST`` words, with the parts' pieces and LSH keys."""
 
     ids: list[int]
     words: list[np.ndarray]
     walks: int
 
     def __post_init__(self):
-        by_piece: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.owners: list[int] = []
+        self.offsets: list[int] = []
+        self.parts: list[np.ndarray] = []
         for i, item in enumerate(self.words):
+            n, parts = len(item), -(-len(item) // LONGEST)
+            for p in range(parts):
+                low, high = n * p // parts, n * (p + 1) // parts
+                self.owners.append(i)
+                self.offsets.append(low)
+                self.parts.append(item[low:high])
+        by_piece: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for i, item in enumerate(self.parts):
             n, pieces = len(item), edits(len(item)) + 1
             offsets = np.array([n * p // pieces for p in range(pieces)])
             size = n // pieces
@@ -152,16 +167,16 @@ class Items:
             low = np.zeros(1 << 16, bool)
             low[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
             self.pieces[size] = (keys[order], owners[order], offsets[order], low)
-        self.keys = np.zeros((len(self.words), self.walks), np.uint64)
-        sizes = np.array([len(w) for w in self.words])
+        self.keys = np.zeros((len(self.parts), self.walks), np.uint64)
+        sizes = np.array([len(w) for w in self.parts])
         for n in np.unique(sizes):
             same = np.flatnonzero(sizes == n)
-            flat = joined(self.words[i] for i in same)
+            flat = joined(self.parts[i] for i in same)
             for r in range(self.walks):
                 self.keys[same, r] = walk_keys(flat, np.arange(len(same)) * n, int(n), r)
 
     def windows(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """``(item, text, starts)`` of the windows around untouched pieces; text t has the words from ``first[t]`` on."""
+        """``(part, text, starts)`` of the windows around untouched pieces; text t has the words from ``first[t]`` on."""
         owners, starts, texts = [], [], []
         for size, (keys, owner, offset, low) in self.pieces.items():
             runs = _runs(hashes, size)
@@ -182,18 +197,20 @@ class Items:
         owner, start, text = owner[order], start[order], text[order]
         cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(text) != 0)) + 1
         for part, i, t in zip(np.split(start, cuts), owner[np.append(0, cuts)].tolist(), text[np.append(0, cuts)].tolist()):
-            spread = edits(len(self.words[i]))
+            spread = edits(len(self.parts[i]))
             around = np.unique((part[:, None] + np.arange(-spread, spread + 1)).ravel())
             yield i, t, np.unique(np.clip(around, first[t], max(first[t], first[t + 1] - 1)))
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """``(text, item_id, item words, distance, end)`` of every item within its distance, at its best place.
 
-        Windows that overlap are verified as one stretch of text, as soon as one of them meets the item's key.
+        Windows that overlap are verified as one stretch of text, as soon as one of them meets the part's key. An item
+        of several parts may be yielded for each of them.
         """
         for i, t, starts in self.windows(hashes, first):
-            item = self.words[i]
-            n, allowed = len(item), edits(len(item))
+            item, before = self.words[self.owners[i]], self.offsets[i]
+            n, allowed = len(self.parts[i]), edits(len(item))
+            after = len(item) - before
             begin, stop = int(first[t]), int(first[t + 1])
             own = hashes[begin:stop]
             stretch = np.concatenate([[0], np.cumsum(np.diff(starts) > n)])
@@ -208,13 +225,13 @@ class Items:
                 ])
                 for s in np.unique(stretch[left[met]]):
                     inside = places[stretch == s]
-                    low = max(0, int(inside[0]) - allowed)
-                    distance, end = best_match(item, own[low : int(inside[-1]) + n + allowed])
+                    low = max(0, int(inside[0]) - before - allowed)
+                    distance, end = best_match(item, own[low : int(inside[-1]) + after + allowed])
                     if distance <= allowed and (best is None or (distance, low + end) < best):
                         best = (distance, low + end)
                     open_ &= stretch != s
             if best is not None:
-                yield t, self.ids[i], n, *best
+                yield t, self.ids[self.owners[i]], len(item), *best
 
 
 def _runs(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from souk.llm import lines, pages
+import random
+
+from souk.llm import leaks, lines, pages
 
 
 def test_short_lines_on_many_sites_go(spark):
@@ -38,3 +40,20 @@ def test_region_holds_the_whole_cluster():
     assert all(x in text for x in (f"{WORDS} 0", f"{WORDS} 1", "Short 0.", "Short 1."))
     text = pages.main_text(f"<body><article><p>{WORDS} 0</p>{f'<p>{WORDS}</p>' * 5}</article><article><p>{WORDS} 1</p><p>{WORDS}</p></article></body>")
     assert f"{WORDS} 0" in text and f"{WORDS} 1" in text
+
+
+def test_long_items_with_edits_are_found(spark):
+    rnd = random.Random(8)
+    items, texts = [], []
+    for i in range(24):
+        n = (100, 256, 512, 800)[i % 4]
+        words = [f"w{rnd.randrange(5000)}" for _ in range(n)]
+        items.append((i, " ".join(words)))
+        for at in sorted(rnd.sample(range(n), leaks.edits(n)), reverse=True):
+            kind = rnd.randrange(3)
+            words[at : at + (kind != 2)] = [] if kind == 1 else [f"new{rnd.randrange(999)}"]
+        around = [f"o{rnd.randrange(5000)}" for _ in range(60)]
+        texts.append((i, " ".join(around + words + around)))
+    found = leaks.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in sorted(found)] == [(i, i) for i in range(24)]
+    assert all(r.distance <= leaks.edits(r.n_words) for r in found)
