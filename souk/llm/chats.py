@@ -96,33 +96,61 @@ def levels(calls: DataFrame, references: DataFrame) -> DataFrame:
     return ids.join(found, "call_id", "left")
 
 
-def link(calls: DataFrame, results: DataFrame, tools: DataFrame, references: DataFrame) -> DataFrame:
-    """One row per call: ``conv_id, position, call_id, level, linked, valid, problem, record``.
+def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Distinct rows with ``_entry``, their number among those of one identifier; only repeated identifiers are ranked."""
+    rows = rows.distinct()
+    often = rows.filter("call_id is not null").groupBy("call_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("call_id")
+    once = rows.join(often, "call_id", "left_anti").withColumn("_entry", F.lit(1).cast("bigint"))
+    ranked = global_rank(rows.join(often, "call_id", "left_semi"), ["call_id"], order, "_entry")
+    return once.unionByName(ranked.withColumn("_entry", F.col("_entry").cast("bigint")))
+
+
+def link(calls: DataFrame, results: DataFrame, tools: DataFrame, references: DataFrame, turns: DataFrame | None = None) -> DataFrame:
+    """One row per call, result without call, and turn: ``conv_id, position, call_id, level, linked, valid, problem, record``.
 
     ``calls`` holds ``(conv_id, turn, call_id, name, arguments)`` with arguments as JSON text, ``results``
-    ``(call_id, content)``, ``tools`` ``(name, schema)``. ``position`` numbers a conversation's calls by level, turn
-    and identifier (cycles last), so a call follows all it refers to. ``record`` is the canonical JSON of the linked
-    call. Several rows of one identifier keep the first by (conversation, turn, name, arguments), several results
-    the smallest content. A null identifier is dropped: nothing can link to it. Arguments that are null, not JSON,
-    or of an unknown tool are not valid, and their text stays as it is in the record. Empty tables give no rows;
-    other columns are ignored.
+    ``(call_id, content)`` and possibly ``(conv_id, turn)``, ``tools`` ``(name, schema)``, ``turns`` ``(conv_id, turn,
+    role, content)`` of no call. ``position`` numbers a conversation's calls by level, turn and identifier (cycles
+    last), so a call follows all it refers to; results without call and turns come after them. ``record`` is the
+    canonical JSON of the linked call. Several calls of one identifier are numbered by (conversation, turn, name,
+    arguments) and several results by content; equal numbers meet, and records from the second on hold theirs as
+    ``entry``. A result without call is not valid. A null identifier links to nothing, and turns have none and are
+    neither valid nor not. Arguments that are null, not JSON, or of an unknown tool are not valid, and their text stays
+    as it is in the record. Rows that are equal in all columns count once. Empty tables give no rows; other columns
+    are ignored.
     """
-    order = F.struct("conv_id", "turn", "name", "arguments")
-    calls = calls.filter("call_id is not null").groupBy("call_id").agg(F.min(order).alias("c")).select("call_id", "c.*")
-    answers = results.filter("call_id is not null").groupBy("call_id").agg(F.min("content").alias("content"), F.lit(True).alias("linked"))
+    types = dict(calls.dtypes)
+    own = [F.col(c) if c in results.columns else F.lit(None).cast(types[c]).alias(c) for c in ("conv_id", "turn")]
+    calls = _numbered(calls.select("conv_id", "turn", "call_id", "name", "arguments"), ["conv_id", "turn", "name", "arguments"])
+    answers = _numbered(results.select("call_id", "content", *own), ["content", "conv_id", "turn"]).select(
+        "call_id", "_entry", "content", F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.lit(True).alias("_answered")
+    )
     schemas = tools.groupBy("name").agg(F.min("schema").alias("schema"))
-    depth = levels(calls, references)
-    joined = calls.join(answers, "call_id", "left").join(depth, "call_id").join(schemas, "name", "left")
+    depth = levels(calls.filter("call_id is not null"), references)
+    joined = calls.withColumn("_called", F.lit(True)).join(answers, ["call_id", "_entry"], "full").join(depth, "call_id", "left").join(schemas, "name", "left")
+    called = F.coalesce("_called", F.lit(False))
     rows = joined.select(
-        "conv_id", "turn", "call_id", "name", "arguments", "level", F.coalesce("linked", F.lit(False)).alias("linked"), "content", "schema"
+        F.when(called, F.col("conv_id")).otherwise(F.col("_conv")).alias("conv_id"), F.when(called, F.col("turn")).otherwise(F.col("_turn")).alias("turn"),
+        "call_id", "name", "arguments", F.when(called, F.col("level")).alias("level"), (called & F.coalesce("_answered", F.lit(False))).alias("linked"),
+        "content", "schema", F.when(called, "call").otherwise("result").alias("kind"), F.col("_entry").alias("entry"),
     )
+    if turns is not None:
+        none = {c: F.lit(None).cast("string") for c in ("call_id", "name", "arguments", "schema")}
+        rows = rows.unionByName(turns.distinct().select(
+            "conv_id", "turn", "content", F.coalesce(F.concat(F.lit("turn "), F.col("role")), F.lit("turn")).alias("kind")
+        ).withColumns(none | {"level": F.lit(None).cast("int"), "linked": F.lit(False), "entry": F.lit(1).cast("bigint")}))
     kinds = dict(rows.dtypes)
-    schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, call_id string, level int, linked boolean, valid boolean, problem string, record string"
+    schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, call_id string, level int, linked boolean, valid boolean, problem string, record string, entry bigint"
 
     def start():
         known: dict[str, dict] = {}
 
-        def one(name, arguments, content, linked, call_id, text) -> tuple[bool, str | None, str]:
+        def one(name, arguments, content, linked, call_id, text, kind, entry, turn) -> tuple[bool | None, str | None, str]:
+            number = {"entry": entry} if entry > 1 else {}
+            if kind == "result":
+                return False, "no call", canonical({"id": call_id, "result": content} | number)
+            if kind != "call":
+                return None, None, canonical({"content": content, "role": kind[5:] if kind != "turn" else None, "turn": turn})
             try:
                 value = json.loads(arguments, parse_constant=lambda c: {}[c])
                 if text is None:
@@ -131,21 +159,22 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame, references: Dat
                     problem = violation(value, known.setdefault(text, json.loads(text)))
             except (TypeError, ValueError, KeyError, RecursionError):
                 value, problem = arguments, "not JSON"
-            record = {"arguments": value, "id": call_id, "name": name, "result": content if linked else None}
+            record = {"arguments": value, "id": call_id, "name": name, "result": content if linked else None} | number
             return problem is None, problem, canonical(record)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            columns = [batch.column(c).to_pylist() for c in ("name", "arguments", "content", "linked", "call_id", "schema")]
+            columns = [batch.column(c).to_pylist() for c in ("name", "arguments", "content", "linked", "call_id", "schema", "kind", "entry", "turn")]
             valid, problem, record = zip(*map(one, *columns))
             kept = [batch.column(c) for c in ("conv_id", "turn", "call_id", "level", "linked")]
-            arrays = [*kept, pa.array(valid), pa.array(problem, pa.string()), pa.array(record)]
-            return pa.RecordBatch.from_arrays(arrays, ["conv_id", "turn", "call_id", "level", "linked", "valid", "problem", "record"])
+            arrays = [*kept, pa.array(valid, pa.bool_()), pa.array(problem, pa.string()), pa.array(record), batch.column("entry")]
+            return pa.RecordBatch.from_arrays(arrays, ["conv_id", "turn", "call_id", "level", "linked", "valid", "problem", "record", "entry"])
 
         return step
 
     checked = map_batches(rows, start, schema)
     ranked = global_rank(
-        checked.withColumn("_level", F.coalesce("level", F.lit(2**31 - 1))), ["conv_id"], ["_level", "turn", "call_id"], "position"
+        checked.withColumn("_level", F.coalesce("level", F.lit(2**31 - 1))).withColumn("_tie", F.xxhash64("record")),
+        ["conv_id"], ["_level", "turn", "call_id", "entry", "_tie"], "position",
     )
     return ranked.select("conv_id", F.col("position").cast("bigint").alias("position"), "call_id", "level", "linked", "valid", "problem", "record")
 
@@ -160,15 +189,16 @@ ANSWER_SCHEMA = {
 }
 
 
-def chat_calls(chats: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calls, results and references of plain chats: every user turn calls ``answer``, the next assistant turn is its result.
+def chat_calls(chats: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Calls, results, references and other turns of plain chats: every user turn calls ``answer``, the next assistant turn is its result.
 
-    A call refers to the call at half its turn, if that turn is a user's. Repeated turns keep the smallest text;
-    turns without conversation or number are no calls; a null text asks with an empty query.
+    A call refers to the call at half its turn, if that turn is a user's. Repeated turns with other texts are calls
+    or results of the same identifier; turns without conversation or number are no calls; a null text asks with an
+    empty query. The fourth table holds the turns that are neither call nor result.
     """
     turns = chats.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).filter(
         "conv_id is not null and turn is not null"
-    ).groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
+    ).distinct()
 
     def name(turn):
         return F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
@@ -184,16 +214,24 @@ def chat_calls(chats: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.lit(ANSWER).alias("name"),
         F.to_json(F.struct(refs.alias("refs"), F.col("text").alias("query"))).alias("arguments"),
     )
-    results = turns.filter("role = 'assistant'").select(name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    before = users.select("conv_id", (F.col("_half") + 1).alias("turn"), F.lit("assistant").alias("role"))
+    results = turns.join(before, ["conv_id", "turn", "role"], "left_semi").select(
+        name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"), "conv_id", "turn"
+    )
     references = linked.filter("needs is not null").select(name(F.col("turn")).alias("call_id"), "needs")
-    return calls, results, references
+    others = chats.select("conv_id", "turn", "role", F.col("text").alias("content")).filter(
+        "not (role <=> 'user' and conv_id is not null and turn is not null)"
+    ).join(before, ["conv_id", "turn", "role"], "left_anti")
+    return calls, results, references, others
 
 
-def format_chats(chats: DataFrame) -> DataFrame:
-    """Canonical calls of plain chats (see ``chat_calls`` and ``link``), with the digest of each record."""
+def format_chats(chats: DataFrame, whole: bool = False) -> DataFrame:
+    """Canonical calls of plain chats (see ``chat_calls`` and ``link``), with the digest of each record.
+
+    With ``whole``, the turns that are neither call nor result are rows too.
+    """
     spark = chats.sparkSession
-    calls, results, references = chat_calls(chats)
+    calls, results, references, others = chat_calls(chats)
     tools = spark.createDataFrame([(ANSWER, canonical(ANSWER_SCHEMA))], "name string, schema string")
-    linked = link(calls, results, tools, references)
+    linked = link(calls, results, tools, references, others if whole else None)
     return linked.withColumn("record_sha256", F.sha2(F.col("record").cast("binary"), 256))
-

@@ -36,7 +36,7 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    return chats.format_chats(table(spark, folder, "conversations"))
+    return chats.format_chats(table(spark, folder, "conversations"), whole=True)
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than its whole job."""
 
+import json
 import random
 
-from souk.llm import leaks, lines, pages
+from souk.llm import chats, leaks, lines, pages, queries
 
 
 def test_short_lines_on_many_sites_go(spark):
@@ -57,3 +58,32 @@ def test_long_items_with_edits_are_found(spark):
     found = leaks.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id) for r in sorted(found)] == [(i, i) for i in range(24)]
     assert all(r.distance <= leaks.edits(r.n_words) for r in found)
+
+
+def test_every_turn_is_in_the_output(spark):
+    rows = [
+        (1, 0, "system", "be brief"), (1, 1, "user", "q"), (1, 1, "user", "other q"), (1, 2, "assistant", "a"), (1, 2, "assistant", "b"), (1, 2, "assistant", "c"),
+        (1, 3, "assistant", "second"), (1, 4, "tool", "t"), (None, 1, "user", "x"), (2, None, "assistant", "y"), (2, 0, None, None),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [(r.conv_id, r.call_id, r.linked, json.loads(r.record)) for r in chats.format_chats(table, whole=True).collect()]
+    calls = sorted((x["arguments"]["query"], x.get("entry", 1), x["result"], linked) for _, _, linked, x in got if "arguments" in x)
+    assert calls == [("other q", 1, "a", True), ("q", 2, "b", True)]
+    assert [(c, i, x) for c, i, _, x in got if "result" in x and "name" not in x] == [(1, "c1-1", {"id": "c1-1", "result": "c", "entry": 3})]
+    turns = [(c, i, linked, x["turn"], x["role"], x["content"]) for c, i, linked, x in got if "role" in x]
+    assert sorted(turns, key=repr) == sorted([
+        (1, None, False, 0, "system", "be brief"), (1, None, False, 3, "assistant", "second"), (1, None, False, 4, "tool", "t"),
+        (None, None, False, 1, "user", "x"), (2, None, False, None, "assistant", "y"), (2, None, False, 0, None, None),
+    ], key=repr)
+    whole = queries.op5_chat_format(spark, "/root/testdata/sf0.001").collect()
+    assert sum(json.loads(r.record).get("role") == "system" for r in whole) == 5
+
+
+def test_orphan_results_and_null_identifiers_are_rows(spark):
+    calls = spark.createDataFrame([(1, 0, None, "t", "{}"), (1, 1, "a", "t", "{}")], "conv_id long, turn long, call_id string, name string, arguments string")
+    results = spark.createDataFrame([("zz", "lost"), (None, "no id")], "call_id string, content string")
+    tools = spark.createDataFrame([("t", "{}")], "name string, schema string")
+    got = chats.link(calls, results, tools, spark.createDataFrame([], "call_id string, needs string")).collect()
+    assert sorted(((r.call_id, r.linked, r.problem) for r in got), key=str) == [
+        ("a", False, None), ("zz", False, "no call"), (None, False, "no call"), (None, False, None),
+    ]
