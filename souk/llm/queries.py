@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import bpe, chats, fingerprint, leaks, lines, minhash, pages, repeats, secrets, toxicity
+from souk.llm import audit, bpe, chats, fingerprint, leaks, lines, minhash, pages, repeats, secrets, toxicity
 from souk.llm.common import table
 from souk.session import scratch_path
 
@@ -61,11 +61,15 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_substring_dedup, op3_secret_scan, op4_fingerprints, op5_chat_format, op6_line_dedup, op7_toxicity, op8_minhash,
-        op9_html_text, op10_decontaminate,
+        op9_html_text, op10_decontaminate, op11_filter_audit,
     )
 }
 
@@ -89,7 +93,28 @@ SECRETS_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM docu
     coalesce(string_agg(span, ',' ORDER BY a, rank), '') AS spans
   FROM d LEFT JOIN t ON d.doc_id = t.doc_id GROUP BY d.doc_id"""
 
+#: Masks of failed filters per document, then every order of the filters over them.
+AUDIT_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+    f AS (SELECT part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(min(d.doc_id) OVER (PARTITION BY t) < d.doc_id, false)::INT AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+    m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+    o AS (SELECT '' AS filter_order, 0 AS before UNION ALL SELECT filter_order || c, before + (1 << (ascii(c) - 65)) FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c)
+      WHERE before & (1 << (ascii(c) - 65)) = 0),
+    s AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+        list_sum([1 << (ascii(x) - 65) for x in string_split(filter_order[:step], '')])::INT - (1 << (ascii(filter_order[step]) - 65)) AS before
+      FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o WHERE length(filter_order) = 5)),
+    r AS (SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost FROM m, s GROUP BY 1, 2, 3, 4)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
+
 ORACLE = {
+    "op11_filter_audit": AUDIT_SQL,
     "op3_secret_scan": SECRETS_SQL,
     "op5_chat_format": r"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, min(coalesce(text, '')) AS text FROM conversations GROUP BY 1, 2, 3),
       u AS (SELECT * FROM t WHERE role = 'user'),
