@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import audit, bpe, chats, fingerprint, leaks, lines, minhash, pages, repeats, secrets, toxicity
+from souk.llm import audit, bpe, chats, fingerprint, leaks, lines, minhash, negatives, pages, repeats, secrets, toxicity
 from souk.llm.common import table
 from souk.session import scratch_path
 
@@ -65,11 +65,16 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, label=shifted)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_substring_dedup, op3_secret_scan, op4_fingerprints, op5_chat_format, op6_line_dedup, op7_toxicity, op8_minhash,
-        op9_html_text, op10_decontaminate, op11_filter_audit,
+        op9_html_text, op10_decontaminate, op11_filter_audit, op12_hard_negatives,
     )
 }
 
@@ -115,6 +120,17 @@ AUDIT_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part,
 
 ORACLE = {
     "op11_filter_audit": AUDIT_SQL,
+    "op12_hard_negatives": """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+      a AS (SELECT DISTINCT * FROM e WHERE vec_id % 100 = 0),
+      s AS (SELECT a.vec_id AS anchor_id, a.v AS av, a.label AS al, e.vec_id AS id, e.label, list_inner_product(a.v, e.v)::BIGINT AS score FROM a, e WHERE a.vec_id <> e.vec_id),
+      p AS (SELECT anchor_id, av, al, id, score, row_number() OVER (PARTITION BY anchor_id, av, al ORDER BY score DESC, id) AS nth FROM s WHERE label = al QUALIFY nth <= 5),
+      n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+          row_number() OVER (PARTITION BY p.anchor_id, p.av, p.al, p.nth ORDER BY s.score DESC, s.id)::INT AS rank
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.av = s.av AND p.al = s.al
+        WHERE s.label <> p.al AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+      SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
     "op3_secret_scan": SECRETS_SQL,
     "op5_chat_format": r"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, min(coalesce(text, '')) AS text FROM conversations GROUP BY 1, 2, 3),
       u AS (SELECT * FROM t WHERE role = 'user'),
