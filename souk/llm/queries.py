@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import audit, bpe, chats, fingerprint, leaks, lines, minhash, negatives, pages, repeats, secrets, toxicity
+from souk.llm import audit, bpe, chats, fingerprint, leaks, lines, minhash, negatives, pages, quality, repeats, secrets, toxicity
 from souk.llm.common import table
 from souk.session import scratch_path
 
@@ -70,11 +70,15 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, label=shifted)
 
 
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_substring_dedup, op3_secret_scan, op4_fingerprints, op5_chat_format, op6_line_dedup, op7_toxicity, op8_minhash,
-        op9_html_text, op10_decontaminate, op11_filter_audit, op12_hard_negatives,
+        op9_html_text, op10_decontaminate, op11_filter_audit, op12_hard_negatives, op13_quality_rules,
     )
 }
 
