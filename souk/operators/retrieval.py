@@ -1,22 +1,25 @@
-"""Vector retrieval: exact and hashed nearest neighbours by cosine."""
+"""Vector retrieval: exact nearest neighbours by cosine, and approximate ones from inverted lists."""
 
 from __future__ import annotations
 
-import hashlib
-import itertools
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 
-# Fixed parameters of the hashed search, whatever the index holds: tables, bits per code, and flipped bits per probed code.
-TABLES, BITS, FLIPS = 16, 6, 1
+# Inverted lists: rows that train the quantiser at most, of those per list, rounds of k-means, and the share of lists that a query
+# probes. Vectors without any clusters, the worst case, need that many for a recall of 0.9; `tuned` finds fewer where fewer do.
+SAMPLE_ROWS, LIST_ROWS, ROUNDS, PROBE_SHARE = 16_384, 40, 5, 0.65
+RESCORED = 4  # times k: code scores of a block that are compared in full
+CENTROID_DIGITS = 6
 SCORE_DIGITS = 9  # scores are rounded here, so that the order of a sum cannot change a rank
 
 
@@ -107,61 +110,158 @@ def knn_cosine(
     return topk_per_query(partial, k)
 
 
-def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
-    """Normals with coordinates spread evenly over -0.5 to 0.5, from md5 so that they can be rebuilt outside Spark."""
-    texts = (f"{seed}-{t}-{b}-{d}" for t in range(tables) for b in range(bits) for d in range(dim))
-    heads = [int(hashlib.md5(text.encode()).hexdigest()[:8], 16) for text in texts]
-    return (np.array(heads, float) / (1 << 32) - 0.5).reshape(tables, bits, dim)
+@dataclass(frozen=True)
+class ListIndex:
+    """A trained coarse quantiser: unit centroids, the group that each list's rows go to, and the lists a query probes."""
 
+    centroids: np.ndarray
+    groups: np.ndarray
+    probes: int
 
-def signature(planes: np.ndarray):
-    """A vectorised function from a vector column to one sign-bit code per table."""
-    tables, bits, dim = planes.shape
-    weights = 1 << np.arange(bits, dtype=np.int64)
+    def rebuilt(self, unit: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """Unit rows as four-bit codes tell them: the centroid and sevenths of the largest difference from it."""
+        near = self.centroids[lists]
+        off = unit - near
+        step = np.abs(off).max(axis=1, keepdims=True) / 7
+        return near + step * np.floor(np.divide(off, step, out=np.zeros_like(off), where=step > 0) + 0.5)
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def codes(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        signs = np.stack(vectors.to_numpy()) @ planes.reshape(tables * bits, dim).T > 0
-        return pd.Series(list(signs.reshape(-1, tables, bits) @ weights))
 
-    return codes
+def _train_centroids(sample: np.ndarray, lists: int, rounds: int) -> np.ndarray:
+    """Spherical k-means from the first rows; an empty list keeps its centroid. Rounded, so that the order of a sum is no matter."""
+    centroids = np.round(sample[:lists], CENTROID_DIGITS)
+    for _ in range(rounds):
+        nearest = (sample @ centroids.T).argmax(axis=1)
+        sums = np.zeros_like(centroids)
+        np.add.at(sums, nearest, sample)
+        filled = np.bincount(nearest, minlength=lists) > 0
+        centroids[filled] = np.round(_unit_rows(sums[filled]), CENTROID_DIGITS)
+    return centroids
 
 
-def knn_lsh(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int,
-    dim: int,
-    tables: int = TABLES,
-    bits: int = BITS,
-    flips: int = FLIPS,
-    seed: int = 42,
-    query_id: str = "query_id",
-    query_vec: str = "embedding",
-    item_id: str = "item_id",
-    item_vec: str = "embedding",
+def train_lists(index: DataFrame, item_id: str = "item_id", item_vec: str = "embedding", probe_share: float = PROBE_SHARE,
+                rounds: int = ROUNDS, sample_rows: int = SAMPLE_ROWS, list_rows: int = LIST_ROWS, group_rows: int = RIGHT_ROWS) -> ListIndex:
+    """Fits the quantiser on at most ``sample_rows`` rows, those of smallest md5 of their id; every row is indexed later.
+
+    There is a list per ``list_rows`` sampled rows, so the model on the driver is bounded by the sample. Lists are put
+    together into groups of about ``group_rows`` rows, the unit in which queries and rows meet.
+    """
+    rows = index.filter(F.col(item_vec).isNotNull())
+    n = rows.count()
+    picked = rows.orderBy(F.md5(F.col(item_id).cast("string")), item_id).limit(sample_rows).select(item_vec).toArrow()
+    sample = _unit_rows(_matrix(picked[item_vec])) if picked.num_rows else np.zeros((1, 1))
+    lists = max(1, len(sample) // list_rows)
+    centroids = _train_centroids(sample, lists, rounds)
+    expected = np.bincount((sample @ centroids.T).argmax(axis=1), minlength=lists) * (n / len(sample))
+    groups = ((np.cumsum(expected) - expected / 2) // group_rows).astype(np.int64)
+    return ListIndex(centroids, groups, max(1, math.ceil(probe_share * lists)))
+
+
+def tuned(lists: ListIndex, queries: DataFrame, index: DataFrame, k: int, recall: float, sample_rows: int = 200,
+          query_id: str = "query_id", query_vec: str = "embedding", item_id: str = "item_id", item_vec: str = "embedding") -> ListIndex:
+    """``lists`` with the fewest probes that find ``recall`` of the true neighbours of at most ``sample_rows`` queries."""
+    some = queries.orderBy(F.md5(F.col(query_id).cast("string")), query_id).limit(sample_rows)
+    truth = knn_cosine(some, index, k, query_id, query_vec, item_id, item_vec).select("query_id", "item_id")
+    items = index.select(F.col(item_id).alias("item_id"), F.col(item_vec).alias("item_vec")).filter("item_vec is not null")
+    asked = some.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec"))
+    near = truth.join(items, "item_id").join(asked, "query_id").select("query_vec", "item_vec").toArrow()  # at most sample_rows * k rows
+    if not near.num_rows:
+        return lists
+    order = np.argsort(-(_unit_rows(_matrix(near["query_vec"])) @ lists.centroids.T), axis=1, kind="stable")
+    own = (_unit_rows(_matrix(near["item_vec"])) @ lists.centroids.T).argmax(axis=1)
+    needed = np.sort((order == own[:, None]).argmax(axis=1) + 1)
+    return replace(lists, probes=int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]))
+
+
+def _in_lists(df: DataFrame, vector: str, lists: ListIndex, probes: int) -> DataFrame:
+    """A row per group that the ``probes`` nearest lists of a row belong to, with those lists."""
+    columns = df.schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = np.argsort(-(_unit_rows(_matrix(pa.chunked_array([batch.column(vector)]))) @ lists.centroids.T), axis=1, kind="stable")[:, :probes]
+            keys = np.stack([np.repeat(np.arange(len(near)), near.shape[1]), lists.groups[near].ravel(), near.ravel()])
+            keys = keys[:, np.lexsort(keys[::-1])]
+            starts = np.flatnonzero(np.append(True, (keys[:2, 1:] != keys[:2, :-1]).any(axis=0)))
+            held = pa.ListArray.from_arrays(pa.array(np.append(starts, keys.shape[1]).astype(np.int32)), pa.array(keys[2].astype(np.int32)))
+            rows = batch.take(pa.array(keys[0, starts]))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys[1, starts]), held], [*columns, "list_group", "lists"])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("list_group", LongType()), StructField("lists", ArrayType(IntegerType()))]))
+
+
+def _rescored(k: int, depth: int, known: ListIndex):
+    """A reducer: code scores within probed lists, then exact scores of the ``depth`` best of each query."""
+
+    def reduce(queries: pa.Table, items: pa.Table) -> pa.Table:
+        items = items.take(pc.sort_indices(items["item_id"]))
+        rows, picks, scores = [], [], []
+        if queries.num_rows and items.num_rows:
+            asked, index = _unit_rows(_matrix(queries["query_vec"])), _unit_rows(_matrix(items["item_vec"]))
+            own, lists = items["lists"].combine_chunks().flatten().to_numpy(), queries["lists"].combine_chunks()
+            codes = asked @ known.rebuilt(index, own).T
+            probed = np.zeros((queries.num_rows, len(known.centroids)), bool)
+            probed[np.repeat(np.arange(queries.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+            codes[~probed[:, own]] = -np.inf
+            best = min(depth, codes.shape[1])
+            floors = np.partition(codes, codes.shape[1] - best, axis=1)[:, codes.shape[1] - best]
+            for row, (line, floor) in enumerate(zip(codes, floors)):
+                tied = np.flatnonzero((line >= floor) & (line > -np.inf))
+                kept = np.sort(tied[np.argsort(-line[tied], kind="stable")][:best])
+                exact = np.round(index[kept] @ asked[row], SCORE_DIGITS)
+                top = np.argsort(-exact, kind="stable")[:k]
+                rows.append(np.full(len(top), row))
+                picks.append(kept[top])
+                scores.append(exact[top])
+        at = np.concatenate(rows) if rows else np.empty(0, int)
+        of = np.concatenate(picks) if picks else np.empty(0, int)
+        return pa.table(
+            {
+                "query_id": queries["query_id"].take(pa.array(at)), "item_id": items["item_id"].take(pa.array(of)),
+                "score": pa.array(np.concatenate(scores) if scores else np.empty(0), pa.float64()),
+            }
+        )
+
+    return reduce
+
+
+def knn_lists(
+    queries: DataFrame, index: DataFrame, k: int, lists: ListIndex | None = None, depth: int | None = None,
+    query_id: str = "query_id", query_vec: str = "embedding", item_id: str = "item_id", item_vec: str = "embedding",
+    query_rows: int = LEFT_ROWS, index_rows: int = RIGHT_ROWS,
 ) -> DataFrame:
-    """Approximate neighbours: exact search among the items whose sign code is near the query's in any of the tables.
+    """Approximate neighbours from inverted lists: ``(query_id, item_id, score, rank)``.
 
-    A query looks up its own code and those with up to ``flips`` other bits. More bits make codes smaller, more flips
-    and tables raise recall; none of them depends on the size of the index. A crowded code is cut into blocks like
-    the exact search: more tasks, never one large task.
+    A row is filed in the list of its nearest centroid, and a query probes its nearest lists. There four-bit codes are
+    scored, and only the ``depth`` best of a query (four times ``k``) are compared in full, per block of the index. Queries
+    are sent once to a group of lists with the names of those they probe; a crowded group is cut into blocks.
+    ``lists`` is fitted on the index unless given. A null vector has no neighbours and is none.
     """
-    masks = [sum(1 << b for b in chosen) for n in range(flips + 1) for chosen in itertools.combinations(range(bits), n)]
+    lists = lists or train_lists(index, item_id, item_vec, group_rows=index_rows)
     left, right = _sides(queries, index, query_id, query_vec, item_id, item_vec)
-    codes = signature(hyperplanes(dim, tables, bits, seed))
+    partial = reduce_block_pairs(
+        _in_lists(left, "query_vec", lists, lists.probes), _in_lists(right, "item_vec", lists, 1), ["list_group"], "query_id", "item_id",
+        _rescored(k, depth or RESCORED * k, lists), _result_schema(left, right), query_rows, index_rows,
+    )
+    return topk_per_query(partial, k)
 
-    def hashed(df: DataFrame, vector: str) -> DataFrame:
-        return df.select("*", F.posexplode(codes(vector)).alias("lsh_table", "lsh_code"))
 
-    probes = F.explode(F.array(*[F.col("lsh_code").bitwiseXOR(F.lit(m).cast("bigint")) for m in masks]))
-    partial = reduce_block_pairs(
-        hashed(left, "query_vec").withColumn("lsh_code", probes), hashed(right, "item_vec"), ["lsh_table", "lsh_code"], "query_id", "item_id",
-        _block_topk(k), _result_schema(left, right),
+def comparisons(queries: DataFrame, index: DataFrame, k: int, lists: ListIndex, depth: int | None = None, query_vec: str = "embedding",
+                item_vec: str = "embedding") -> DataFrame:
+    """One row: ``pairs``, those ``scored`` by code, and at most how many are compared in ``full``."""
+    def filed(df: DataFrame, vector: str, probes: int) -> DataFrame:
+        return _in_lists(df.select(vector).filter(F.col(vector).isNotNull()), vector, lists, probes).select("list_group", F.explode("lists").alias("list"))
+
+    asked = filed(queries, query_vec, lists.probes).groupBy("list").agg(F.count(F.lit(1)).alias("q"))
+    held = filed(index, item_vec, 1).groupBy("list_group", "list").agg(F.count(F.lit(1)).alias("n"))
+    both = held.join(asked, "list", "left").agg(
+        F.sum(F.col("q") * F.col("n")).alias("scored"), F.sum("n").alias("n"), F.count_distinct("list_group").alias("groups")
+    )
+    n = queries.filter(F.col(query_vec).isNotNull()).count()
+    return both.select(
+        (F.col("n") * n).alias("pairs"), F.coalesce("scored", F.lit(0)).alias("scored"), (F.col("groups") * n * (depth or RESCORED * k)).alias("full")
     )
-    return topk_per_query(partial.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)
 
 
 def recall_at_k(found: DataFrame, truth: DataFrame) -> DataFrame:

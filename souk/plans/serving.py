@@ -32,7 +32,7 @@ def batch_recommend(user_vectors: DataFrame, item_vectors: DataFrame, users: Dat
     """``(user_id, rank, item_id, ctr, cvr)``: the k nearest items of every user, ordered by click probability.
 
     ``score`` adds ``ctr`` and ``cvr``, for instance one that ``models.fit_ctr_cvr`` returns. ``nearest`` finds the
-    candidates: exactly, which compares all users with all items, or for large catalogues ``knn_lsh`` with its ``dim``.
+    candidates: exactly, which compares all users with all items, or for large catalogues ``knn_lists``.
     """
     _check(k, RECOMMEND_MAX)
     candidates = user_item_features(_candidates(user_vectors, item_vectors, k, nearest), users, items)

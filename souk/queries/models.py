@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from souk.functions import scalars as S
-from souk.operators import anomalies, evaluation, graph, models, retrieval, series
+from souk.operators import anomalies, boosting, evaluation, graph, models, retrieval, series
 from souk.plans import fraud
 from souk.queries.features import items_of, users_of
 from souk.queries.operations import NODES
+from souk.queries.ranking import CANDIDATES
+from souk.session import cut_lineage
 from souk.sources import adapters as A
 
 FEATURES = len(A.NODE_FEATURES)
@@ -32,9 +34,20 @@ def ranker_loss(spark, d):
     return evaluation.bce_joint_loss(train_ctr_cvr(spark, d))
 
 
+def _ltr_examples(spark, d):
+    return models.ltr_examples(A.interactions(spark, d), users_of(spark, d), items_of(spark, d), A.STORED_RELEVANCE)
+
+
 def train_ltr(spark, d):
-    examples = models.ltr_examples(A.interactions(spark, d), users_of(spark, d), items_of(spark, d), A.STORED_RELEVANCE)
-    return models.train_ltr(examples).select("user_id", "item_id", "relevance", "ltr_score")
+    return models.train_ltr(_ltr_examples(spark, d)).select("user_id", "item_id", "relevance", "ltr_score")
+
+
+def ltr_gradient(spark, d):
+    """What one round of the list ranker learns from, at the scores of the fixed linear ranker."""
+    x = F.col("features")
+    scored = _ltr_examples(spark, d).withColumn("score", F.round(S.ltr_linear_score(x[4], x[2], x[3]), 6))
+    found = boosting.lambdas(cut_lineage(scored), boosting.ideal(scored, "user_id"))
+    return found.select("user_id", "item_id", *[(F.round(c, 6) + 0.0).alias(c) for c in ("gradient", "curvature")])
 
 
 def forecast_basis(spark, d):
@@ -60,7 +73,7 @@ def fraud_ensemble(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        train_embeddings, train_ctr_cvr, ranker_loss, train_ltr, forecast_basis, graph_score, recon_error, isolation_forest,
+        train_embeddings, train_ctr_cvr, ranker_loss, train_ltr, ltr_gradient, forecast_basis, graph_score, recon_error, isolation_forest,
         fraud_ensemble,
     )
 }
@@ -118,4 +131,20 @@ def _recon_sql(squarings: int = 16) -> str:
       SELECT n.node_id, round(greatest((whole - kept) / {FEATURES}, 0), 6) AS recon_error FROM n JOIN w ON n.node_id = w.node_id"""
 
 
-ORACLE = {"forecast_basis": _forecast_sql(), "recon_error": _recon_sql()}
+def _lambda_sql(k: int = boosting.CUT) -> str:
+    """All pairs of a user's rows, one of them among the best ``k``."""
+    grade = " ".join(f"WHEN '{name}' THEN {value}" for name, value in A.STORED_RELEVANCE.items())
+    return f"""WITH {CANDIDATES}, g AS (SELECT user_id, item_id, max(CASE event_type {grade} ELSE {S.RELEVANCE_OTHER} END) AS relevance FROM interactions GROUP BY 1, 2),
+      e AS (SELECT c.user_id, c.item_id, pow(2, relevance) - 1 AS gain, round(pop * 0.1 + cvr_u * 2.0 - price * 0.001, 6) AS score
+        FROM candidates c JOIN g ON c.user_id = g.user_id AND c.item_id = g.item_id),
+      r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank, row_number() OVER (PARTITION BY user_id ORDER BY gain DESC) AS best FROM e),
+      d AS (SELECT *, CASE WHEN rank <= {k} THEN 1 / log2(rank + 1) ELSE 0 END AS disc, sum(CASE WHEN best <= {k} THEN gain / log2(best + 1) ELSE 0 END) OVER (PARTITION BY user_id) AS ideal FROM r),
+      p AS (SELECT a.user_id, a.item_id, sign(a.gain - b.gain) AS s, abs(a.gain - b.gain) * abs(a.disc - b.disc) / a.ideal AS swap,
+          1 / (1 + exp(sign(a.gain - b.gain) * (a.score - b.score))) AS rho
+        FROM d a JOIN d b ON a.user_id = b.user_id AND a.gain <> b.gain AND least(a.rank, b.rank) <= {k}),
+      t AS (SELECT user_id, item_id, sum(-s * swap * rho) AS g, sum(swap * rho * (1 - rho)) AS h FROM p GROUP BY 1, 2)
+      SELECT e.user_id, e.item_id, round(coalesce(g, 0.0), 6) + 0.0 AS gradient, round(coalesce(h, 0.0), 6) + 0.0 AS curvature
+      FROM e LEFT JOIN t ON e.user_id = t.user_id AND e.item_id = t.item_id"""
+
+
+ORACLE = {"ltr_gradient": _lambda_sql(), "forecast_basis": _forecast_sql(), "recon_error": _recon_sql()}

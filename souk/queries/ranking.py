@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +14,6 @@ from souk.session import cut_lineage, scratch_path
 from souk.sources import adapters as A
 from souk.sources import vector_table
 
-DIM = 64
-
 
 def _r(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
@@ -59,7 +55,8 @@ def knn_cosine(spark, d):
 
 
 def knn_lsh(spark, d):
-    return _r(retrieval.knn_lsh(_vectors(spark, d, "query_id"), _vectors(spark, d, "item_id"), 10, DIM), 6, "score")
+    """Approximate neighbours of every vector; the index is inverted lists, whatever the row's name says."""
+    return _r(retrieval.knn_lists(_vectors(spark, d, "query_id"), _vectors(spark, d, "item_id"), 10), 6, "score")
 
 
 def topk_per_query(spark, d):
@@ -102,12 +99,11 @@ def batch_recommend(spark, d):
 
 
 def recommend_trained(spark, d):
-    """Every user's candidates from the hashed search, most of them never seen, ordered by a ranker fitted on the log."""
+    """Every user's candidates from the inverted lists, most of them never seen, ordered by a ranker fitted on the log."""
     users, items = users_of(spark, d), items_of(spark, d)
     seen = models.ranker_examples(A.interactions(spark, d), users, items, F.col("event_type") == "click", F.col("event_type") == "purchase")
     score = models.fit_ctr_cvr(cut_lineage(seen), names=("ctr", "cvr"))
-    return serving.batch_recommend(_user_vectors(spark, d), _vectors(spark, d, "item_id"), users, items, score=score,
-                                   nearest=partial(retrieval.knn_lsh, dim=DIM))
+    return serving.batch_recommend(_user_vectors(spark, d), _vectors(spark, d, "item_id"), users, items, score=score, nearest=retrieval.knn_lists)
 
 
 def batch_search(spark, d):
@@ -245,6 +241,28 @@ _LISTS = f"""{INTERACTIONS}, st AS (SELECT user_id, item_id, round(sum(price), 4
       feed AS (SELECT user_id AS request_id, row_number() OVER (PARTITION BY user_id ORDER BY s) AS rank, item_id, model FROM once QUALIFY rank <= 12)"""
 
 
+def _lists_sql(k: int = 10) -> str:
+    """Rounds of k-means, one common table per step; then codes within the probed lists, and the best of them in full."""
+    steps, rounds = [], retrieval.ROUNDS
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT id, arg_max(c, list_dot_product(u, m)) AS c FROM u, m{i} WHERE nth < {retrieval.SAMPLE_ROWS} GROUP BY id),
+      t{i} AS (SELECT c, list(x ORDER BY d) AS t FROM (SELECT c, d, sum(x) AS x FROM (SELECT c, unnest(u) AS x, generate_subscripts(u, 1) AS d FROM a{i} JOIN u ON a{i}.id = u.id) GROUP BY 1, 2) GROUP BY 1),
+      m{i + 1} AS MATERIALIZED (SELECT m{i}.c, coalesce([round(x / sqrt(list_dot_product(t, t)), {retrieval.CENTROID_DIGITS}) for x in t], m) AS m FROM m{i} LEFT JOIN t{i} ON m{i}.c = t{i}.c)""")
+    return f"""WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+      u AS MATERIALIZED (SELECT id, v, [x / sqrt(list_dot_product(v, v)) for x in v] AS u, row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS nth,
+        least({retrieval.SAMPLE_ROWS}, count(*) OVER ()) // {retrieval.LIST_ROWS} AS lists FROM v),
+      m0 AS MATERIALIZED (SELECT nth AS c, [round(x, {retrieval.CENTROID_DIGITS}) for x in u] AS m FROM u WHERE nth < greatest(1, lists)), {", ".join(steps)},
+      f AS MATERIALIZED (SELECT id, c, row_number() OVER (PARTITION BY id ORDER BY list_dot_product(u, m) DESC, c) AS r, lists FROM u, m{rounds}),
+      o AS MATERIALIZED (SELECT u.id, v, u, f.c, m, list_max([abs(z[1] - z[2]) for z in list_zip(u, m)]) / 7 AS step FROM u JOIN f ON u.id = f.id AND r = 1 JOIN m{rounds} ON f.c = m{rounds}.c),
+      q AS MATERIALIZED (SELECT id, v, u, c, [z[2] + step * CASE WHEN step > 0 THEN floor((z[1] - z[2]) / step + 0.5) ELSE 0 END for z in list_zip(u, m)] AS q FROM o),
+      s AS (SELECT p.id AS query_id, b.id AS item_id, list_dot_product(a.u, b.q) AS code FROM f p JOIN q b ON p.c = b.c JOIN q a ON a.id = p.id
+        WHERE p.r <= greatest(1, ceil({retrieval.PROBE_SHARE}::DOUBLE * greatest(1, p.lists)))),
+      h AS (SELECT query_id, item_id FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY code DESC, item_id) <= {retrieval.RESCORED * k}),
+      e AS (SELECT query_id, item_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM h JOIN q a ON a.id = query_id JOIN q b ON b.id = item_id),
+      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM e)
+      SELECT query_id, item_id, round(score, 6) AS score, rank FROM r WHERE rank <= {k}"""
+
+
 def _auc(score: str) -> str:
     return f"""(SELECT CAST(sum(p * (below + n / 2)) AS DOUBLE) / (sum(p) * sum(n)) FROM (SELECT p, n, sum(n) OVER (ORDER BY v) - n AS below
       FROM (SELECT {score} AS v, count(*) FILTER (y2 = 1) AS p, count(*) FILTER (y2 = 0) AS n FROM scored GROUP BY 1)))"""
@@ -263,14 +281,7 @@ ORACLE = {
       s AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM v a, v b),
       r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s)
       SELECT query_id, item_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
-    "knn_lsh": f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-      n AS (SELECT t, b, list(('0x' || substr(md5('42-' || t || '-' || b || '-' || d), 1, 8))::BIGINT / 4294967296.0::DOUBLE - 0.5 ORDER BY d) AS n
-        FROM range({retrieval.TABLES}) t_(t), range({retrieval.BITS}) b_(b), range({DIM}) d_(d) GROUP BY 1, 2),
-      c AS (SELECT vec_id, t, CAST(sum(CASE WHEN list_dot_product(v, n) > 0 THEN 1 << b ELSE 0 END) AS BIGINT) AS c FROM v, n GROUP BY 1, 2),
-      p AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id AS item_id FROM c a JOIN c b ON a.t = b.t AND bit_count(xor(a.c, b.c)) <= {retrieval.FLIPS}),
-      s AS (SELECT query_id, item_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM p JOIN v a ON query_id = a.vec_id JOIN v b ON item_id = b.vec_id),
-      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s)
-      SELECT query_id, item_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
+    "knn_lsh": _lists_sql(),
     "topk_per_query": """SELECT query_id, item_id, score, rank FROM (SELECT user_id AS query_id, event_id AS item_id, value AS score,
       CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) WHERE rank <= 5""",
     "ctr_cvr_score": f"WITH {CANDIDATES} SELECT user_id, item_id, round({_CTR}, 6) AS ctr, round({_CVR}, 6) AS cvr FROM candidates",

@@ -1,6 +1,7 @@
 """Retrieval, ranking, ordered totals, point-in-time joins and interleaving against brute force."""
 
 import hashlib
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -50,14 +51,59 @@ def test_knn_edge_sizes(spark):
     assert retrieval.knn_cosine(q, few.limit(0), 10).count() == 0
 
 
-def test_lsh_finds_most_neighbours_even_in_one_hot_code(spark):
+def work(q, df, k, lists, depth=None):
+    """Recall against the exact search, and the shares of pairs scored by code and compared in full."""
+    found = retrieval.knn_lists(q, df, k, lists, depth).cache()
+    recall = retrieval.recall_at_k(found, retrieval.knn_cosine(q, df, k)).first().recall
+    done = retrieval.comparisons(q, df, k, lists, depth).first()
+    shares = recall, done.scored / done.pairs, done.full / done.pairs
+    print("recall %.3f, scored %.3f, full %.4f of all pairs" % shares)
+    found.unpersist()
+    return shares
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_lists_find_most_neighbours_of_unclustered_vectors(spark, folder):
+    path = f"/root/testdata/{folder}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables here")
+    df = spark.read.parquet(path).select(F.col("vec_id").alias("item_id"), "embedding")
+    recall, scored, full = work(df.withColumnRenamed("item_id", "query_id"), df, 10, retrieval.train_lists(df))
+    assert recall >= 0.9 and full <= 0.1 and scored < 0.75
+
+
+def test_lists_of_an_index_ten_times_larger(spark):
+    rng = np.random.default_rng(7)
+    df = table(spark, rng.normal(size=(20_000, 64))).repartition(4)
+    q = df.filter("item_id % 40 = 0").withColumnRenamed("item_id", "query_id")
+    lists = retrieval.train_lists(df)
+    assert len(set(lists.groups)) > 1 and len(lists.centroids) == retrieval.SAMPLE_ROWS // retrieval.LIST_ROWS
+    recall, scored, full = work(q, df, 10, lists)
+    assert recall >= 0.9 and full <= 0.1 and scored < 0.75
+
+
+def test_clustered_vectors_need_few_probes(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(50, 32))
+    df = table(spark, np.repeat(centers, 80, axis=0) + 0.2 * rng.normal(size=(4000, 32)))
+    q = df.withColumnRenamed("item_id", "query_id")
+    lists = retrieval.tuned(retrieval.train_lists(df), q, df, 10, 0.99)
+    recall, scored, full = work(q, df, 10, lists)
+    assert lists.probes <= 10 and recall >= 0.95 and scored + full <= 0.12
+
+
+def test_lists_in_one_hot_list_ties_and_odd_rows(spark):
     rng = np.random.default_rng(2)
     center = rng.normal(size=16)
-    items = np.concatenate([center + 0.05 * rng.normal(size=(200, 16)), rng.normal(size=(100, 16))])
-    df = table(spark, items)
+    items = np.concatenate([center + 0.05 * rng.normal(size=(200, 16)), rng.normal(size=(100, 16)), np.zeros((2, 16)), np.tile(center, (30, 1))])
+    df = table(spark, items).union(spark.createDataFrame([(900, None)], "item_id long, embedding array<double>"))
     q = df.withColumnRenamed("item_id", "query_id")
-    found, exact = retrieval.knn_lsh(q, df, 5, 16), retrieval.knn_cosine(q, df, 5)
-    assert retrieval.recall_at_k(found, exact).first().recall >= 0.9
+    lists = retrieval.train_lists(df, list_rows=20, group_rows=64)
+    found = retrieval.knn_lists(q, df, 5, lists, depth=60, index_rows=64)
+    assert retrieval.recall_at_k(found, retrieval.knn_cosine(q, df, 5)).first().recall >= 0.9
+    rows = [(r.query_id, r.rank, r.item_id) for r in found.collect()]
+    assert len(rows) == 332 * 5 and [i for c, _, i in sorted(rows) if c == 302] == [302, 303, 304, 305, 306]
+    assert retrieval.knn_lists(q, df.limit(0), 5).count() == retrieval.knn_lists(q.limit(0), df, 5).count() == 0
 
 
 def test_normalising_keeps_zero_vectors(spark):
