@@ -146,8 +146,12 @@ ORACLE = {
       j AS (SELECT c.conv_id, c.turn, call_id, level, content IS NOT NULL AS linked, length(c.text) >= 60 AS valid,
         '{"arguments":{"query":' || to_json(c.text) || CASE WHEN half IS NULL THEN '' ELSE ',"refs":["c' || c.conv_id || '-' || half || '"]' END
         || '},"id":"' || call_id || '","name":"answer","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS record
-        FROM c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.turn)
-      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) AS position, call_id, level, linked, valid,
+        FROM c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.turn
+        UNION ALL
+        SELECT DISTINCT o.conv_id, o.turn, NULL, NULL, false, NULL, '{"content":' || coalesce(to_json(o.text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(o.role)::VARCHAR, 'null')
+          || ',"turn":' || coalesce(o.turn::VARCHAR, 'null') || '}' FROM conversations o LEFT JOIN u ON o.conv_id = u.conv_id AND o.turn = u.turn + 1
+        WHERE NOT coalesce(o.role = 'user' AND o.conv_id IS NOT NULL AND o.turn IS NOT NULL, false) AND NOT coalesce(o.role = 'assistant' AND u.turn IS NOT NULL, false))
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level NULLS LAST, turn, call_id) AS position, call_id, level, linked, valid,
         CASE WHEN NOT valid THEN '$.query: length' END AS problem, record, sha256(record) AS record_sha256 FROM j""",
     "op8_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -170,7 +174,7 @@ ORACLE = {
       FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op6_line_dedup": """WITH l AS (SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents),
-      b AS (SELECT trim(line, ' ') AS k, min(doc_id) AS first_id FROM l WHERE length(trim(line, ' ')) >= 20 GROUP BY 1 HAVING count(DISTINCT site) >= 10),
+      b AS (SELECT trim(line, ' ') AS k, min(doc_id) AS first_id FROM l WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY 1 HAVING count(DISTINCT site) >= 10),
       k AS (SELECT l.doc_id, i, line, b.k IS NOT NULL AND l.doc_id <> b.first_id AS gone FROM l LEFT JOIN b ON trim(l.line, ' ') = b.k)
       SELECT doc_id, CASE WHEN count(*) = 1 AND max(line) = '' THEN 0 ELSE count(*) END AS n_lines, count(*) FILTER (gone) AS n_removed,
         sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM k GROUP BY doc_id""",

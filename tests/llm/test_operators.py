@@ -114,7 +114,7 @@ def test_line_dedup_by_brute_force(spark, docs):
     sites, first = collections.defaultdict(set), {}
     for i in sorted(docs):
         for line in docs[i].text.split("\n"):
-            if len(line.strip(" ")) >= 20:
+            if line.strip(" \t\r\f\x0b"):
                 sites[line.strip(" ")].add(docs[i].source)
                 first.setdefault(line.strip(" "), i)
     got = result(spark, "op6_line_dedup")
