@@ -13,7 +13,7 @@ from souk.operators.aggregates import lambda_merge, user_behavior_aggregates
 from souk.queries.features import USERS
 from souk.queries.operations import _queue
 from souk.queries.statistics import METRICS, _decision
-from souk.session import scratch_path
+from souk.session import rocksdb_state, scratch_path
 from souk.sources import adapters as A
 from souk.sources import online, streams
 from souk.streaming import cache, counts, review
@@ -83,10 +83,12 @@ def stream_window_join(spark, d):
 
 
 def ttl_dedup(spark, d):
-    """Per endpoint and user, the requests that are computed when a response lives for a day, up to the watermark."""
+    """Per endpoint and user, the requests that are computed when a response lives for a day."""
     endpoint = F.concat(F.lit("/"), "event_type")
     requests = streams.table_stream(spark, d, "events").select(request_key(endpoint, F.col("user_id")).alias("key"), "ts", "event_id")
-    computed = streams.drain_to_table(cache.ttl_dedup(requests, ttl=timedelta(days=1)), "dedup")
+    newest = A.table(spark, d, "events").agg(F.max("ts").alias("ts")).filter("ts is not null")
+    last = newest.select(*[(F.col("ts") + F.expr("interval 1 hour")).alias("ts") if c == "ts" else F.lit(None).cast(t).alias(c) for c, t in requests.dtypes])
+    computed = streams.drain_whole(requests, lambda rows: cache.ttl_dedup(rows, ttl=timedelta(days=1)), last, "dedup")
     return computed.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
@@ -109,7 +111,8 @@ def stream_hitl(spark, d):
         item.alias("transaction_id"), F.col("event_id").alias("decision_id"),
         F.when(F.col("user_id") % 3 == 0, "Approved").otherwise("Blocked").alias("action"), F.col("user_id").alias("reviewer_id"), F.col("ts").alias("decided_at")
     )
-    queue = _latest_state(_drained(review.stream_hitl(alerts, decisions), "queue"), "transaction_id")
+    with rocksdb_state(spark):
+        queue = _latest_state(_drained(review.stream_hitl(alerts, decisions), "queue"), "transaction_id")
     return queue.withColumn("alert_at", F.col("alert_at").cast("timestamp_ntz"))
 
 
@@ -136,8 +139,7 @@ ORACLE = {
     "ttl_dedup": """WITH RECURSIVE r AS (SELECT 'cache:/' || event_type || ':' || user_id AS key, ts, event_id FROM events),
       chain AS (SELECT key, min(ts) AS ts FROM r GROUP BY key UNION ALL
         SELECT c.key, min(r.ts) FROM chain c JOIN r ON r.key = c.key AND r.ts >= c.ts + INTERVAL 1 DAY GROUP BY c.key)
-      SELECT r.key, r.ts, r.event_id FROM chain JOIN r ON r.key = chain.key AND r.ts = chain.ts
-      WHERE r.ts < (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events)""",
+      SELECT r.key, r.ts, r.event_id FROM chain JOIN r ON r.key = chain.key AND r.ts = chain.ts""",
     "stream_guardrail": f"""WITH {METRICS}, g AS (SELECT count(*) FILTER (variant = 'control') AS nc, count(*) FILTER (variant = 'treatment') AS nt,
       (avg(metric) FILTER (variant = 'treatment') - avg(metric) FILTER (variant = 'control')) /
       sqrt(var_pop(metric) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') + var_pop(metric) FILTER (variant = 'treatment') / count(*) FILTER (variant = 'treatment')) AS z FROM metrics)

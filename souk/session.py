@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: State of streams on local disk and in the checkpoint, not on the executors' heap.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, whatever the session says otherwise."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
 def build_session(app: str = "souk", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the operators rely on (UTC clock, AQE with skew-join splitting)."""
     builder = (
@@ -16,8 +34,7 @@ def build_session(app: str = "souk", master: str | None = None, shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # state of streams on local disk and in the checkpoint, not on the executors' heap
-        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config(STATE_STORE, ROCKSDB)
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -59,6 +59,23 @@ def drain(
     return query
 
 
+def drain_whole(rows: DataFrame, operator: Callable[[DataFrame], DataFrame], last: DataFrame, name: str) -> DataFrame:
+    """What ``operator`` appends for all of a finite stream, the rows that wait for the watermark too.
+
+    Once everything available is through, the stream goes on from its checkpoint with one more file, which holds ``last``: rows
+    whose only part is to move the watermark past all others. They wait in the state for ever and are not in the result.
+    """
+    spark = rows.sparkSession
+    end, path, progress = (scratch_path(spark, name + part) for part in ("-end", "", "-progress"))
+    last.limit(0).write.parquet(end)
+    stream = operator(rows.unionByName(spark.readStream.schema(last.schema).parquet(end)))
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", progress).trigger(availableNow=True)
+    writer.start().awaitTermination()
+    last.write.mode("append").parquet(end)
+    writer.start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def drain_to_table(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Run a stream over everything available now into a Parquet table, and read that table back."""
     spark = stream.sparkSession

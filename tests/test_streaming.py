@@ -37,10 +37,12 @@ def text_stream(spark, folder):
 
 
 def table_batches(spark, folder, rows, schema):
-    """One Parquet file per batch, read in that order."""
+    """One Parquet file per batch, read in that order; files that are there already stay."""
     os.makedirs(folder, exist_ok=True)
     for i, part in enumerate(rows):
         tmp = os.path.join(folder, f"_{i}")
+        if os.path.exists(tmp):
+            continue
         spark.createDataFrame(part, schema).coalesce(1).write.parquet(tmp)
         name = next(f for f in os.listdir(tmp) if f.endswith(".parquet"))
         target = os.path.join(folder, f"{i:03d}.parquet")
@@ -160,6 +162,32 @@ def test_ttl_dedup_goes_by_event_time(spark, tmp_path):
     assert sorted((r.ts, r.id) for r in rows) == [(t0 + timedelta(seconds=s, microseconds=s), i) for s, i in ((10, 2), (70, 5), (131, 6))]
 
 
+def test_the_end_of_a_table_releases_what_waits(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    rows = [[("a", t0), ("b", t0 + timedelta(seconds=1))], [("a", t0 + timedelta(seconds=59)), ("a", t0 + timedelta(seconds=61))]]
+    schema = "key string, ts timestamp"
+    stream = table_batches(spark, str(tmp_path / "in"), rows, schema)
+    last = spark.createDataFrame([(None, t0 + timedelta(hours=2))], schema)
+    got = streams.drain_whole(stream, cache.ttl_dedup, last, "whole").collect()
+    assert sorted((r.key, int((r.ts - t0).total_seconds())) for r in got) == [("a", 0), ("a", 61), ("b", 1)]
+
+
+def test_a_review_queue_goes_on_after_a_restart(spark, tmp_path):
+    t0, a, d = datetime(2024, 1, 1), str(tmp_path / "a"), str(tmp_path / "d")
+    a_schema = "transaction_id string, alert_id bigint, user_id string, amount double, alert_at timestamp"
+    d_schema = "transaction_id string, decision_id bigint, action string, reviewer_id string, decided_at timestamp"
+    alerts = [[("x", 1, "u", 1.0, t0), ("y", 2, "u", 2.0, t0)], [("x", 3, "u", 3.0, t0 - timedelta(hours=2))], [("y", 4, "u", 4.0, t0 + timedelta(hours=3))]]
+    decisions = [[("z", 9, "Approved", "r", t0)], [("x", 8, "Blocked", "s", t0 + timedelta(hours=1)), ("y", 6, "Approved", "r", t0 + timedelta(hours=2))], [("x", 7, "Approved", "r", t0)]]
+    seen = {}
+    for n in (1, 2, 3):  # a new query each time, from the same checkpoint
+        out = review.stream_hitl(table_batches(spark, a, alerts[:n], a_schema), table_batches(spark, d, decisions[:n], d_schema))
+        streams.drain(out, lambda rows, _: seen.update({r.transaction_id: (r.alert_id, r.status, r.moderated_by) for r in rows.collect()}), checkpoint=str(tmp_path / "c"))
+    batch = moderation.hitl_status(spark.createDataFrame(sum(alerts, []), a_schema), spark.createDataFrame(sum(decisions, []), d_schema))
+    assert seen == {r.transaction_id: (str(r.alert_id), r.status, r.moderated_by) for r in batch.collect()} == {
+        "x": ("1", "approved", "r"), "y": ("4", "pending", None)
+    }
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_review_stream_ignores_the_order_of_arrival(spark, tmp_path, seed):
     start, shuffled = datetime(2024, 1, 1), Random(seed)
