@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.scalars import ltr_features, relevance_label, sigmoid
 from souk.functions.vectors import dot, l2_normalize
-from souk.operators import boosting
+from souk.operators import boosting, contrastive, joint
 from souk.operators.graph import neighbor_mean
 from souk.operators.lookups import user_item_features
 from souk.operators.ordered import global_rank
@@ -28,8 +28,20 @@ ROUNDS, LEARNING_RATE, DEPTH = 30, 0.05, 5
 EMBEDDING_DIM = 32
 
 
-def train_embeddings(events: DataFrame, weight: Column, dim: int = EMBEDDING_DIM, iterations: int = 5, reg: float = 0.1,
-                     alpha: float = 1.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def train_embeddings(events: DataFrame, weight: Column, dim: int = EMBEDDING_DIM, epochs: int = contrastive.EPOCHS,
+                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """User and item unit vectors from the in-batch contrastive loss: two ``(id, embedding)`` tables.
+
+    Ids may be of any type. Events without user or item are left out. Repeated events of a pair are summed before the fit sees them.
+    """
+    sums = events.filter("user_id is not null and item_id is not null").groupBy("user_id", "item_id")
+    pairs = cut_lineage(sums.agg(F.sum(weight.cast("double")).alias("weight")).filter("weight > 0"))
+    users, items = contrastive.fit(pairs, dim, epochs, seed=seed)
+    return users.select(F.col("user_id").alias("query_id"), F.col("vec").alias("embedding")), items.select("item_id", F.col("vec").alias("embedding"))
+
+
+def factor_embeddings(events: DataFrame, weight: Column, dim: int = EMBEDDING_DIM, iterations: int = 5, reg: float = 0.1,
+                      alpha: float = 1.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """User and item unit vectors from implicit-feedback factorisation: two ``(id, embedding)`` tables.
 
     Ids may be of any type that sorts; they are numbered across tasks for the factorisation, which takes 32-bit numbers.
@@ -75,10 +87,21 @@ def ranker_examples(events: DataFrame, users: DataFrame, items: DataFrame, click
     return user_item_features(seen, users, items)
 
 
-def fit_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25,
+def fit_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 40,
                 names: tuple[str, str] = ("ctr_pred", "cvr_pred")) -> Scorer:
     """A scorer that adds click and conversion probabilities to any rows with the input columns, seen or not.
 
+    One model for both (see ``joint.TwoTasks``), fitted together on the click loss plus half the conversion loss. The fit reads
+    ``examples`` once per step, so pass a written table.
+    """
+    model = joint.fit_two_tasks(examples, inputs, ("ctr_label", "cvr_label"), iterations)
+    return lambda rows: rows.withColumns(model.score([F.col(c) for c in inputs], names))
+
+
+def fit_heads(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25,
+              names: tuple[str, str] = ("ctr_pred", "cvr_pred")) -> Scorer:
+    """A scorer like that of ``fit_ctr_cvr`` from two models that share nothing but their inputs.
+
     Two logistic heads over shared inputs, standardised as in the examples, and their user x item products. The fit
     reads ``examples`` several times, so pass a written table; the scorer is plain Column arithmetic.
     """
@@ -96,7 +119,7 @@ def fit_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, itera
     return lambda rows: rows.withColumns({name: _probability(head, x) for name, head in zip(names, heads)})
 
 
-def train_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 25) -> DataFrame:
+def train_ctr_cvr(examples: DataFrame, inputs: tuple[str, ...] = CTR_INPUTS, iterations: int = 40) -> DataFrame:
     """``examples`` with the ``ctr_pred`` and ``cvr_pred`` of the model that they teach."""
     examples = cut_lineage(examples)
     return fit_ctr_cvr(examples, inputs, iterations)(examples)
@@ -136,15 +159,22 @@ def train_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_
     return fit_ltr(examples, rounds, rate, depth)(examples)
 
 
-def graph_score(nodes: DataFrame, edges: DataFrame, dim: int, iterations: int = 25, node: str = "node_id",
+def graph_score(nodes: DataFrame, edges: DataFrame, dim: int, iterations: int = 40, node: str = "node_id",
                 features: str = "features", label: str = "label") -> DataFrame:
-    """``(node, graph_risk)``: probability from a node's own features beside its neighbours' mean over ``edges``."""
+    """``(node, graph_risk)``: probability from one hidden layer over a node's own features beside its neighbours' mean over ``edges``."""
     return neighborhood_score(neighbor_mean(nodes, edges, dim, node, features), iterations, node, features, label)
 
 
-def neighborhood_score(both: DataFrame, iterations: int = 25, node: str = "node_id", features: str = "features",
+def neighborhood_score(both: DataFrame, iterations: int = 40, node: str = "node_id", features: str = "features",
                        label: str = "label") -> DataFrame:
     """``graph_score`` of nodes that already have their ``neighbor_mean``, for instance from ``shared_attr_mean``."""
-    # the fit scales its inputs itself; it and the scoring read the joined table once more each
+    rows = cut_lineage(both.select(node, F.col(label).alias("label"), F.concat(features, "neighbor_mean").alias("x")))
+    model = joint.fit_neighbourhood(rows, iterations)
+    return rows.select(node, (model.score(F.col("x")) if model else F.lit(None).cast("double")).alias("graph_risk"))
+
+
+def linear_neighborhood_score(both: DataFrame, iterations: int = 25, node: str = "node_id", features: str = "features",
+                              label: str = "label") -> DataFrame:
+    """Like ``neighborhood_score`` without the hidden layer: a logistic model of the same inputs."""
     rows = cut_lineage(both.select(node, label, F.concat(features, "neighbor_mean").alias("x")))
     return rows.select(node, _probability(_logistic(rows, label, iterations), F.col("x")).alias("graph_risk"))

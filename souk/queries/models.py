@@ -5,29 +5,52 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from souk.functions import scalars as S
+from souk.functions import vectors as V
 from souk.operators import anomalies, boosting, evaluation, graph, models, retrieval, series
 from souk.plans import fraud
-from souk.queries.features import items_of, users_of
+from souk.queries.features import INTERACTIONS, items_of, users_of
 from souk.queries.operations import NODES
-from souk.queries.ranking import CANDIDATES
+from souk.queries.ranking import _SCORED, CANDIDATES
 from souk.session import cut_lineage
 from souk.sources import adapters as A
 
 FEATURES = len(A.NODE_FEATURES)
 
 
+def _embeddings(spark, d):
+    return models.train_embeddings(A.interactions(spark, d), S.relevance_label(F.col("event_type"), A.STORED_RELEVANCE))
+
+
 def train_embeddings(spark, d):
-    weight = S.relevance_label(F.col("event_type"), A.STORED_RELEVANCE)
-    users, items = models.train_embeddings(A.interactions(spark, d), weight)
-    return retrieval.knn_cosine(users, items, 10)
+    return retrieval.knn_lists(*_embeddings(spark, d), 10)
 
 
-def train_ctr_cvr(spark, d):
-    examples = models.ranker_examples(
+def embedding_ids(spark, d):
+    """Who has a trained vector: every user and item of the log, with unit vectors of the stated width."""
+    users, items = _embeddings(spark, d)
+    both = users.select(F.lit("user").alias("side"), F.col("query_id").alias("id"), "embedding").union(items.select(F.lit("item"), "item_id", "embedding"))
+    return both.select("side", "id", F.size("embedding").alias("dim"), F.round(V.l2_norm(F.col("embedding")), 6).alias("norm"))
+
+
+def _ranker_examples(spark, d):
+    return models.ranker_examples(
         A.interactions(spark, d), users_of(spark, d), items_of(spark, d),
         F.col("event_type") == "click", F.col("event_type") == "purchase",
     )
-    return models.train_ctr_cvr(examples).select("user_id", "item_id", "ctr_label", "cvr_label", "ctr_pred", "cvr_pred")
+
+
+def train_ctr_cvr(spark, d):
+    return models.train_ctr_cvr(_ranker_examples(spark, d)).select("user_id", "item_id", "ctr_label", "cvr_label", "ctr_pred", "cvr_pred")
+
+
+def ranker_optimum(spark, d):
+    """What the fitted heads promise: predicted and true labels have the same sums, alone and times every input."""
+    scored = models.train_ctr_cvr(_ranker_examples(spark, d))
+    sums = [
+        F.struct(F.lit(head).alias("head"), F.lit(c).alias("input"), F.sum(F.col(f"{head}_pred") * (F.lit(1.0) if c == "one" else F.col(c).cast("double"))).alias("total"))
+        for head in ("ctr", "cvr") for c in ("one", *models.CTR_INPUTS)
+    ]
+    return scored.agg(F.array(*sums).alias("s")).select(F.inline("s")).withColumn("total", F.round("total", 2))
 
 
 def ranker_loss(spark, d):
@@ -73,7 +96,7 @@ def fraud_ensemble(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        train_embeddings, train_ctr_cvr, ranker_loss, train_ltr, ltr_gradient, forecast_basis, graph_score, recon_error, isolation_forest,
+        train_embeddings, embedding_ids, train_ctr_cvr, ranker_optimum, ranker_loss, train_ltr, ltr_gradient, forecast_basis, graph_score, recon_error, isolation_forest,
         fraud_ensemble,
     )
 }
@@ -147,4 +170,15 @@ def _lambda_sql(k: int = boosting.CUT) -> str:
       FROM e LEFT JOIN t ON e.user_id = t.user_id AND e.item_id = t.item_id"""
 
 
-ORACLE = {"ltr_gradient": _lambda_sql(), "forecast_basis": _forecast_sql(), "recon_error": _recon_sql()}
+def _optimum_sql() -> str:
+    names = dict(zip(("one", *models.CTR_INPUTS), ("1", "uv", "up", "cvr_u", "price", "pop")))
+    parts = [f"SELECT '{head}' AS head, '{name}' AS input, round(sum({y} * {column})::DOUBLE, 2) AS total FROM scored"
+             for head, y in (("ctr", "y1"), ("cvr", "y2")) for name, column in names.items()]
+    return f"WITH {_SCORED} {' UNION ALL '.join(parts)}"
+
+
+_IDS_SQL = f"""WITH {INTERACTIONS}, s AS (SELECT DISTINCT user_id, item_id FROM interactions WHERE user_id IS NOT NULL AND item_id IS NOT NULL)
+      SELECT 'user' AS side, user_id AS id, {models.EMBEDDING_DIM}::INTEGER AS dim, 1.0::DOUBLE AS norm FROM s GROUP BY user_id
+      UNION ALL SELECT 'item', item_id, {models.EMBEDDING_DIM}::INTEGER, 1.0::DOUBLE FROM s GROUP BY item_id"""
+
+ORACLE = {"embedding_ids": _IDS_SQL, "ranker_optimum": _optimum_sql(), "ltr_gradient": _lambda_sql(), "forecast_basis": _forecast_sql(), "recon_error": _recon_sql()}

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from souk.operators import anomalies, boosting, evaluation, graph, lookups, models, retrieval
+from souk.operators import anomalies, boosting, contrastive, evaluation, graph, joint, lookups, models, retrieval
 from souk.plans import fraud
 
 
@@ -93,6 +93,47 @@ def test_embeddings_beat_popularity(clustered):
     assert agree > 0.75  # a popularity list would agree half the time
 
 
+def contrast(pairs, users, items):
+    """Mean in-batch loss of held-out pairs."""
+    both = pairs.join(users.withColumnRenamed("query_id", "user_id").withColumnRenamed("embedding", "user_vec"), "user_id").join(
+        items.withColumnRenamed("embedding", "item_vec"), "item_id"
+    )
+    numbered = both.withColumn("pair_id", F.col("user_id") * 1000 + F.col("item_id")).withColumn("batch_id", F.pmod(F.xxhash64("pair_id"), F.lit(8)))
+    return evaluation.info_nce(numbered).agg(F.avg("info_nce")).first()[0]
+
+
+def test_contrastive_vectors_tell_held_out_pairs(spark):
+    rng = np.random.default_rng(9)
+    taste, kind = rng.normal(size=(150, 4)), rng.normal(size=(120, 4))
+    odds = taste @ kind.T
+    liked = [(u, int(i), "view", bool(rng.random() < 0.2)) for u in range(150) for i in np.argsort(-odds[u])[:20]]
+    log = spark.createDataFrame(liked, "user_id long, item_id long, event_type string, held boolean").repartition(4).cache()
+    known, held = log.filter("not held"), log.filter("held").select("user_id", "item_id")
+    short, fitted, factors = (
+        contrast(held, *f) for f in (
+            models.train_embeddings(known, F.lit(1.0), dim=8, epochs=1), models.train_embeddings(known, F.lit(1.0), dim=8),
+            models.factor_embeddings(known, F.lit(1.0), dim=8),
+        )
+    )
+    print(short, fitted, factors)
+    assert fitted < short and fitted < factors
+
+
+def test_contrastive_gradients_and_repeated_items():
+    rng = np.random.default_rng(0)
+    u, v, items, w = rng.normal(size=(6, 4)), rng.normal(size=(6, 4)), np.array([0, 1, 2, 2, 3, 4]), rng.random(6)
+    _, du, dv = contrastive.gradients(u, v, items, w, 0.5)
+    for side, found in ((u, du), (v, dv)):
+        for at in np.ndindex(6, 4):
+            kept = side[at]
+            losses = []
+            for step in (1e-6, -1e-6):
+                side[at] = kept + step
+                losses.append(contrastive.gradients(u, v, items, w, 0.5)[0])
+            side[at] = kept
+            assert found[at] == pytest.approx((losses[0] - losses[1]) / 2e-6, abs=1e-6)
+
+
 def test_embeddings_take_ids_of_any_type(clustered):
     weight = F.when(F.col("event_type") == "purchase", 5).otherwise(0.1)
     far = clustered.select((F.col("user_id") + (1 << 40)).alias("user_id"), F.concat(F.lit("i-"), "item_id").alias("item_id"), "event_type")
@@ -173,6 +214,49 @@ def test_a_tree_of_known_splits(spark):
     assert 0.9 < found[0] < 1 and -2 < found[1] < -1.8
 
 
+def test_joint_gradients():
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(40, 5)), (rng.random((40, 2)) < 0.4).astype(float)
+    for model, labels in ((joint.TwoTasks(np.zeros(5), np.ones(5)), y), (joint.Neighbourhood(np.zeros(5), np.ones(5)), y[:, 0])):
+        flat = model.flat + 0.1 * rng.normal(size=model.flat.size)
+        found = model.gradient(x, labels, flat)[1:]
+        for i in range(len(flat)):
+            step = np.zeros(len(flat))
+            step[i] = 1e-6
+            slope = (model.gradient(x, labels, flat + step)[0] - model.gradient(x, labels, flat - step)[0]) / 2e-6
+            assert found[i] == pytest.approx(slope, abs=1e-6)
+
+
+def test_one_model_for_both_labels_is_no_worse_than_two(spark):
+    """Both labels hang on the same product of inputs, and conversions are rare."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for i in range(3000):
+        x = rng.normal(size=5)
+        z = 1.5 * x[0] * x[1] + x[2] * x[3] - 0.5
+        clicked = rng.random() < 1 / (1 + np.exp(-z))
+        rows.append((*map(float, x), float(clicked), float(clicked and rng.random() < 1 / (1 + np.exp(2 - z))), i % 4 == 0))
+    names = ", ".join(f"{c} double" for c in (*models.CTR_INPUTS, "ctr_label", "cvr_label"))
+    table = spark.createDataFrame(rows, f"{names}, held boolean").repartition(4).cache()
+    known, held = table.filter("not held"), table.filter("held")
+    losses = [evaluation.bce_joint_loss(fit(known)(held)).first().joint_loss for fit in (models.fit_ctr_cvr, models.fit_heads)]
+    print(losses)
+    assert losses[0] <= losses[1]
+    sums = models.fit_ctr_cvr(known)(known).agg(*[F.sum((F.col(f"{h}_pred") - F.col(f"{h}_label")) * F.col(c)) for h in ("ctr", "cvr") for c in models.CTR_INPUTS]).first()
+    assert max(map(abs, sums)) < 1e-4
+
+
+def test_hidden_layer_tells_an_interaction_of_node_and_neighbours(spark):
+    rng = np.random.default_rng(17)
+    own, around = rng.normal(size=600), rng.normal(size=600)
+    rows = [(i, [float(own[i])], [float(around[i])], int(own[i] * around[i] > 0)) for i in range(600)]
+    both = spark.createDataFrame(rows, "node_id long, features array<double>, neighbor_mean array<double>, label int").repartition(4)
+    scored = models.neighborhood_score(both, 60).join(both.select("node_id", "label"), "node_id")
+    flat = models.linear_neighborhood_score(both).join(both.select("node_id", "label"), "node_id")
+    found, linear = (evaluation.auc(x.withColumnRenamed("graph_risk", "score")).first().auc for x in (scored, flat))
+    assert found > 0.9 > 0.6 > linear
+
+
 def test_shared_attributes_make_true_neighbourhoods(spark):
     nodes = spark.createDataFrame([(1, [0.0]), (2, [10.0]), (3, [100.0])], "node_id long, features array<double>")
     members = spark.createDataFrame([(u, "shared") for u in (1, 2, 3)], "user_id long, attribute string")
