@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 
 from souk.llm.common import map_batches
 
-#: Characters read at a time, symbols added to the transducer's buffer at a time, words kept in a task's memory.
+#: Characters read at a time, and symbols added to the transducer's buffer at a time.
 BLOCK = 1 << 16
 CHUNK = 4096
-MEMORY = 1 << 18
-#: Words up to this length are kept with their ids; longer ones go through the transducer each time.
+#: Words whose ids a task keeps, in two halves of which the older is dropped, and the longest (in characters) that it keeps.
+MEMORY, KEPT = 1 << 17, 48
+#: Symbols up to which a list is merged by scanning, and beyond by a heap.
 SHORT = 48
 
 
@@ -80,18 +81,18 @@ class Bpe:
         self._symbol = [self.vocab[letter] for letter in letters]
         self._last = [self.vocab[letter + self.suffix] for letter in letters]
         self._memory: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self.pieces = {i: token.encode() for token, i in self.vocab.items()} | {i: s.encode() for s, i in self.special.items()}
 
     def _load_merges(self, merges: list) -> None:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         made: dict[str, int] = {}
-        self._merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self._merge: dict[tuple[int, int], int] = {}  # rank and new id in one number
         for rank, (left, right) in enumerate(pairs):
             made[left + right] = rank
-            self._merge[self.vocab[left], self.vocab[right]] = (rank, self.vocab[left + right])
+            self._merge[self.vocab[left], self.vocab[right]] = rank << 32 | self.vocab[left + right]
         if any(made.get(part, -1) >= rank for rank, pair in enumerate(pairs) for part in pair):
             raise ValueError("a merge precedes the merge that makes its part, so no lookahead is sufficient")
-        self._pairs = pairs
 
     def _load_text_rules(self, spec: dict) -> None:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -109,8 +110,9 @@ class Bpe:
     def lookahead(self) -> int:
         """Symbols after which a border can no longer move: the longest chain of merges, from the last rank down."""
         longest: dict[str, int] = {}
-        most = 1
-        for left, right in reversed(self._pairs):
+        most, names = 1, {i: token for token, i in self.vocab.items()}
+        pairs = ((names[a], names[b]) for a, b in self._merge)  # from the first rank on
+        for left, right in reversed(list(pairs)):
             reach = len(self._symbols(left)) + longest.get(left, 0)
             most = max(most, reach)
             start = ""
@@ -125,25 +127,25 @@ class Bpe:
         if len(ids) <= SHORT:
             return self._merged_short(ids)
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        heap = [(found[0], i, *pair) for i, pair in enumerate(itertools.pairwise(ids)) if (found := self._merge.get(pair))]
+        heap = [(found, i, *pair) for i, pair in enumerate(itertools.pairwise(ids)) if (found := self._merge.get(pair)) is not None]
         heapq.heapify(heap)
         end, ids, gone = len(ids), ids[:], -1
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            found, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= end or ids[j] != right:
                 continue
-            ids[i], ids[j], after[i] = self._merge[left, right][1], gone, after[j]
+            ids[i], ids[j], after[i] = found & 0xFFFFFFFF, gone, after[j]
             if after[i] < end:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < end and (found := self._merge.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (found[0], a, ids[a], ids[b]))
+                if a >= 0 and b < end and (found := self._merge.get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (found, a, ids[a], ids[b]))
         return [x for x in ids if x != gone]
 
     def _merged_short(self, ids: list[int]) -> list[int]:
         """The same for a short list: one rank per pair, of which a merge changes two."""
-        get, none = self._ranked.get, 1 << 62
+        get, none = self._merge.get, 1 << 62
         ranks = [get(pair, none) for pair in zip(ids, ids[1:])]
         while ranks:
             best = min(ranks)
@@ -159,10 +161,6 @@ class Bpe:
                 ranks[at] = get((new, ids[at + 1]), none)
         return ids
 
-    @functools.cached_property
-    def _ranked(self) -> dict[tuple[int, int], int]:
-        return {pair: rank << 32 | new for pair, (rank, new) in self._merge.items()}
-
     @functools.cached_property
     def _length(self) -> dict[int, int]:
         return {i: len(self._symbols(token)) for token, i in self.vocab.items()}
@@ -189,13 +187,18 @@ class Bpe:
             held = held[used:]
             yield tokens
 
-    def _remember(self, words: set[str]) -> None:
-        """Ids of words of at most ``SHORT`` characters, kept for the next time."""
+    def _recall(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of these words, each from the transducer or from the memory of what it gave before."""
+        if len(self._memory) > MEMORY // 2:
+            self._older, self._memory = self._memory, {}
+        known, memory, older = {}, self._memory, self._older
         for word in words:
-            data = word.encode()
-            ids = [self._symbol[b] for b in data]
-            ids[-1] = self._last[data[-1]]
-            self._memory[word] = tuple(self._merged_short(ids))
+            ids = memory.get(word)
+            if ids is None:
+                ids = older.get(word) or tuple(itertools.chain.from_iterable(self.transduce(word)))
+                memory[word] = ids
+            known[word] = ids
+        return known
 
     def _blocks(self, text: str) -> Iterator[str]:
         """Parts that end before an ASCII space, which nothing composes or joins across."""
@@ -209,25 +212,21 @@ class Bpe:
             at = end
 
     def _plain(self, text: str) -> Iterator[list[int]]:
-        memory = self._memory
         for block in self._blocks(text):
             if not block.isascii():
                 block = unicodedata.normalize("NFC", block).replace("Σ", "σ")  # no final form of sigma
             words = self._words.findall(block.lower())
-            missing = set(words).difference(memory)
-            if len(memory) + len(missing) > MEMORY:
-                memory.clear()
-                missing = set(words)
-            long = {word for word in missing if len(word) > SHORT}
-            self._remember(missing - long)
+            distinct = set(words)
+            long = {word for word in distinct if len(word) > KEPT}
+            known = self._recall(distinct - long)
             if not long:
-                yield list(itertools.chain.from_iterable(map(memory.__getitem__, words)))
+                yield list(itertools.chain.from_iterable(map(known.__getitem__, words)))
                 continue
             for word in words:
                 if word in long:
                     yield from self.transduce(word)
                 else:
-                    yield list(memory[word])
+                    yield list(known[word])
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of a whole text in bounded lists; special tokens are found in the raw text."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def release() -> None:
+    """Give back to the system what a finished task no longer uses; a reused worker would keep it beside the next task's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` that ends with ``release``."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """Apply a function to Arrow batches; ``start`` runs once per task and returns it, so it may hold state."""
 
@@ -25,7 +46,7 @@ def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa
             if batch.num_rows:
                 yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

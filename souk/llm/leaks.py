@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.llm.common import released
 from souk.llm.words import WordHasher, constants, joined, mixed
 
 #: Edits allowed per hundred words of an item, and the shortest item that is searched.
@@ -276,7 +277,7 @@ def leaks(
     schema = f"doc_id {kind}, item_id bigint, n_words bigint, distance bigint, end bigint"
     found = spark.createDataFrame([], schema)
     for block in _blocks(benchmark, item, item_text):
-        found = found.unionByName(rows.mapInArrow(_searcher(block), schema))
+        found = found.unionByName(rows.mapInArrow(released(_searcher(block)), schema))
     best = F.min(F.struct("distance", "end", "n_words")).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.n_words", "m.distance", "m.end")
 

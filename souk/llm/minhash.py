@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import components, map_batches, written
+from souk.llm.common import components, map_batches, written, released
 from souk.llm.words import WordHasher, constants, grams, joined, mixed
 
 #: Permutations; two signature values each, of which one byte is kept beside the bands. At 48 and four values a band, similarity 0.80 meets in none of the 24 bands
@@ -146,7 +146,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, p
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    return rows.repartition("a", "block").sortWithinPartitions("a", "block", "member").mapInArrow(compare, "a bigint, b bigint")
+    return rows.repartition("a", "block").sortWithinPartitions("a", "block", "member").mapInArrow(released(compare), "a bigint, b bigint")
 
 
 def _cells(rows: DataFrame, key: str) -> DataFrame:
@@ -186,7 +186,7 @@ def _by_cell(cells: DataFrame, key: str, start) -> DataFrame:
         if held is not None:
             yield _edge_batch([find(pa.Table.from_batches([held]))])
 
-    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a bigint, b bigint")
+    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(released(run), "a bigint, b bigint")
 
 
 def _edge_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
