@@ -30,9 +30,8 @@ from pyspark.sql import types as T
 
 from souk.llm.common import map_batches
 
-#: Labelled rows that the fit may use (those of smallest hash), and words that the grammar may learn.
+#: Labelled rows that the fit may use: those of smallest hash. They bound the words that the grammar learns.
 FIT_ROWS = 20_000
-INSULTS = 2_000
 #: A learned insult needs so many contexts in toxic rows, and so many times the share it has in other rows.
 CONTEXTS, LIFT = 5, 8.0
 #: Fixed symbols of the grammar.
@@ -146,15 +145,17 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     labelled rows of both kinds the grammar has no insults and the curve is the fixed prior.
     """
     sample = _sample(labels, key, label, rows)
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text is not null").join(F.broadcast(sample), "id")
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text is not null").join(F.broadcast(sample), "id").groupBy("id").agg(
+        F.min("text").alias("text"), F.first("toxic").alias("toxic")
+    )
     words = F.expr("split(lower(text), '[^\\\\p{L}\\\\p{N}_]+')")
-    terms = texts.select("toxic", words.alias("w")).select(
-        "toxic",
-        F.explode(F.array_distinct(F.transform("w", lambda w, i: F.struct(
+    terms = texts.select("id", "toxic", words.alias("w")).select(
+        "id", "toxic",
+        F.explode(F.transform("w", lambda w, i: F.struct(
             w.alias("term"),
             F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("context"),
-        )))).alias("t"),
-    ).select("toxic", "t.term", "t.context").filter(F.length("term") >= 3)
+        ))).alias("t"),
+    ).select("id", "toxic", "t.term", "t.context").filter(F.length("term") >= 3).distinct()
     bad = terms.filter("toxic = 1").groupBy("term").agg(F.count_distinct("context").alias("bad")).filter(F.col("bad") >= CONTEXTS)
     good = terms.filter("toxic = 0").groupBy("term").agg(F.count("*").alias("good"))
     sizes = sample.groupBy().agg(F.sum("toxic").alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")).first()
@@ -163,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return Grammar({}), [-3.0, 0.0, 0.0]
     lift = (F.col("bad") + 0.0) / n_bad / ((F.coalesce("good", F.lit(0)) + 0.5) / n_good)
     learned = bad.join(good, "term", "left").select("term", "bad", lift.alias("lift")).filter(F.col("lift") >= LIFT)
-    top = learned.orderBy(F.desc("bad"), "term").limit(INSULTS).collect()
+    top = learned.collect()  # words of a bounded sample, on many contexts and mostly in toxic ones
     grammar = Grammar({r["term"]: min(1.0, math.log(r["lift"]) / math.log(LIFT * 8)) for r in top})
     seen = _features(texts.select("id", "text", "toxic"), grammar, "text").select("toxic", *FEATURES).collect()
     x = np.array([(1.0, *inputs(r[FEATURES[0]], r[FEATURES[1]])) for r in seen])
