@@ -12,6 +12,7 @@ from souk.operators import aggregates, asof, lookups, quality
 from souk.plans import feature_view as fv
 from souk.session import scratch_path
 from souk.sources import adapters as A
+from souk.sources.logtable import LogTable
 from souk.sources import files, online
 from souk.streaming import counts
 
@@ -165,6 +166,36 @@ def key_scan(spark, d):
     return online.key_scan(_online_table(spark, d), "fv:item_aggregates:item:")
 
 
+def _log_table(spark, d) -> LogTable:
+    """Users and items, then some users without views, all users whose id starts with 1 deleted, and some of them put back."""
+    users, table = fv.user_online_rows(users_of(spark, d)), LogTable(spark, scratch_path(spark, "log-table"))
+    number = F.element_at(F.split("key", ":"), -1).cast("bigint")
+    table.put(users)
+    table.put(fv.item_online_rows(items_of(spark, d)))
+    table.put(users.filter(number % 3 == 0).withColumn("features", F.create_map(F.lit("user_view_count"), F.lit("0"))))
+    table.delete_prefix("fv:user_aggregates:user:1")
+    table.put(users.filter(number % 5 == 0))
+    table.delete(users.filter(number % 7 == 0).select("key"))
+    return table
+
+
+def online_upsert(spark, d):
+    """The log-structured table after upserts and deletions."""
+    return _log_table(spark, d).read().select("key", F.explode("features").alias("field", "value"))
+
+
+def online_compact(spark, d):
+    """The same table from one merged delta."""
+    table = _log_table(spark, d)
+    table.compact()
+    return table.read().select("key", F.explode("features").alias("field", "value"))
+
+
+def stored_prefix_scan(spark, d):
+    """Keys left under a prefix that was deleted in the stored table."""
+    return online.key_scan(_log_table(spark, d).read(), "fv:user_aggregates:user:1")
+
+
 def online_lookup(spark, d):
     """Users' features as serving reads them back: rates carry the four stored decimals."""
     table = _online_table(spark, d)
@@ -271,7 +302,7 @@ QUERIES = {
     for f in (
         scan_parquet, jsonl_roundtrip, resolve_source, parse_events, valid_events, parse_event_time, user_behavior_aggregates,
         item_aggregates, safe_ratio, compile_feature_view, fv_transformation, entity_counts, format_feature_map, entity_key,
-        online_sink, key_scan, online_lookup, event_log_days, user_feature_lookup, item_feature_lookup, user_item_features, cold_start_defaults,
+        online_sink, key_scan, online_upsert, online_compact, stored_prefix_scan, online_lookup, event_log_days, user_feature_lookup, item_feature_lookup, user_item_features, cold_start_defaults,
         numeric_cast_default, dq_null_rate, dq_between, dq_report, dq_passed, query_group_sizes, sort_by_query, hier_rollup,
         pit_join, lambda_merge,
     )
@@ -285,6 +316,10 @@ _ITEM_FIELDS = """
   SELECT 'fv:item_aggregates:item:' || item_id AS key, unnest(['category', 'base_price', 'popularity']) AS field,
          unnest([category, CAST(base_price AS VARCHAR), CAST(popularity AS VARCHAR)]) AS value
   FROM items"""
+_LOG_TABLE = f"""f AS ({_USER_FIELDS}),
+  k AS (SELECT *, CAST(regexp_extract(key, '[0-9]+$') AS BIGINT) AS n FROM f),
+  left_ AS (SELECT key, field, value FROM k WHERE n % 7 <> 0 AND (n % 5 = 0 OR (n % 3 <> 0 AND NOT starts_with(key, 'fv:user_aggregates:user:1')))
+    UNION ALL SELECT DISTINCT key, 'user_view_count', '0' FROM k WHERE n % 7 <> 0 AND n % 5 <> 0 AND n % 3 = 0 AND NOT starts_with(key, 'fv:user_aggregates:user:1'))"""
 _DIRTY = """dirty AS (
   SELECT user_id, event_type, CASE WHEN event_type = 'error' THEN -value WHEN event_type <> 'signup' THEN value END AS price FROM events)"""
 _CONTRACT = """checks AS (
@@ -317,6 +352,10 @@ ORACLE = {
     "format_feature_map": f"WITH {USERS} {_USER_FIELDS}",
     "entity_key": f"WITH {INTERACTIONS} SELECT DISTINCT item_id, 'fv:item_aggregates:item:' || item_id AS key FROM interactions",
     "online_sink": f"WITH {INTERACTIONS}, {USERS}, {ITEMS} {_USER_FIELDS} UNION ALL {_ITEM_FIELDS}",
+    "online_upsert": f"WITH {INTERACTIONS}, {USERS}, {ITEMS}, {_LOG_TABLE} SELECT * FROM left_ UNION ALL {_ITEM_FIELDS}",
+    "online_compact": f"WITH {INTERACTIONS}, {USERS}, {ITEMS}, {_LOG_TABLE} SELECT * FROM left_ UNION ALL {_ITEM_FIELDS}",
+    "stored_prefix_scan": f"""WITH {USERS}, {_LOG_TABLE} SELECT DISTINCT key, regexp_extract(key, '[0-9]+$') AS id FROM left_
+      WHERE starts_with(key, 'fv:user_aggregates:user:1')""",
     "key_scan": f"WITH {INTERACTIONS} SELECT DISTINCT 'fv:item_aggregates:item:' || item_id AS key, CAST(item_id AS VARCHAR) AS id FROM interactions",
     "online_lookup": f"""WITH {USERS} SELECT user_id, user_view_count, user_purchase_count,
         CAST(printf('%.4f', user_conversion_rate) AS DOUBLE) AS user_conversion_rate, 18::BIGINT AS user_age FROM users""",

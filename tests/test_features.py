@@ -13,6 +13,7 @@ from souk.functions import scalars as S
 from souk.operators import aggregates, graph, lookups, moderation, monitoring, quality
 from souk.plans import feature_view as fv
 from souk.sources import files, online, runs
+from souk.sources.logtable import LogTable
 
 LOG = "event_id int, user_id string, item_id string, event_type string, category string, price double, ts timestamp"
 
@@ -287,3 +288,49 @@ def test_online_table_reads_back_with_defaults(spark):
     assert [tuple(r) for r in users] == [("u1", 3.0, 0.0, 0.0)]
     items = lookups.from_online(table, "item_aggregates", "item", "item_id", lookups.ITEM_DEFAULTS).collect()
     assert [tuple(r) for r in items] == [("i1", "home", 0.0, 0.0)]
+
+
+def log_rows(spark, *pairs):
+    return spark.createDataFrame([(k, {"v": v}) for k, v in pairs], "key string, features map<string,string>")
+
+
+def seen(table, version=None):
+    return {r.key: r.features["v"] for r in table.read(version).collect()}
+
+
+def test_log_table_keeps_versions_apart(spark, tmp_path):
+    table = LogTable(spark, str(tmp_path / "t"))
+    assert table.version() == 0 and seen(table) == {} and table.compact() == 0
+    table.put(log_rows(spark, ("a:1", "1"), ("a:2", "1"), ("b:1", "1")))
+    table.put(log_rows(spark, ("a:2", "2"), ("c:1", "2"), (None, "x")))
+    before = table.read(2)  # a reader that has opened its version
+    table.delete_prefix("a:")
+    table.put(log_rows(spark, ("a:1", "4")))
+    table.delete(spark.createDataFrame([("c:1",), ("none",)], "key string"))
+    assert {r.key: r.features["v"] for r in before.collect()} == seen(table, 2) == {"a:1": "1", "a:2": "2", "b:1": "1", "c:1": "2"}
+    assert seen(table, 3) == {"b:1": "1", "c:1": "2"} and seen(table) == {"a:1": "4", "b:1": "1"}
+    assert table.compact() == 6 and len(table.entries()) == 1 and seen(table) == {"a:1": "4", "b:1": "1"} and len(seen(table, 2)) == 4
+    assert len(table.vacuum()) == 4 and seen(table) == {"a:1": "4", "b:1": "1"}
+
+
+def test_log_table_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table, other = LogTable(spark, path), LogTable(spark, path)
+    table.put(log_rows(spark, ("a", "1")))
+    real = LogTable.version
+    late = iter([1])
+    table.version = lambda: next(late, None) or real(table)  # has not seen the next commit yet
+    other.put(log_rows(spark, ("b", "2")))
+    assert table.put(log_rows(spark, ("c", "3"))) == 3 and seen(other) == {"a": "1", "b": "2", "c": "3"}
+    merged = table._delta
+    table._delta = lambda rows: (merged(rows), other.put(log_rows(spark, ("a", "9"))))[0]  # a put during a compaction
+    table.compact()
+    assert seen(other) == {"a": "9", "b": "2", "c": "3"} and len(other.entries()) == 2
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    table = LogTable(spark, str(tmp_path / "t"))
+    table.put(log_rows(spark, ("a", "1")))
+    with pytest.raises(Exception):
+        table.put(log_rows(spark, ("a", "2"), ("b", "2")).withColumn("features", F.expr("if(key = 'b', raise_error('lost'), features)")))
+    assert table.version() == 1 and seen(table) == {"a": "1"}
