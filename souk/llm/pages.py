@@ -12,6 +12,7 @@ most of its text, and all its lines are kept, so that a short paragraph between
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -35,10 +36,14 @@ BLOCKS = frozenset(
     "h5 h6 head header hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 HIDDEN = frozenset(
-    "head title script style noscript template iframe object canvas svg math audio video select option button textarea datalist nav menu "
-    "footer aside form dialog search".split()
+    "head title script style noscript template iframe object canvas svg math audio video select option button textarea datalist dialog "
+    "search".split()
 )
-HIDDEN_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
+#: Elements and roles for side matter. A page may stand in one as a whole, or one may never be closed: they are left out like marked
+#: ones, by what they hold, and one is no side matter only with so many characters of unlinked text at least.
+SIDE = frozenset("nav menu footer aside form".split())
+LEAST = 140
+SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
 #: Words that mark an element as outside the article when its class or id consists of them.
 HIDDEN_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted cookie cookies consent "
@@ -77,6 +82,7 @@ class Element:
     in_article: bool
     depth: int
     marked: bool = False
+    side: bool = False
 
 
 @dataclass
@@ -96,6 +102,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         root = Element("", None, False, False, 0)
         self.open, self.lines, self._line, self._tags, self._anchors = [root], [], None, 0, 0
+        self._elements, self._names = [root], Counter()
 
     def _break(self) -> None:
         if self._line is not None:
@@ -106,6 +113,7 @@ class Lines(HTMLParser):
     def _pop_to(self, at: int) -> None:
         for element in self.open[at:]:
             self._anchors -= element.name == "a"
+            self._names[element.name] -= 1
         del self.open[at:]
 
     def _close_implied(self, name: str) -> None:
@@ -119,15 +127,19 @@ class Lines(HTMLParser):
                 return
 
     @staticmethod
-    def _is_hidden(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+    def _is_hidden(name: str, attrs: dict[str, str | None]) -> bool:
         if name in ("html", "body", *ARTICLES) and "hidden" not in attrs:
             return False
-        if name in HIDDEN or (name == "header" and not in_article):
+        if name in HIDDEN:
             return True
         style = (attrs.get("style") or "").replace(" ", "").lower()
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-            return True
-        return (attrs.get("role") or "").lower() in HIDDEN_ROLES
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+
+    @staticmethod
+    def _is_side(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+        if name in ("html", "body", *ARTICLES):
+            return False
+        return name in SIDE or (name == "header" and not in_article) or (attrs.get("role") or "").lower() in SIDE_ROLES
 
     @staticmethod
     def _is_marked(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
@@ -152,10 +164,13 @@ class Lines(HTMLParser):
         if name in VOID:
             return
         parent = self.open[-1]
-        hidden = parent.hidden or self._is_hidden(name, dict(attrs), parent.in_article)
-        marked = not hidden and self._is_marked(name, dict(attrs), parent.in_article)
+        hidden = parent.hidden or self._is_hidden(name, dict(attrs))
+        side = not hidden and self._is_side(name, dict(attrs), parent.in_article)
+        marked = side or (not hidden and self._is_marked(name, dict(attrs), parent.in_article))
         in_article = parent.in_article or (name in ARTICLES and not marked)
-        self.open.append(Element(name, parent, hidden, in_article, parent.depth + 1, marked))
+        self.open.append(Element(name, parent, hidden, in_article, parent.depth + 1, marked, side))
+        self._elements.append(self.open[-1])
+        self._names[name] += 1
         self._anchors += name == "a"
 
     def handle_startendtag(self, name: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -167,6 +182,8 @@ class Lines(HTMLParser):
         self._tags += 1
         if name in BLOCKS:
             self._break()
+        if not self._names[name]:
+            return  # nothing of that name is open
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].name == name:
                 self._pop_to(at)
@@ -195,36 +212,36 @@ class Lines(HTMLParser):
     def _leave_out_marked(self) -> None:
         """Write the lines' text without that of marked elements, unless one holds most of the page or nothing else is left.
 
-        The page is its articles, if they hold any unlinked text: an advert longer than the article stays out.
+        The page is its articles, if they hold any unlinked text: an advert longer than the article stays out. Side elements stay
+        out even if nothing else is left.
         """
-        held: dict[int, int] = {}
+        held: Counter[int] = Counter()
         total = 0
         articles = any(element.in_article and data.strip() and not linked for line in self.lines for data, element, linked in line.parts)
         for line in self.lines:
             for data, element, linked in line.parts:
                 weight = 0 if linked or (articles and not element.in_article) else len(data.strip())
                 total += weight
-                while weight and element is not None:
-                    if element.marked:
-                        held[id(element)] = held.get(id(element), 0) + weight
-                    element = element.parent
-        out: dict[int, bool] = {}
-
-        def left_out(element: Element) -> bool:
-            path = []
-            while element is not None and id(element) not in out:
-                path.append(element)
-                element = element.parent
-            found = element is not None and out[id(element)]
-            for one in reversed(path):
-                found = found or (one.marked and held.get(id(one), 0) <= MOST * total)
-                out[id(one)] = found
-            return found
-
-        some = any(data.strip() and not left_out(element) for line in self.lines for data, element, _ in line.parts)
+                held[id(element)] += weight
+        for element in reversed(self._elements[1:]):  # children come after their parents
+            held[id(element.parent)] += held[id(element)]
+
+        def left_out(sides: bool) -> set[int]:
+            """Elements that go, with what is in them: all marked ones, or side elements alone."""
+            out = set()
+            for element in self._elements[1:]:
+                own = held[id(element)]
+                goes = element.side if sides else element.marked
+                if id(element.parent) in out or (goes and (own <= MOST * total or (element.side and own < LEAST))):
+                    out.add(id(element))
+            return out
+
+        out = left_out(sides=False)
+        if not any(data.strip() and id(element) not in out for line in self.lines for data, element, _ in line.parts):
+            out = left_out(sides=True)
         lines, tags = [], 0
         for line in self.lines:
-            parts = [(data, linked) for data, element, linked in line.parts if not some or not left_out(element)]
+            parts = [(data, linked) for data, element, linked in line.parts if id(element) not in out]
             line.text = " ".join("".join(data for data, _ in parts).split())
             line.links = sum(len(data.strip()) for data, linked in parts if linked)
             line.tags += tags
@@ -265,14 +282,23 @@ def _outermost(element: Element | None, name: str) -> Element | None:
     return found
 
 
-def _around(a: Element, b: Element) -> Element:
-    """The innermost element that holds both."""
-    while a is not b:
-        if a.depth >= b.depth:
-            a = a.parent
-        else:
-            b = b.parent
-    return a
+def _around(elements: list[Element]) -> Element:
+    """The innermost element that holds all. Elements known to be inside are not climbed from again."""
+    region, known = elements[0], {id(elements[0])}
+    for other in elements[1:]:
+        path = []
+        while id(other) not in known and other.depth > region.depth:
+            path.append(other)
+            other = other.parent
+        while id(other) not in known:
+            if region.depth >= other.depth:
+                region = region.parent
+                known.add(id(region))
+            else:
+                path.append(other)
+                other = other.parent
+        known.update(map(id, path))
+    return region
 
 
 def main_text(html: str) -> str:
@@ -294,21 +320,16 @@ def main_text(html: str) -> str:
         if not regions and held and sum(_unlinked(x) for x, _ in held) >= REGION * total:
             regions = {id(e) for _, e in held}
     if not regions:
-        region = cluster[0].element
-        for line in cluster[1:]:
-            region = _around(region, line.element)
+        region = _around([line.element for line in cluster])
         if region.name in ("p", "span", "h1", "h2", "li", "td") and region.parent is not None:
             region = region.parent
         regions = {id(region)}
 
-    def inside(element: Element | None) -> bool:
-        while element is not None:
-            if id(element) in regions:
-                return True
-            element = element.parent
-        return False
-
-    chosen = [inside(x.element) for x in lines]
+    within: set[int] = set()
+    for element in parser._elements:
+        if id(element) in regions or id(element.parent) in within:
+            within.add(id(element))
+    chosen = [id(x.element) in within for x in lines]
     first = chosen.index(True)
     title = next((i for i in range(first - 1, -1, -1) if lines[i].heading), None)
     if title is not None and not any(x.heading and c for x, c in zip(lines, chosen)):

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 from souk.llm import chats, leaks, lines, pages, queries
 
@@ -87,3 +88,26 @@ def test_orphan_results_and_null_identifiers_are_rows(spark):
     assert sorted(((r.call_id, r.linked, r.problem) for r in got), key=str) == [
         ("a", False, None), ("zz", False, "no call"), (None, False, "no call"), (None, False, None),
     ]
+
+
+def test_pages_inside_side_elements_keep_their_article():
+    article = f"<h1>Title</h1><p>{WORDS} 0</p><p>{WORDS} 1</p><p>{WORDS} 2</p>"
+    want = ["Title", *[f"{WORDS} {i}" for i in range(3)]]
+    links = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(6))
+    for inner in (article, f"<article>{article}</article>", f"<main><div>{article}</div></main>"):
+        form = f'<body><form id="aspnetForm" method="post"><input name="v"><ul>{links}</ul><div>{inner}</div><footer>© 2024 All rights reserved.</footer></form></body>'
+        nav = f"<body><nav><ul>{links}</ul><div>{inner}</div></body>"
+        aside = f"<body><div>{inner}</div><aside><p>Other news of the day.</p></aside><form><p>Your mail address</p><input></form><nav>{links}</nav></body>"
+        for page in (form, nav, aside):
+            assert pages.main_text(page).split("\n\n") == want, page
+    assert pages.main_text(f"<body><nav><ul>{links}</ul></nav><footer>© 2024</footer></body>") == ""
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    start = time.monotonic()
+    n = 100_000
+    deep = pages.main_text("<div>" * n + f"<p>{WORDS}</p>")
+    stray = pages.main_text(f"<body><p>{WORDS}</p>" + "<div>" * 2000 + "</section></b>" * n + "</body>")
+    texts = pages.main_text("".join(f"<div>{WORDS} {i}" for i in range(n // 10)))
+    assert deep == stray == WORDS and texts.count(WORDS) == n // 10
+    assert time.monotonic() - start < 60
