@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from souk.llm.common import released
 from souk.llm.words import WordHasher, constants, joined, mixed
 
-#: Edits allowed per hundred words of an item, and the shortest item that is searched.
+#: Edits allowed per hundred words of an item, and the shortest item that may have any: shorter ones are found word for word.
 PERCENT, SHORTEST = 20, 8
 #: Output positions in a key, steps of the walk per word, and the recall to reach at the largest distance.
 SAMPLED, STEPS, RECALL = 3, 2, 0.995
@@ -235,6 +235,29 @@ class Items:
                 yield t, self.ids[self.owners[i]], len(item), *best
 
 
+class Verbatim:
+    """Items of fewer than ``SHORTEST`` words, as sorted run hashes per length."""
+
+    def __init__(self, ids: list[int], words: list[np.ndarray]):
+        self._of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted({len(w) for w in words}):
+            pairs = sorted({(int(_runs(w, n)[0]), i) for i, w in zip(ids, words) if len(w) == n})
+            self._of[n] = np.array([h for h, _ in pairs], np.uint64), np.array([i for _, i in pairs], np.int64)
+
+    def search(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """``(text, item_id, item words, 0, end)`` of every item that a text holds, at its first place."""
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        for n, (known, ids) in self._of.items():
+            runs = _runs(hashes, n)
+            low, high = np.searchsorted(known, runs, "left"), np.searchsorted(known, runs, "right")
+            at = np.flatnonzero((high > low) & (text[: len(runs)] == text[n - 1 :]))
+            _, once = np.unique(np.stack([text[at], low[at]]), axis=1, return_index=True)  # the first place of each
+            for place in at[once]:
+                t = int(text[place])
+                for item in ids[low[place] : high[place]].tolist():
+                    yield t, item, n, 0, int(place - first[t]) + n
+
+
 def _runs(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
@@ -267,8 +290,8 @@ def leaks(
 
     An item is found if some run of the text is within ``PERCENT`` edits (words inserted, removed, replaced) per
     hundred item words; ``distance`` is the smallest and ``end`` the number of words up to the end of its first
-    place. Null or empty texts hold nothing; items that are null or shorter than ``SHORTEST`` words are not searched;
-    rows with a null id are searched and reported under it. Of repeated rows or items each finds its own matches, of
+    place. Items of fewer than ``SHORTEST`` words are found word for word only. Null or empty texts hold nothing, and null
+    items and those without words are in no text; rows with a null id are searched and reported under it. Of repeated rows or items each finds its own matches, of
     which equal ones are reported once. Empty tables give no rows, other columns are ignored.
     """
     spark: SparkSession = docs.sparkSession
@@ -286,6 +309,8 @@ def _searcher(block: list[tuple[int, str]]):
     hashes, first = plain_hasher().hash([t.encode("utf-8", "surrogatepass") for _, t in block])
     words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
     known = [(i, w) for (i, _), w in zip(block, words) if len(w) >= SHORTEST]
+    short = [(i, w) for (i, _), w in zip(block, words) if 0 < len(w) < SHORTEST]
+    verbatim = Verbatim([i for i, _ in short], [w for _, w in short])
     items = Items([i for i, _ in known], [w for _, w in known], repetitions())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +320,7 @@ def _searcher(block: list[tuple[int, str]]):
             found = [
                 (keys[row + t], *match)
                 for row, hashes, first in hasher.groups(batch.column("text"))
-                for t, *match in items.search(hashes, first)
+                for t, *match in (*items.search(hashes, first), *verbatim.search(hashes, first))
             ]
             if found:
                 columns = list(zip(*found))

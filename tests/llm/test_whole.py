@@ -3,8 +3,9 @@
 import json
 import random
 import time
+import zlib
 
-from souk.llm import chats, leaks, lines, pages, queries
+from souk.llm import chats, leaks, lines, pages, queries, toxicity
 
 
 def test_short_lines_on_many_sites_go(spark):
@@ -111,3 +112,33 @@ def test_deep_and_broken_pages_take_linear_time():
     texts = pages.main_text("".join(f"<div>{WORDS} {i}" for i in range(n // 10)))
     assert deep == stray == WORDS and texts.count(WORDS) == n // 10
     assert time.monotonic() - start < 60
+
+
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "Three small words!"), (2, "one"), (3, "seven words in a row are these"), (4, "three small words"), (5, "..."), (6, "words here")]
+    texts = [(1, "x three, small words here; three small words"), (2, "three small word one"), (3, "seven words in a row were these"), (4, "three small\nwords"), (5, "")]
+    found = leaks.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_words, r.distance, r.end) for r in found) == [
+        (1, 1, 3, 0, 4), (1, 4, 3, 0, 4), (1, 6, 2, 0, 5), (2, 2, 1, 0, 4), (4, 1, 3, 0, 3), (4, 4, 3, 0, 3),
+    ]
+
+
+def test_more_learned_words_than_any_list(spark):
+    """2,500 insults in five orders, a hundred in a toxic row."""
+    rnd, free = random.Random(3), (i for i in range(10**6) if zlib.crc32(str(i).encode()) % 3 != 1)
+    words, rows = [f"bad{i}word" for i in range(2500)], []
+    for _ in range(5):
+        rnd.shuffle(words)
+        rows += [(next(free), " ".join(words[i : i + 100]), 1) for i in range(0, 2500, 100)]
+    rows += [(next(free), f"fine day number {i} here", 0) for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learned = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"))[0].insults
+    assert len(set(words) - set(learned)) < 100  # those that stand beside the same word twice
+
+
+def test_a_very_long_labelled_text_is_learned_from(spark):
+    long = " ".join(f"w{i % 50_000}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, long), (2, "short text"), (3, long[:100])], "doc_id long, text string")
+    start = time.monotonic()
+    toxicity.learn(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
+    assert time.monotonic() - start < 60
