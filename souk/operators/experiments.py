@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.student_t import t_p_value
 from souk.operators.ordered import running_totals
+from souk.session import cut_lineage
 
 # Significance level, guardrail bound and smallest arm.
 ALPHA = 0.05
@@ -154,26 +157,63 @@ def moments_of(value: Column) -> Column:
                     F.coalesce(F.var_pop(value) * n, F.lit(0.0)).alias("m2"))
 
 
+#: Buckets of the order's range in which moments are kept, and rows are sorted only where a look falls inside.
+LOOK_BUCKETS = 1000
+
+
+def _bucket(df: DataFrame, column: str) -> Column:
+    """A whole number that never falls as the column rises: its place between the smallest and largest value."""
+    kind = dict(df.dtypes)[column]
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        value = F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        value = F.col(column).cast("double")
+    else:
+        return F.lit(0).cast("bigint")  # all in one: the order of text and others is left to the sort
+    ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+    if ends.low is None:
+        return F.lit(0).cast("bigint")
+    place = F.width_bucket(value, F.lit(ends.low), F.lit(ends.high), F.lit(LOOK_BUCKETS))
+    return F.when(F.isnan(value), LOOK_BUCKETS + 2).otherwise(F.coalesce(place, F.lit(-1))).cast("bigint")
+
+
+def look_buckets(df: DataFrame, order: Sequence[str], looks: Sequence[int], metric: str = "metric") -> tuple[DataFrame, DataFrame]:
+    """Per arm and bucket the number of rows, their moments and the rows before them, ``split`` where a look falls inside; and the
+    rows with their ``bucket``. An arm has at most about ``LOOK_BUCKETS`` rows in the first table."""
+    rows = df.select("variant", *order, F.col(metric).alias("metric"), _bucket(df, order[0]).alias("bucket"))
+    sums = rows.groupBy("variant", "bucket").agg(F.count(F.lit(1)).alias("n"), moments_of(F.col("metric")).alias("part"))
+    before = F.sum("n").over(Window.partitionBy("variant").orderBy("bucket")) - F.col("n")
+    placed = sums.withColumn("before", before)
+    inside = [(F.col("before") < size) & (F.col("before") + F.col("n") > size) for size in looks]
+    return placed.withColumn("split", reduce(operator.or_, inside, F.lit(False))), rows
+
+
 def seq_guardrail_prefix(
     df: DataFrame, order: Sequence[str], looks: Sequence[int], metric: str = "metric", z_bound: float = GUARDRAIL_Z
 ) -> DataFrame:
     """The guardrail at each cumulative sample size per arm: ``(look, z, decision)``.
 
-    ``order`` must identify a row within its arm. Rows get their position per arm from a range-partitioned
-    running count, fall into the first look that includes them, and only per-look moments are merged.
+    ``order`` must identify a row within its arm. Buckets of its first column that lie between two looks give their moments
+    as a whole; only the rows of buckets with a look inside are put in order, by a range-partitioned running count.
     """
     looks = sorted(looks)
-    placed = running_totals(
-        df.select("variant", *order, F.col(metric).alias("metric"), F.lit(1).alias("one")), ["variant"], order, ["one"]
-    )
-    first_look = F.lit(None).cast("bigint")
-    for size in reversed(looks):
-        first_look = F.when(F.col("one_run") <= size, F.lit(size).cast("bigint")).otherwise(first_look)
-    per_look = (
-        placed.withColumn("look", first_look).filter(F.col("look").isNotNull())
-        .groupBy("variant", "look").agg(moments_of(F.col("metric")).alias("part"))
+    buckets, rows = look_buckets(df, order, looks, metric)
+    buckets = cut_lineage(buckets)
+
+    def first_look(position: Column) -> Column:
+        found = F.lit(None).cast("bigint")
+        for size in reversed(looks):
+            found = F.when(position <= size, F.lit(size).cast("bigint")).otherwise(found)
+        return found
+
+    whole = buckets.filter(~F.col("split")).select("variant", first_look(F.col("before") + F.col("n")).alias("look"), "part")
+    opened = rows.join(buckets.filter("split").select("variant", "bucket", "before"), ["variant", "bucket"])
+    placed = running_totals(opened.withColumn("one", F.lit(1)), ["variant", "bucket"], order, ["one"])
+    single = placed.withColumn("look", first_look(F.col("before") + F.col("one_run"))).filter("look is not null")
+    per_look = whole.filter("look is not null").union(
+        single.groupBy("variant", "look").agg(moments_of(F.col("metric")).alias("part")).select("variant", "look", "part")
     )
-    # one row per arm from here on, holding at most one entry per look
+    # one row per arm from here on, holding at most one entry per look and bucket
     per_arm = per_look.groupBy("variant").agg(F.collect_list(F.struct("look", "part")).alias("parts"))
     at_look = per_arm.withColumn("look", F.explode(F.array(*[F.lit(size).cast("bigint") for size in looks])))
     seen = F.filter("parts", lambda p: p["look"] <= F.col("look"))

@@ -80,6 +80,26 @@ def test_guardrail_stops_a_bad_treatment_at_every_look(spark):
         assert looks[size].z == pytest.approx(z) and looks[size].decision == "STOP_DEGRADATION"
 
 
+@pytest.mark.parametrize("kind", ["even", "ties", "text", "nulls"])
+def test_guardrail_prefixes_sort_only_where_a_look_falls(spark, kind):
+    rng = np.random.default_rng(8)
+    n = 4000
+    at = {"even": rng.permutation(n).astype(float), "ties": np.floor(rng.exponential(2, n)), "text": rng.permutation(n), "nulls": rng.permutation(n).astype(float)}[kind]
+    arm, metric = np.where(rng.random(n) < 0.5, "control", "treatment"), rng.normal(3, 2, n)
+    rows = [(str(a), f"{int(x):05d}" if kind == "text" else None if kind == "nulls" and x < 30 else float(x), i, float(m)) for i, (a, x, m) in enumerate(zip(arm, at, metric))]
+    df = spark.createDataFrame(rows, f"variant string, at {'string' if kind == 'text' else 'double'}, id long, metric double").repartition(5)
+    looks = [60, 500, 501, 1200, 5000]
+    got = {r.look: r for r in experiments.seq_guardrail_prefix(df, ["at", "id"], looks).collect()}
+    arms = {a: [r[3] for r in sorted((r for r in rows if r[0] == a), key=lambda r: (r[1] is not None, r[1] or (r[1] if r[1] is not None else 0), r[2]))] for a in ("control", "treatment")}
+    for look in looks:
+        c, t = (np.array(arms[a][:look]) for a in ("control", "treatment"))
+        assert (got[look].n_control, got[look].n_treatment) == (len(c), len(t))
+        assert got[look].z == pytest.approx((t.mean() - c.mean()) / math.sqrt(c.var() / len(c) + t.var() / len(t)))
+    if kind == "even":
+        buckets, _ = experiments.look_buckets(df, ["at", "id"], looks)
+        assert buckets.filter("split").agg(F.sum("n")).first()[0] < 0.1 * n
+
+
 def test_guardrail_with_zero_spread_continues(spark):
     df = frame(spark, {"variant": ["control"] * 60 + ["treatment"] * 60, "metric": np.ones(120)})
     assert experiments.seq_guardrail(df).first().decision == "CONTINUE"
