@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import scalars as S
-from souk.operators import graph, moderation, monitoring
+from souk.operators import aggregates, graph, moderation, monitoring, sketches
+from souk.queries.features import INTERACTIONS
 from souk.session import scratch_path
 from souk.sources import adapters as A
 from souk.sources import runs
@@ -52,6 +55,35 @@ def latency_p99(spark, d):
     return _r(monitoring.latency_p99(A.request_log(spark, d)), 6, "p99")
 
 
+def latency_p99_days(spark, d):
+    """The tail latency from stored day sketches, and whether its exact rank is within the stated error."""
+    log, path = A.request_log(spark, d).filter(F.col("endpoint") != monitoring.UNMEASURED), scratch_path(spark, "latency-days")
+    sketches.write_quantile_days(log, path, F.to_date("ts"), ["endpoint"], "latency")
+    found = sketches.merged_quantile(sketches.read_days(spark, path), ["endpoint"], 0.99)
+    ranks = log.join(found, "endpoint").groupBy("endpoint", "n").agg(
+        F.avg((F.col("latency") < F.col("quantile")).cast("double")).alias("below"), F.avg((F.col("latency") <= F.col("quantile")).cast("double")).alias("upto")
+    )
+    near = (F.col("below") <= 0.99 + sketches.RANK_ERROR) & (F.col("upto") >= 0.99 - sketches.RANK_ERROR)
+    return ranks.select("endpoint", "n", near.alias("within_error"))
+
+
+def entity_counts_days(spark, d):
+    """Distinct users and items of three days and of all, from stored day sketches, beside the exact counts."""
+    log, path = A.interactions(spark, d), scratch_path(spark, "entity-days")
+    sketches.write_count_days(log, path, F.to_date("ts"), ["user_id", "item_id"])
+    spans = {"all": (None, None), "three": (date(2024, 1, 10), date(2024, 1, 12))}
+    out = []
+    for span, (first, last) in spans.items():
+        rows = log if first is None else log.filter(F.to_date("ts").between(F.lit(first), F.lit(last)))
+        exact = aggregates.entity_counts(rows, "user_id", "item_id").select(F.inline(F.array(*[
+            F.struct(F.lit(e).alias("entity"), F.col(f"n_{e}").alias("exact")) for e in ("user_id", "item_id")
+        ])))
+        merged = sketches.merged_counts(sketches.read_days(spark, path, first, last))
+        near = F.abs(F.col("distinct") - F.col("exact")) <= sketches.COUNT_ERROR * F.col("exact")
+        out.append(exact.join(merged, "entity").select(F.lit(span).alias("span"), "entity", "exact", near.alias("within_error")))
+    return out[0].union(out[1])
+
+
 def request_key(spark, d):
     log = A.request_log(spark, d)
     key = S.request_key(F.lit("recommend"), F.col("user_id"), {"k": F.lit("20"), "city": S.json_text(F.col("endpoint"))})
@@ -104,7 +136,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         latest_alert, hitl_status, hitl_pending, hitl_rejects, red_metrics, latency_histogram, latency_histogram_seconds,
-        latency_p99, request_key, metrics_table, best_run, shared_attr_edges, neighbor_mean, shared_attr_mean, risk_consensus,
+        latency_p99, latency_p99_days, entity_counts_days, request_key, metrics_table, best_run, shared_attr_edges, neighbor_mean, shared_attr_mean, risk_consensus,
     )
 }
 
@@ -161,6 +193,11 @@ ORACLE = {
     "latency_histogram": _histogram("endpoint", "latency", monitoring.MILLISECOND_BUCKETS),
     "latency_histogram_seconds": _histogram("method, endpoint", "(latency / 1000)", monitoring.SECOND_BUCKETS),
     "latency_p99": f"WITH {LOG} SELECT endpoint, round(quantile_cont(latency, 0.99), 6) AS p99 FROM log WHERE endpoint <> '/metrics' GROUP BY 1",
+    "latency_p99_days": f"WITH {LOG} SELECT endpoint, count(latency) AS n, true AS within_error FROM log WHERE endpoint <> '/metrics' GROUP BY 1",
+    "entity_counts_days": f"""WITH {INTERACTIONS}, c AS (SELECT 'all' AS span, user_id, item_id FROM interactions UNION ALL
+        SELECT 'three', user_id, item_id FROM interactions WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12')
+      SELECT span, 'user_id' AS entity, count(DISTINCT user_id) AS exact, true AS within_error FROM c GROUP BY 1
+      UNION ALL SELECT span, 'item_id', count(DISTINCT item_id), true FROM c GROUP BY 1""",
     "request_key": f"""WITH {LOG} SELECT event_id, 'cache:recommend:' || user_id || ':' || substr(sha256('{{"city": "' || endpoint || '", "k": 20}}'), 1, 16) AS key,
       'cache:' || endpoint || ':' || user_id AS plain_key FROM log""",
     "metrics_table": f"WITH {RUNS} SELECT * FROM runs",

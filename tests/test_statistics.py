@@ -1,13 +1,14 @@
 """Experiment, causal and drift operators against NumPy and against effects put into the data."""
 
 import math
+from datetime import date
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from souk.functions.student_t import p_two_sided
-from souk.operators import causal, drift, evaluation, experiments, series
+from souk.operators import causal, drift, evaluation, experiments, series, sketches
 
 
 def frame(spark, columns):
@@ -274,3 +275,22 @@ def test_p_values_with_very_many_degrees_of_freedom():
         normal = math.erfc(t / math.sqrt(2))
         assert all(abs(p_two_sided(t, df) - normal) < 1e-9 for df in (1e10, 1e12))
         assert abs(p_two_sided(t, 0.999e6) - p_two_sided(t, 1.001e6)) < 1e-9
+
+
+def test_day_sketches_merge_and_replace_their_day(spark, tmp_path):
+    rng, path = np.random.default_rng(6), str(tmp_path / "q")
+    x, day = rng.gamma(2, 10, 30_000), rng.integers(1, 6, 30_000)
+    df = spark.createDataFrame([(f"2024-01-0{d}", "abc"[i % 3], float(v), i % 5000) for i, (d, v) in enumerate(zip(day, x))], "d string, k string, x double, id long")
+    sketches.write_quantile_days(df, path, F.to_date("d"), ["k"], "x")
+    whole = sketches.merged_quantile(sketches.read_days(spark, path), ["k"], 0.99).collect()
+    for r in whole:
+        own = x[np.arange(30_000) % 3 == "abc".index(r.k)]
+        assert r.n == len(own) and abs((own <= r.quantile).mean() - 0.99) <= sketches.RANK_ERROR
+    sketches.write_quantile_days(df.filter("d = '2024-01-03' and x < 5"), path, F.to_date("d"), ["k"], "x")  # a day is counted anew
+    part = sketches.merged_quantile(sketches.read_days(spark, path, date(2024, 1, 3), date(2024, 1, 3)), [], 0.5).first()
+    assert part.n == ((day == 3) & (x < 5)).sum() and part.quantile < 5
+    counts = str(tmp_path / "c")
+    sketches.write_count_days(df, counts, F.to_date("d"), ["id", "k"])
+    got = {r.entity: r.distinct for r in sketches.merged_counts(sketches.read_days(spark, counts, date(2024, 1, 2), date(2024, 1, 4))).collect()}
+    exact = len({i % 5000 for i in range(30_000) if 2 <= day[i] <= 4})
+    assert abs(got["id"] - exact) <= sketches.COUNT_ERROR * exact and got["k"] == 3
