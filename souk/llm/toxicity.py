@@ -1,16 +1,17 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words map to symbols: insult, threat, target, negation, report, modal, intensifier or other. Five small weighted
-transducers read a clause's symbols in turn, each rewriting weights of the symbols before it:
+Words map to labels: insult, threat, target, negation, report, modal, intensifier, quotation mark or none. Small weighted
+transducers read a clause's labels; each has states (how long ago its own label came), arcs, and weights on the arcs of matches,
+that is of insults and threats:
 
-* insults weigh what the labelled rows teach, threats a fixed weight when a modal or target stands near;
-* a target within reach raises an insult or a threat;
-* an intensifier before one raises it;
-* a negation before one lowers it ("not an idiot");
-* a report verb or a quotation mark before one lowers it ("he was called an idiot").
+* an intensifier before a match raises it, a negation lowers it ("not an idiot");
+* a report verb before it, or quotation marks around it, lower it ("he was called an idiot");
+* a threat needs a modal before it to count in full;
+* a target within reach, on either side, raises a match.
 
-The composition's weight for a clause is the sum of its matches. A logistic curve, fitted on labelled rows, maps a
-text's heaviest clause and its total to a score. Only texts in which a trigger word occurs are parsed at all.
+``Composed`` is their composition: it reads once, its states are tuples, and the weights on an arc multiply. A clause weighs the
+sum of its matches, each the weight of its insult times that of the composition's arc. A logistic curve, fitted on labelled
+rows, maps a text's heaviest clause and its total to a score. Only texts in which a trigger word occurs are parsed at all.
 
 Insults are learned: words that stand in many *different* contexts (neighbouring words) of toxic rows, and hardly
 ever elsewhere. Counting contexts instead of rows keeps copies of one toxic text from teaching all their words.
@@ -20,7 +21,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Hashable, Iterable
 from dataclasses import dataclass
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +62,81 @@ _TOKEN = re.compile(r"\w+|[\"“”«»„]")
 _QUOTES = frozenset('"“”«»„')
 
 
+#: What a token is to the transducers; a word may be several at once.
+QUOTE, INSULT, THREAT, TARGET, NEGATION, REPORT, MODAL, INTENSIFIER = (1 << i for i in range(8))
+MATCH = INSULT | THREAT
+_LABELS = ((NEGATION, NEGATIONS), (REPORT, REPORTS), (MODAL, MODALS), (INTENSIFIER, INTENSIFIERS))
+
+
+class Transducer(Protocol):
+    """A deterministic machine over token labels: every arc leads to a state and carries the weight of a match on it."""
+
+    start: Hashable
+
+    def arc(self, state: Hashable, labels: int) -> tuple[Hashable, float]: ...
+
+
+@dataclass(frozen=True)
+class Recall:
+    """Weighs matches of ``of`` by whether a token of ``label`` came at most ``REACH`` tokens before. States are the tokens since."""
+
+    label: int
+    near: float
+    far: float = 1.0
+    of: int = MATCH
+    start: int = REACH + 1
+
+    def arc(self, state: int, labels: int) -> tuple[int, float]:
+        weight = (self.near if state <= REACH else self.far) if labels & self.of else 1.0
+        return 1 if labels & self.label else min(state + 1, REACH + 1), weight
+
+
+@dataclass(frozen=True)
+class Reported:
+    """Weighs matches in reported speech: after a word that reports, or between quotation marks."""
+
+    near: float
+    start: tuple[int, bool] = (REACH + 1, False)
+
+    def arc(self, state: tuple[int, bool], labels: int) -> tuple[tuple[int, bool], float]:
+        since, quoted = state
+        weight = self.near if labels & MATCH and (since <= REACH or quoted) else 1.0
+        return (1 if labels & REPORT else min(since + 1, REACH + 1), quoted ^ bool(labels & QUOTE)), weight
+
+
+class Composed:
+    """The composition of transducers that read the same tokens: states are tuples, weights multiply.
+
+    Arcs are made when a text first takes them and kept, so reading a token is one look-up.
+    """
+
+    def __init__(self, *parts: Transducer):
+        self._parts = parts
+        self.start = tuple(p.start for p in parts)
+        self._arcs: dict[tuple[Hashable, int], tuple[Hashable, float]] = {}
+
+    def arc(self, state: tuple, labels: int) -> tuple[tuple, float]:
+        found = self._arcs.get((state, labels))
+        if found is None:
+            steps = [part.arc(one, labels) for part, one in zip(self._parts, state)]
+            found = self._arcs[state, labels] = tuple(to for to, _ in steps), math.prod(w for _, w in steps)
+        return found
+
+    def weights(self, labels: Iterable[int]) -> list[float]:
+        """The weight on the arc of each token."""
+        state, out = self.start, []
+        for one in labels:
+            state, weight = self.arc(state, one)
+            out.append(weight)
+        return out
+
+
+#: Insults and threats, strengthened by intensifiers, threats by modals, weakened by negation and reported speech.
+CLAUSE = Composed(Recall(INTENSIFIER, INTENSE), Recall(NEGATION, NEGATED), Reported(REPORTED), Recall(MODAL, THREAT_WEIGHT, BARE_THREAT, THREAT))
+#: A target may stand before a match or after it, so this one reads the clause from both ends.
+AIM = Composed(Recall(TARGET, TARGETED))
+
+
 @dataclass(frozen=True)
 class Grammar:
     """Insult weights in (0, 1]; the other symbols are fixed."""
@@ -68,44 +146,20 @@ class Grammar:
     def triggers(self) -> frozenset[str]:
         return frozenset(self.insults) | THREATS
 
+    def labels(self, word: str) -> int:
+        if word in _QUOTES:
+            return QUOTE
+        kind = INSULT if self.insults.get(word) else THREAT if word in THREATS else TARGET if word in TARGETS else 0
+        return kind | sum(label for label, words in _LABELS if word in words)
+
     def clause_weight(self, words: list[str]) -> float:
-        """Weight of the composed transducers over one clause."""
-        total, quoted = 0.0, False
-        negated = reported = intense = modal = target = -REACH - 1
-        pending: list[tuple[int, float]] = []  # matches that a later target may still raise
-        for i, word in enumerate(words):
-            if word in _QUOTES:
-                quoted = not quoted
-                continue
-            near = i - REACH
-            weight = self.insults.get(word, 0.0)
-            if not weight and word in THREATS:
-                weight = THREAT_WEIGHT if modal >= near else BARE_THREAT
-            if weight:
-                if intense >= near:
-                    weight *= INTENSE
-                if negated >= near:
-                    weight *= NEGATED
-                if reported >= near or quoted:
-                    weight *= REPORTED
-                if target >= near:
-                    weight *= TARGETED
-                else:
-                    pending.append((i, weight))
-                total += weight
-            elif word in TARGETS:
-                target = i
-                total += sum(w * (TARGETED - 1) for at, w in pending if at >= near)
-                pending.clear()
-            if word in NEGATIONS:
-                negated = i
-            if word in REPORTS:
-                reported = i
-            if word in MODALS:
-                modal = i
-            if word in INTENSIFIERS:
-                intense = i
-        return total
+        """Weight of the composed transducers over one clause: the sum over its matches."""
+        labels = [self.labels(word) for word in words]
+        before, after = AIM.weights(labels), AIM.weights(labels[::-1])[::-1]
+        return sum(
+            (self.insults.get(word) or 1.0) * weight * max(aimed, ahead)
+            for word, one, weight, aimed, ahead in zip(words, labels, CLAUSE.weights(labels), before, after) if one & MATCH
+        )
 
     def features(self, text: str, triggers: frozenset[str]) -> tuple[float, float]:
         """The heaviest clause's weight, and the total over clauses."""

@@ -123,6 +123,37 @@ def test_line_dedup_by_brute_force(spark, docs):
         assert got[i].kept_sha256 == sha("\n".join(kept))
 
 
+def test_clause_weights_by_enumerating_matches():
+    """Every match of a random clause with the conditions that its factors state, each looked up in the words themselves."""
+    rnd = random.Random(12)
+    grammar = toxicity.Grammar({"idiot": 0.9, "fool": 0.4, "you": 0.2})
+    pool = ["idiot", "fool", "you", "kill", "stab", "he", "them", "not", "never", "said", "called", "will", "must", "so", "very", '"', "plain", "word", "other"]
+    r = toxicity.REACH
+    for _ in range(3000):
+        words = [rnd.choice(pool) for _ in range(rnd.randrange(1, 16))]
+        total = 0.0
+        for i, word in enumerate(words):
+            base, threat = grammar.insults.get(word, 0.0), word in toxicity.THREATS
+            if not base and not threat:
+                continue
+            before = words[max(0, i - r) : i]
+            aims = [w for w in before + words[i + 1 : i + 1 + r] if w in toxicity.TARGETS and w not in grammar.insults]
+            weight = base or (toxicity.THREAT_WEIGHT if set(before) & toxicity.MODALS else toxicity.BARE_THREAT)
+            weight *= toxicity.INTENSE if set(before) & toxicity.INTENSIFIERS else 1
+            weight *= toxicity.NEGATED if set(before) & toxicity.NEGATIONS else 1
+            weight *= toxicity.REPORTED if set(before) & toxicity.REPORTS or words[:i].count('"') % 2 else 1
+            total += weight * (toxicity.TARGETED if aims else 1)
+        assert abs(grammar.clause_weight(words) - total) < 1e-12, words
+
+
+def test_composition_is_the_product_of_its_parts():
+    parts = [toxicity.Recall(toxicity.NEGATION, 0.5), toxicity.Reported(0.3), toxicity.Recall(toxicity.MODAL, 2.0, 0.1, toxicity.THREAT)]
+    whole, rnd = toxicity.Composed(*parts), random.Random(5)
+    labels = [rnd.choice([0, toxicity.INSULT, toxicity.THREAT, toxicity.NEGATION, toxicity.REPORT, toxicity.MODAL, toxicity.QUOTE]) for _ in range(400)]
+    each = [toxicity.Composed(p).weights(labels) for p in parts]
+    assert whole.weights(labels) == [a * b * c for a, b, c in zip(*each)]
+
+
 def test_toxicity_grammar_and_held_out_rows(spark):
     grammar = toxicity.Grammar({"idiot": 0.9})
 
