@@ -157,18 +157,19 @@ def grow(rows: DataFrame, edges: list[np.ndarray], depth: int, smoothing: float
     """A tree on ``gradient`` and ``curvature``: Newton values in the leaves, splits by the loss that they save."""
     size = (1 << (depth + 1)) - 1
     tree = Tree(np.full(size, -1), np.zeros(size), np.zeros(size))
-    for level in range(depth + 1):
+    for level in range(max(depth, 1)):
         first = (1 << level) - 1
         if level and not (tree.feature[(first - 1) // 2 : first] >= 0).any():
             break
         g, h, n = _histograms(rows, tree, edges, level)
+        if not level:
+            tree.value[0] = -g[0, 0].sum() / (h[0, 0].sum() + smoothing)
+        if not depth:
+            break
         for node in range(1 << level):
             at = first + node
             if at and tree.feature[(at - 1) // 2] < 0:
                 continue
-            tree.value[at] = -g[node, 0].sum() / (h[node, 0].sum() + smoothing)
-            if level == depth:
-                continue
             gl, hl, nl = (np.cumsum(s[node], axis=1)[:, :-1] for s in (g, h, n))
             gw, hw, nw = (s[node].sum(axis=1, keepdims=True) for s in (g, h, n))
             saved = gl**2 / (hl + smoothing) + (gw - gl) ** 2 / (hw - hl + smoothing) - gw**2 / (hw + smoothing)
@@ -179,6 +180,9 @@ def grow(rows: DataFrame, edges: list[np.ndarray], depth: int, smoothing: float
             f, b = np.unravel_index(np.argmax(saved), saved.shape) if saved.size else (0, 0)
             if saved.size and saved[f, b] > 0:
                 tree.feature[at], tree.threshold[at] = f, edges[f][b]
+                # the split's own sums are those of its children, so the last level needs no pass
+                tree.value[2 * at + 1] = -gl[f, b] / (hl[f, b] + smoothing)
+                tree.value[2 * at + 2] = -(gw[f, 0] - gl[f, b]) / (hw[f, 0] - hl[f, b] + smoothing)
     return tree
 
 
