@@ -13,23 +13,28 @@ SHINGLE, PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects toxic rows; see ``toxicity.keep_clean`` for nulls, repeats and empty tables."""
     grammar, curve = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, grammar, curve)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes lines of many sites out; see ``lines.without_boilerplate``."""
     return lines.without_boilerplate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies stays; see ``minhash.keep_one``."""
     return minhash.keep_one(docs, k=SHINGLE, percent=PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that hold a benchmark item go; see ``leaks.remove_leaking``."""
     return leaks.remove_leaking(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests per row; see ``bpe.bpe_digests``."""
     return bpe.bpe_digests(docs, vocabulary())
 
 
