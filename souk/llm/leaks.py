@@ -333,6 +333,10 @@ def _searcher(block: list[tuple[int, str]]):
 
 
 def remove_leaking(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found; rows with a null id go if any such row leaks."""
+    """The rows of ``docs`` in which no benchmark item is found, with all their columns; rows with a null id go if any such row leaks.
+
+    Rows of one id go together if one of them leaks; null and empty texts hold nothing and stay unless another row of their id
+    leaks; without items all rows stay, and an empty table gives none.
+    """
     bad = leaks(docs, benchmark, key, text).select(F.col("doc_id").alias("__souk_leak")).distinct()
     return docs.join(bad, F.col(key).eqNullSafe(F.col("__souk_leak")), "left_anti")

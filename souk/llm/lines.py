@@ -73,8 +73,11 @@ def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def without_boilerplate(docs: DataFrame, text: str = "text", size: str = "n_chars", **names) -> DataFrame:
-    """``docs`` less boilerplate lines and less the rows that had text and have none left; ``size`` follows the text."""
+    """``docs`` less boilerplate lines and less the rows that had text and have none left; ``size`` follows the text, if there is such a
+    column. Nulls, repeats and empty tables are as in ``remove_boilerplate``."""
     left = remove_boilerplate(docs, text=text, **names).filter((F.col("souk_removed") == 0) | (F.length(F.trim(text)) > 0))
+    if size not in docs.columns:
+        return left.select(*docs.columns)
     return left.withColumn(size, F.when(F.col("souk_removed") > 0, F.length(text).cast("bigint")).otherwise(F.col(size))).select(*docs.columns)
 
 

@@ -318,6 +318,10 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that are kept: of every group of linked documents the one with the smallest id."""
+    """The rows of ``docs`` that are kept, with all their columns: of every group of linked documents the one with the smallest id.
+
+    Texts that are null or without words are linked with nothing and stay, as do rows with a null id; repeated rows of one id go or
+    stay together, and an empty table gives no rows.
+    """
     gone = near_duplicates(docs, key, text, **settings).filter(~F.col("kept")).select(F.col("doc_id").alias("__souk_gone")).distinct()
     return docs.join(gone, F.col(key) == F.col("__souk_gone"), "left_anti")

@@ -278,5 +278,9 @@ def score(docs: DataFrame, grammar: Grammar, curve: list[float], key: str = "doc
 
 
 def keep_clean(docs: DataFrame, grammar: Grammar, curve: list[float], text: str = "text", cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` with a score below ``cut``, with all their columns."""
+    """The rows of ``docs`` with a score below ``cut``, with all their columns.
+
+    Null and empty texts have the curve's prior and stay unless that is toxic; equal rows go or stay together, rows with a null
+    key are judged like others, and an empty table gives no rows.
+    """
     return _features(docs, grammar, text).filter(_score(curve) < cut).select(*docs.columns)
