@@ -32,7 +32,7 @@ from souk.llm.common import map_batches
 BLOCK = 1 << 16
 CHUNK = 4096
 #: Words whose ids a task keeps, in two halves of which the older is dropped, and the longest (in characters) that it keeps.
-MEMORY, KEPT = 1 << 17, 48
+MEMORY, KEPT = 1 << 19, 48
 #: Symbols up to which a list is merged by scanning, and beyond by a heap.
 SHORT = 48
 
@@ -187,18 +187,16 @@ class Bpe:
             held = held[used:]
             yield tokens
 
-    def _recall(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of these words, each from the transducer or from the memory of what it gave before."""
+    def _recall(self, words: list[str]) -> set[str]:
+        """Bring the ids of these words into memory, each from the transducer or from the older half; returns those too long for it."""
         if len(self._memory) > MEMORY // 2:
             self._older, self._memory = self._memory, {}
-        known, memory, older = {}, self._memory, self._older
-        for word in words:
-            ids = memory.get(word)
-            if ids is None:
-                ids = older.get(word) or tuple(itertools.chain.from_iterable(self.transduce(word)))
-                memory[word] = ids
-            known[word] = ids
-        return known
+        memory, older = self._memory, self._older
+        missing = set(words).difference(memory)
+        long = {word for word in missing if len(word) > KEPT}
+        for word in missing - long if long else missing:
+            memory[word] = older.get(word) or tuple(itertools.chain.from_iterable(self.transduce(word)))
+        return long
 
     def _blocks(self, text: str) -> Iterator[str]:
         """Parts that end before an ASCII space, which nothing composes or joins across."""
@@ -216,17 +214,15 @@ class Bpe:
             if not block.isascii():
                 block = unicodedata.normalize("NFC", block).replace("Σ", "σ")  # no final form of sigma
             words = self._words.findall(block.lower())
-            distinct = set(words)
-            long = {word for word in distinct if len(word) > KEPT}
-            known = self._recall(distinct - long)
+            long, memory = self._recall(words), self._memory
             if not long:
-                yield list(itertools.chain.from_iterable(map(known.__getitem__, words)))
+                yield list(itertools.chain.from_iterable(map(memory.__getitem__, words)))
                 continue
             for word in words:
                 if word in long:
                     yield from self.transduce(word)
                 else:
-                    yield list(known[word])
+                    yield list(memory[word])
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of a whole text in bounded lists; special tokens are found in the raw text."""
