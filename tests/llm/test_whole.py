@@ -91,6 +91,57 @@ def test_orphan_results_and_null_identifiers_are_rows(spark):
     ]
 
 
+def levels_of(ids, references):
+    """Levels by plain peeling; None on and behind a cycle."""
+    needs = {c: {n for v, n in references if v == c and n in ids} for c in ids}
+    found = {}
+    while ready := [c for c in ids if c not in found and needs[c] <= set(found)]:
+        found |= {c: 1 + max((found[n] for n in needs[c]), default=-1) for c in ready}
+    return {c: found.get(c) for c in ids}
+
+
+def test_levels_of_any_references(spark):
+    rnd = random.Random(5)
+    ids, references = [], [("gone", "r0-0"), ("r0-0", "gone"), (None, "r0-0"), ("r0-1", None)]
+    for graph in range(12):
+        n = 14
+        own = [f"r{graph}-{i}" for i in range(n)]
+        ids += own
+        for i in range(1, n):
+            for _ in range(rnd.choice((0, 1, 1, 1, 2, 3))):
+                references.append((own[i], own[rnd.randrange(i)]))
+        if graph % 3 == 0:
+            at = rnd.randrange(n - 3)
+            references.append((own[at], own[at + rnd.randrange(3)]))
+    ids += [f"l{i}" for i in range(41)]  # a ladder: every call needs the two before it
+    references += [(f"l{i}", f"l{i - k}") for i in range(41) for k in (1, 2) if i >= k]
+    ids += [f"o{i}" for i in range(7)]  # a cycle of odd length and a call behind it
+    references += [(f"o{i}", f"o{(i + 1) % 7}") for i in range(7)] + [("l3", "l3x"), ("r0-2", "o0")]
+    calls = spark.createDataFrame([(x,) for x in ids], "call_id string")
+    got = chats.levels(calls, spark.createDataFrame(references, "call_id string, needs string")).collect()
+    assert len(got) == len(ids) and {r.call_id: r.level for r in got} == levels_of(set(ids), references)
+
+
+def test_long_chains_of_calls_end(spark):
+    n = 200
+    calls = spark.createDataFrame([(1, i, f"c{i}", "t", "{}") for i in range(n)], "conv_id long, turn long, call_id string, name string, arguments string")
+    none, tools = spark.createDataFrame([], "call_id string, content string"), spark.createDataFrame([("t", "{}")], "name string, schema string")
+    needs = spark.createDataFrame([(f"c{i}", f"c{i + 1}") for i in range(n - 1)], "call_id string, needs string")
+    got = chats.link(calls, none, tools, needs).collect()
+    assert {r.call_id: (r.level, r.position) for r in got} == {f"c{i}": (n - 1 - i, n - i) for i in range(n)}
+
+
+def test_chats_take_few_jobs_and_read_their_turns_once(spark):
+    spark.sparkContext.setJobGroup("chats", "chats")
+    try:
+        queries.op5_chat_format(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    infos = [status.getJobInfo(job) for job in status.getJobIdsForGroup("chats")]
+    assert 0 < len(infos) < 60 and sum(len(x.stageIds) for x in infos) < 100
+
+
 def test_pages_inside_side_elements_keep_their_article():
     article = f"<h1>Title</h1><p>{WORDS} 0</p><p>{WORDS} 1</p><p>{WORDS} 2</p>"
     want = ["Title", *[f"{WORDS} {i}" for i in range(3)]]
