@@ -140,7 +140,7 @@ def ltr_examples(events: DataFrame, users: DataFrame, items: DataFrame, grades:
 def fit_ltr(examples: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RATE, depth: int = DEPTH) -> Scorer:
     """A scorer that adds ``ltr_score`` to rows with ``features``: trees boosted on each user's list, for the best NDCG at ten.
 
-    The fit reads ``examples`` once per round and tree level, so pass a written table.
+    The fit reads ``examples`` for bin edges, list sizes and its chunks, so pass a written table.
     """
     model = boosting.fit(examples, rounds, rate, depth)
     return lambda rows: rows.withColumn("ltr_score", model.score("features"))

@@ -56,6 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), "souk", f"{name}-{uuid.uuid4().hex}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that its writer has replaced and nobody else reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder, so that re-runs of lost tasks read the same rows."""
     context = df.sparkSession.sparkContext

@@ -1,11 +1,14 @@
 """Model jobs on small fixtures with a known answer."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from souk.operators import anomalies, boosting, contrastive, evaluation, graph, joint, lookups, models, retrieval
 from souk.plans import fraud
+from souk.session import shared_root
 
 
 OUTLIERS = (17, 60, 111)
@@ -206,6 +209,25 @@ def test_lambda_gradients_by_brute_force(lists):
             assert got[user, row.item_id] == pytest.approx((g, h), abs=1e-12)
 
 
+@pytest.mark.parametrize("chunk_rows", [boosting.CHUNK_ROWS, 100, 7])
+def test_chunks_learn_the_trees_of_the_lambda_gradients(spark, lists, chunk_rows):
+    """Whole users in chunks, and users of 30 rows over many; a missing value, a row without user, and tables of past rounds go."""
+    missing = F.array(F.when(F.col("item_id") == 3, F.lit(float("nan"))).otherwise(F.col("features")[0]), F.col("features")[1], F.col("features")[2])
+    few = lists.filter("user_id < 40").withColumn("features", missing)
+    rows = few.union(few.limit(1).withColumn("user_id", F.lit(None).cast("long"))).cache()
+    edges, ideals, want = boosting.bin_edges(rows, 3), boosting.ideal(rows, "user_id"), boosting.Ranker(0.3)
+    for _ in range(3):
+        scored = rows.withColumn("score", want.score("features") if want.trees else F.lit(0.0))
+        want.trees.append(boosting.grow(boosting.lambdas(scored, ideals).cache(), edges, 3))
+    folder = os.path.join(shared_root(spark).removeprefix("file://"), "souk")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    got = boosting.fit(rows, 3, 0.3, 3, chunk_rows=chunk_rows)
+    assert not {x for x in os.listdir(folder) if x.startswith(("chunks", "lambdas"))} - before
+    for a, b in zip(got.trees, want.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all()
+        assert a.value == pytest.approx(b.value, rel=1e-9, abs=1e-12)
+
+
 def test_a_tree_of_known_splits(spark):
     rows = spark.createDataFrame([([float(i), float(i % 2)], -1.0 if i < 50 else 2.0, 1.0) for i in range(100)], "features array<double>, gradient double, curvature double")
     tree = boosting.grow(rows, boosting.bin_edges(rows, 2), 2)
