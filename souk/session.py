@@ -26,6 +26,21 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
 
 
+#: Removes a query's shuffle files when it ends; else they stay until the driver collects its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files behind."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before else spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def build_session(app: str = "souk", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the operators rely on (UTC clock, AQE with skew-join splitting)."""
     builder = (
