@@ -9,9 +9,9 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 
@@ -19,6 +19,8 @@ from souk.operators.blocks import LEFT_ROWS, RIGHT_ROWS, reduce_block_pairs
 # probes. Vectors without any clusters, the worst case, need that many for a recall of 0.9; `tuned` finds fewer where fewer do.
 SAMPLE_ROWS, LIST_ROWS, ROUNDS, PROBE_SHARE = 16_384, 40, 5, 0.65
 RESCORED = 4  # times k: code scores of a block that are compared in full
+# Rows of the index and queries that a task of the approximate search holds, queries that it scores at a time, and tasks per core.
+TASK_INDEX, TASK_QUERIES, SCORED_QUERIES, TASKS = 131_072, 65_536, 512, 4
 CENTROID_DIGITS = 6
 SCORE_DIGITS = 9  # scores are rounded here, so that the order of a sum cannot change a rank
 
@@ -191,39 +193,188 @@ def _in_lists(df: DataFrame, vector: str, lists: ListIndex, probes: int) -> Data
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField("list_group", LongType()), StructField("lists", ArrayType(IntegerType()))]))
 
 
-def _rescored(k: int, depth: int, known: ListIndex):
-    """A reducer: code scores within probed lists, then exact scores of the ``depth`` best of each query."""
+@dataclass(frozen=True)
+class _Layout:
+    """Where rows of the index go: blocks per group of lists, numbered through, and the part of the index that a block belongs to."""
 
-    def reduce(queries: pa.Table, items: pa.Table) -> pa.Table:
-        items = items.take(pc.sort_indices(items["item_id"]))
-        rows, picks, scores = [], [], []
-        if queries.num_rows and items.num_rows:
-            asked, index = _unit_rows(_matrix(queries["query_vec"])), _unit_rows(_matrix(items["item_vec"]))
-            own, lists = items["lists"].combine_chunks().flatten().to_numpy(), queries["lists"].combine_chunks()
-            codes = asked @ known.rebuilt(index, own).T
-            probed = np.zeros((queries.num_rows, len(known.centroids)), bool)
-            probed[np.repeat(np.arange(queries.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
-            codes[~probed[:, own]] = -np.inf
-            best = min(depth, codes.shape[1])
-            floors = np.partition(codes, codes.shape[1] - best, axis=1)[:, codes.shape[1] - best]
-            for row, (line, floor) in enumerate(zip(codes, floors)):
-                tied = np.flatnonzero((line >= floor) & (line > -np.inf))
-                kept = np.sort(tied[np.argsort(-line[tied], kind="stable")][:best])
-                exact = np.round(index[kept] @ asked[row], SCORE_DIGITS)
-                top = np.argsort(-exact, kind="stable")[:k]
-                rows.append(np.full(len(top), row))
-                picks.append(kept[top])
-                scores.append(exact[top])
-        at = np.concatenate(rows) if rows else np.empty(0, int)
-        of = np.concatenate(picks) if picks else np.empty(0, int)
-        return pa.table(
-            {
-                "query_id": queries["query_id"].take(pa.array(at)), "item_id": items["item_id"].take(pa.array(of)),
-                "score": pa.array(np.concatenate(scores) if scores else np.empty(0), pa.float64()),
-            }
-        )
+    blocks: np.ndarray
+    parts: np.ndarray
 
-    return reduce
+    @property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.blocks) - self.blocks
+
+    def reach(self, lists: ListIndex) -> np.ndarray:
+        """Which parts a list has rows in, a line per list."""
+        out = np.zeros((len(lists.centroids), int(self.parts.max()) + 1), bool)
+        for at, group in enumerate(lists.groups):
+            out[at, self.parts[self.first[group] : self.first[group] + self.blocks[group]]] = True
+        return out
+
+
+def _layout(sizes: np.ndarray, index_rows: int, task_rows: int) -> _Layout:
+    """Blocks of about ``index_rows`` within a group, and parts of as many neighbouring blocks as have ``task_rows``."""
+    blocks = -(-sizes // index_rows)
+    rows = np.repeat(sizes / np.maximum(blocks, 1), blocks)
+    return _Layout(blocks, ((np.cumsum(rows) - rows / 2) // task_rows).astype(np.int64))
+
+
+def _own_lists(column: pa.Array, lists: ListIndex) -> np.ndarray:
+    return (_unit_rows(_matrix(pa.chunked_array([column]))) @ lists.centroids.T).argmax(axis=1)
+
+
+def _group_sizes(index: DataFrame, lists: ListIndex) -> np.ndarray:
+    """Rows of the index per group of lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(int(lists.groups.max()) + 1, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                n += np.bincount(lists.groups[_own_lists(batch.column(0), lists)], minlength=len(n))
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["g", "n"])
+
+    out = np.zeros(int(lists.groups.max()) + 1, np.int64)
+    for r in index.select("item_vec").mapInArrow(run, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect():
+        out[r.g] = r.n
+    return out
+
+
+def _filed(index: DataFrame, lists: ListIndex, layout: _Layout) -> DataFrame:
+    """The index with each row's ``list``, ``block`` and ``part``."""
+    hashed = index.withColumn("hash", F.xxhash64("item_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                own = _own_lists(batch.column("item_vec"), lists)
+                group = lists.groups[own]
+                block = layout.first[group] + batch.column("hash").to_numpy() % layout.blocks[group]
+                new = [pa.array(x.astype(np.int32)) for x in (own, block, layout.parts[block])]
+                yield pa.RecordBatch.from_arrays([batch.column("item_id"), batch.column("item_vec"), *new], ["item_id", "item_vec", "list", "block", "part"])
+
+    return hashed.mapInArrow(run, StructType([*index.schema.fields, *[StructField(c, IntegerType()) for c in ("list", "block", "part")]]))
+
+
+def _asking(queries: DataFrame, lists: ListIndex, layout: _Layout) -> DataFrame:
+    """A row per query and ``part`` with any list that it probes; ``probed`` has a bit per list."""
+    reach = layout.reach(lists)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = np.argsort(-(_unit_rows(_matrix(pa.chunked_array([batch.column("query_vec")]))) @ lists.centroids.T), axis=1, kind="stable")[:, : lists.probes]
+            probed = np.zeros((len(near), len(lists.centroids)), bool)
+            np.put_along_axis(probed, near, True, axis=1)
+            bits = pa.array([x.tobytes() for x in np.packbits(probed, axis=1)], pa.binary())
+            for part in range(reach.shape[1]):
+                rows = pa.array(np.flatnonzero(probed[:, reach[:, part]].any(axis=1)))
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.take(rows).columns, bits.take(rows), pa.array(np.full(len(rows), part, np.int32))], [*batch.schema.names, "probed", "part"]
+                    )
+
+    return queries.mapInArrow(run, StructType([*queries.schema.fields, StructField("probed", BinaryType()), StructField("part", IntegerType())]))
+
+
+def _merged(best: np.ndarray, places: np.ndarray, rows: np.ndarray, scores: np.ndarray, items: np.ndarray) -> None:
+    """Puts scored items among the best of their rows; equal scores go to the item that stands first."""
+    k, some = best.shape[1], np.unique(rows)
+    row = np.concatenate([rows, np.repeat(some, k)])
+    score, item = np.concatenate([scores, best[some].ravel()]), np.concatenate([items, places[some].ravel()])
+    order = np.lexsort((item, -score, row))
+    row, score, item = row[order], score[order], item[order]
+    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+    kept = rank < k
+    best[row[kept], rank[kept]], places[row[kept], rank[kept]] = score[kept], item[kept]
+
+
+def _best_of_block(asked: np.ndarray, unit: np.ndarray, rebuilt: np.ndarray, probed: np.ndarray, lists: np.ndarray, depth: int,
+                   floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, item, score)`` of what can be among the best by full score, of each row's ``depth`` best by code in its probed lists.
+
+    ``floor`` is the score that a row has to reach. A code score is off by no more than what the code differs by from its vector, so
+    single precision tells what cannot reach it; of the rest that does, an item counts if fewer than ``depth`` codes are above its own.
+    Rows without a floor, or whose codes are too near to tell, rank all their codes.
+    """
+    blur = 1e-6 * unit.shape[1]  # of a score in single precision
+    known = np.flatnonzero(floor > -np.inf)
+    ranked = np.ones(len(asked), bool)
+    row = item = np.empty(0, np.int64)
+    if len(known):
+        ranked[known] = False
+        codes = asked[known].astype(np.float32) @ rebuilt.astype(np.float32).T
+        off = (np.linalg.norm(unit - rebuilt, axis=1) + blur).astype(np.float32)
+        at, item = np.divmod(np.flatnonzero(codes + off >= (floor[known] - blur).astype(np.float32)[:, None]), len(off))
+        kept = probed[known[at], lists[item]]
+        at, item = at[kept], item[kept]
+        kept = np.einsum("ij,ij->i", unit[item], asked[known[at]]) >= floor[known[at]] - 10.0**-SCORE_DIGITS
+        at, item = at[kept], item[kept]
+        lowest = np.full(len(known), np.inf, np.float32)
+        np.minimum.at(lowest, at, codes[at, item])
+        crowded = np.count_nonzero(codes > (lowest - blur).astype(np.float32)[:, None], axis=1) > depth
+        counts, asking = np.ones(len(at), bool), np.flatnonzero(crowded[at])
+        for start in range(0, len(asking), 256):
+            one = asking[start : start + 256]
+            own, open_ = codes[at[one], item[one]][:, None], probed[known[at[one]]][:, lists]
+            counts[one] = np.count_nonzero((codes[at[one]] > own - blur) & open_, axis=1) <= depth  # its own is one of them
+            unsure = ~counts[one] & (np.count_nonzero((codes[at[one]] > own + blur) & open_, axis=1) < depth)
+            ranked[known[at[one[unsure]]]] = True
+        row = known[at]
+        kept = counts & ~ranked[row]
+        row, item = row[kept], item[kept]
+    rows, items = [row], [item]
+    ranked = np.flatnonzero(ranked)
+    codes = asked[ranked] @ rebuilt.T
+    np.copyto(codes, -np.inf, where=~probed[ranked][:, lists])
+    best = min(depth, codes.shape[1])
+    for row, line in zip(ranked, codes):
+        lowest = np.partition(line, len(line) - best)[len(line) - best]
+        tied = np.flatnonzero((line >= lowest) & (line > -np.inf))
+        kept = tied[np.argsort(-line[tied], kind="stable")][:best]
+        rows.append(np.full(len(kept), row))
+        items.append(kept)
+    row, item = np.concatenate(rows), np.concatenate(items)
+    return row, item, np.round(np.einsum("ij,ij->i", unit[item], asked[row]), SCORE_DIGITS)
+
+
+def _searched(k: int, depth: int, known: ListIndex):
+    """One part of the index and some queries that probe it: per query, the ``k`` best of what each block's codes leave to compare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        del held
+        index = table.filter(pc.is_valid(table["block"])).select(["item_id", "item_vec", "list", "block"])
+        asking = table.filter(pc.is_null(table["block"])).select(["query_id", "query_vec", "probed"])
+        del table
+        if not index.num_rows or not asking.num_rows:
+            return
+        index = index.take(pc.sort_indices(index["item_id"], null_placement="at_start")).combine_chunks()
+        asked, block, own = _unit_rows(_matrix(asking["query_vec"])), index["block"].to_numpy(), index["list"].to_numpy()
+        bits = np.frombuffer(b"".join(asking["probed"].to_pylist()), np.uint8).reshape(len(asked), -1)
+        best, places = np.full((len(asked), k), -np.inf), np.full((len(asked), k), -1)
+        for of in np.unique(block):
+            at = np.flatnonzero(block == of)
+            unit, lists = _unit_rows(_matrix(index["item_vec"].take(pa.array(at)))), own[at]
+            rebuilt = known.rebuilt(unit, lists)
+            here, lists = np.unique(lists, return_inverse=True)
+            for start in range(0, len(asked), SCORED_QUERIES):
+                probed = np.unpackbits(bits[start : start + SCORED_QUERIES], axis=1)[:, here].astype(bool)
+                some = start + np.flatnonzero(probed.any(axis=1))
+                if not len(some):
+                    continue
+                row, item, score = _best_of_block(asked[some], unit, rebuilt, probed[some - start], lists, depth, best[some, k - 1])
+                if len(row):
+                    _merged(best, places, some[row], score, at[item])
+        row, rank = np.nonzero(places >= 0)
+        found = pa.table({"query_id": asking["query_id"].take(pa.array(row)), "item_id": index["item_id"].take(pa.array(places[row, rank])), "score": pa.array(best[row, rank])})
+        yield from found.combine_chunks().to_batches(max_chunksize=65_536)
+
+    return run
 
 
 def knn_lists(
@@ -234,22 +385,40 @@ def knn_lists(
     """Approximate neighbours from inverted lists: ``(query_id, item_id, score, rank)``.
 
     A row is filed in the list of its nearest centroid, and a query probes its nearest lists. There four-bit codes are
-    scored, and only the ``depth`` best of a query (four times ``k``) are compared in full, per block of the index. Queries
-    are sent once to a group of lists with the names of those they probe; a crowded group is cut into blocks.
+    scored, and only the ``depth`` best of a query (four times ``k``) are compared in full, per block of the index: a group
+    of lists, or a share of a crowded one. A task holds a part of the index, many blocks, and as many queries as it can (at least
+    ``query_rows``), so that a query is sent once to a part and the index not often.
     ``lists`` is fitted on the index unless given. A null vector has no neighbours and is none.
     """
+    spark = queries.sparkSession
     lists = lists or train_lists(index, item_id, item_vec, group_rows=index_rows)
     left, right = _sides(queries, index, query_id, query_vec, item_id, item_vec)
-    partial = reduce_block_pairs(
-        _in_lists(left, "query_vec", lists, lists.probes), _in_lists(right, "item_vec", lists, 1), ["list_group"], "query_id", "item_id",
-        _rescored(k, depth or RESCORED * k, lists), _result_schema(left, right), query_rows, index_rows,
-    )
+    schema = _result_schema(left, right)
+    asking, sizes = left.count(), _group_sizes(right, lists) if not right.isEmpty() else np.zeros(1, np.int64)
+    if not (asking and sizes.any()):
+        return topk_per_query(spark.createDataFrame([], schema), k)
+    layout = _layout(sizes, index_rows, max(index_rows, TASK_INDEX))
+    parts = int(layout.parts.max()) + 1
+    slices = max(-(-asking // TASK_QUERIES), min(-(-asking // query_rows), -(-TASKS * spark.sparkContext.defaultParallelism // parts)))
+
+    def none(df: DataFrame, *names: str) -> list[Column]:
+        return [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in names]
+
+    asked, held = _asking(left, lists, layout), _filed(right, lists, layout)
+    cells = held.select(
+        F.explode(F.sequence(F.col("part") * slices, (F.col("part") + 1) * slices - 1)).alias("cell"), *none(asked, "query_id", "query_vec", "probed"),
+        "item_id", "item_vec", "list", "block",
+    ).union(asked.select(
+        (F.col("part") * slices + F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int")).alias("cell"), "query_id", "query_vec", "probed",
+        *none(held, "item_id", "item_vec", "list", "block"),
+    ))
+    partial = cells.repartitionById(parts * slices, "cell").mapInArrow(_searched(k, depth or RESCORED * k, lists), schema)
     return topk_per_query(partial, k)
 
 
 def comparisons(queries: DataFrame, index: DataFrame, k: int, lists: ListIndex, depth: int | None = None, query_vec: str = "embedding",
                 item_vec: str = "embedding") -> DataFrame:
-    """One row: ``pairs``, those ``scored`` by code, and at most how many are compared in ``full``."""
+    """One row: ``pairs``, those ``scored`` by code, and at most how many the codes leave to compare in ``full``."""
     def filed(df: DataFrame, vector: str, probes: int) -> DataFrame:
         return _in_lists(df.select(vector).filter(F.col(vector).isNotNull()), vector, lists, probes).select("list_group", F.explode("lists").alias("list"))
 

@@ -106,6 +106,40 @@ def test_lists_in_one_hot_list_ties_and_odd_rows(spark):
     assert retrieval.knn_lists(q, df.limit(0), 5).count() == retrieval.knn_lists(q.limit(0), df, 5).count() == 0
 
 
+@pytest.mark.parametrize("task_index,task_queries", [(131_072, 65_536), (90, 70)])
+def test_lists_are_searched_block_by_block_in_any_parts(spark, monkeypatch, task_index, task_queries):
+    """The ``depth`` best by code of every block, then the best of these; and a query goes once to a part, not to every block."""
+    monkeypatch.setattr(retrieval, "TASK_INDEX", task_index)
+    monkeypatch.setattr(retrieval, "TASK_QUERIES", task_queries)
+    rng = np.random.default_rng(8)
+    items = np.concatenate([rng.normal(size=(300, 8)), np.repeat(rng.normal(size=(10, 8)), 30, axis=0)])
+    k, depth, index_rows, df = 5, 9, 40, table(spark, items)
+    q = df.withColumnRenamed("item_id", "query_id")
+    lists = retrieval.train_lists(df, list_rows=20, group_rows=60)
+    got = {(r.query_id, r["rank"]): (r.item_id, r.score) for r in retrieval.knn_lists(q, df, k, lists, depth, query_rows=50, index_rows=index_rows).collect()}
+
+    unit = items.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = np.argsort(-(unit @ lists.centroids.T), axis=1, kind="stable")
+    own, rebuilt = near[:, 0], lists.rebuilt(unit, near[:, 0])
+    hashed = np.array([r.h for r in df.orderBy("item_id").select(F.xxhash64("item_id").alias("h")).collect()])
+    held = np.bincount(lists.groups[own])
+    block = lists.groups[own] * 1000 + hashed % -(-held // index_rows)[lists.groups[own]]
+    assert len(np.unique(block)) > 10
+    for query in range(len(items)):
+        probed, found = set(near[query, : lists.probes]), []
+        for of in np.unique(block):
+            inside = [i for i in np.flatnonzero(block == of) if own[i] in probed]
+            code = {i: round(float(unit[query] @ rebuilt[i]), 12) for i in inside}
+            found += [(-round(float(unit[query] @ unit[i]), 9), i) for i in sorted(inside, key=lambda i: (-code[i], i))[:depth]]
+        for place, (score, i) in enumerate(sorted(found)[:k], 1):
+            assert got[query, place] == (i, pytest.approx(-score, abs=2e-9))
+    layout = retrieval._layout(held, index_rows, task_index)
+    asked = retrieval._asking(q.withColumnRenamed("embedding", "query_vec"), lists, layout)
+    assert asked.count() <= len(items) * -(-len(items) // task_index)
+    assert asked.groupBy("query_id", "part").count().filter("count > 1").isEmpty()
+
+
 def test_normalising_keeps_zero_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<double>")
     assert [r[0] for r in df.select(V.l2_normalize(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
