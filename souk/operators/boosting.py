@@ -271,11 +271,16 @@ def _places(score: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray,
     return place, rows
 
 
-def _list_gradients(score: np.ndarray, gain: np.ndarray, starts: np.ndarray, ideals: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """What ``lambdas`` gives for whole queries, one run of rows each, in the order of their items."""
+def _list_gradients(score: np.ndarray, gain: np.ndarray, starts: np.ndarray, ideals: np.ndarray, unnamed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``lambdas`` gives for whole queries, one run of rows each, in the order of their items.
+
+    As there, ``unnamed`` rows, those without an item, may be among the best that others are held against, but have no place themselves.
+    """
     place, rows = _places(score, starts, k)
+    place[unnamed] = k
     there = rows >= 0
     g, h, more_g, more_h = _pairs(score, gain, place, starts, np.where(there, score[rows], 0.0), np.where(there, gain[rows], 0.0), there, ideals)
+    there &= ~np.isin(rows, unnamed)
     g[rows[there]] += more_g[there]
     h[rows[there]] += more_h[there]
     return g, h
@@ -305,7 +310,7 @@ def _blob(x: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes()], pa.binary())
 
 
-_CHUNK = ("chunk", "crowd", "items", "starts", "ideals", "gains", "codes", "raw", "gradient", "curvature", "more")
+_CHUNK = ("chunk", "crowd", "items", "unnamed", "starts", "ideals", "gains", "codes", "raw", "gradient", "curvature", "more")
 
 
 class _Chunks:
@@ -351,9 +356,9 @@ class _Chunks:
             gain, crowd = t["gain"].to_numpy(), t["crowd"][0].as_py()
             x = t["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
             items = pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t["item"].combine_chunks()) if crowd is not None else pa.nulls(1, types[2])
-            none = _blob(np.empty(0))
+            unnamed, none = np.flatnonzero(t["item"].is_null().to_numpy()), _blob(np.empty(0))
             ideals = _ideals(gain, starts, k) if crowd is None else np.empty(0)
-            values = [pa.array([number], pa.int64()), pa.array([crowd], pa.int64()), items, _blob(starts), _blob(ideals), _blob(gain), _blob(bins.codes(x)),
+            values = [pa.array([number], pa.int64()), pa.array([crowd], pa.int64()), items, _blob(unnamed), _blob(starts), _blob(ideals), _blob(gain), _blob(bins.codes(x)),
                       _blob(np.zeros(t.num_rows)), none, none, none]
             return pa.RecordBatch.from_arrays([v.cast(kind) for v, kind in zip(values, types)], names)
 
@@ -366,7 +371,7 @@ class _Chunks:
             def emitted(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
                 """Runs of whole queries make one chunk, each run of a crowded one a chunk of its own."""
                 nonlocal number
-                types = [pa.int64(), pa.int64(), pa.list_(t["item"].type), *[pa.binary()] * 8]
+                types = [pa.int64(), pa.int64(), pa.list_(t["item"].type), *[pa.binary()] * 9]
                 crowded = ~np.isnan(t["crowd"].to_numpy(zero_copy_only=False).astype(float))[starts[:-1]]
                 lone = [np.array([i]) for i in np.flatnonzero(crowded)]
                 for some in [*lone, *([np.flatnonzero(~crowded)] if (~crowded).any() else [])]:
@@ -395,7 +400,7 @@ class _Chunks:
                 ids = t["run"].to_numpy()
                 yield from emitted(t, np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [n]]))
 
-        kinds = ["bigint", "bigint", f"array<{self.item_type}>", *["binary"] * 8]
+        kinds = ["bigint", "bigint", f"array<{self.item_type}>", *["binary"] * 9]
         return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in zip(_CHUNK, kinds)))
 
     def _best(self, rate: float, tree: Tree | None) -> dict[int, _Crowd]:
@@ -423,7 +428,9 @@ class _Chunks:
         )
         order = Window.partitionBy("crowd").orderBy(F.desc("score"), "item", "chunk", "at")
         found: dict[int, list] = {c: [] for c in self.crowds}
-        for r in near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("crowd", "chunk", "at", "score", "gain", "rank").collect():
+        for r in near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+            "crowd", F.when(F.col("item").isNull(), -1).otherwise(F.col("chunk")).alias("chunk"), "at", "score", "gain", "rank"
+        ).collect():  # an unnamed row is in no chunk
             found[r.crowd].append(r)
         out = {}
         for c, rows in found.items():
@@ -447,7 +454,7 @@ class _Chunks:
                     starts, crowd = np.frombuffer(one.column("starts")[0].as_buffer(), np.int64), one.column("crowd")[0].as_py()
                     more = np.empty(0)
                     if crowd is None:
-                        g, h = _list_gradients(rate * raw, gain, starts, _floats(one, "ideals", 0), k)
+                        g, h = _list_gradients(rate * raw, gain, starts, _floats(one, "ideals", 0), np.frombuffer(one.column("unnamed")[0].as_buffer(), np.int64), k)
                     else:
                         known, place = crowds[crowd], np.full(len(raw), len(crowds[crowd].at))
                         for p, (chunk, at) in enumerate(known.at):
