@@ -180,6 +180,18 @@ def test_embeddings_take_ids_of_any_type(clustered):
     assert {r.item_id for r in items.collect()} == {f"i-{i}" for i in range(30)}
 
 
+def test_trained_vectors_are_searched_in_any_parts(clustered, monkeypatch):
+    """The way of ``train_embeddings``: ids of any type, from events to neighbours, whatever share of them a task holds."""
+    named = clustered.select(F.concat(F.lit("u"), "user_id").alias("user_id"), F.concat(F.lit("i"), "item_id").alias("item_id"), "event_type")
+    found = []
+    for index, queries in ((131_072, 65_536), (7, 20)):
+        monkeypatch.setattr(retrieval, "TASK_INDEX", index)
+        monkeypatch.setattr(retrieval, "TASK_QUERIES", queries)
+        users, items = models.train_embeddings(named, F.lit(1.0), dim=4, epochs=2)
+        found.append(sorted(map(tuple, retrieval.knn_lists(users, items, 5, index_rows=7).collect())))
+    assert found[0] == found[1] and len(found[0]) == 60 * 5
+
+
 def test_rankers_order_their_training_data(spark, clustered):
     users = clustered.groupBy("user_id").agg(F.count_if(F.col("event_type") == "view").alias("user_view_count"),
                                              F.count_if(F.col("event_type") == "purchase").alias("user_purchase_count"))
