@@ -1,5 +1,6 @@
 """Retrieval, ranking, ordered totals, point-in-time joins and interleaving against brute force."""
 
+import functools
 import hashlib
 import os
 from datetime import datetime, timedelta
@@ -278,6 +279,21 @@ def test_recommend_and_search_for_known_and_unknown_ids(spark):
     assert body.item_id == ["i2", "i1"] and body.ctr[0] > body.ctr[1]
 
 
+def test_recommendations_from_lists_do_not_depend_on_parts(spark, monkeypatch):
+    """The way of ``recommend_trained``: every user gets the same list, however few rows a task holds."""
+    rng = np.random.default_rng(4)
+    index = table(spark, rng.normal(size=(300, 8)))
+    users = spark.createDataFrame([(u, 4, 2, 0.5) for u in range(100)], "user_id long, user_view_count bigint, user_purchase_count bigint, user_conversion_rate double")
+    items = spark.createDataFrame([(i, "c", float(i), i % 7) for i in range(250)], "item_id long, category string, base_price double, popularity bigint")
+    vectors, found = index.filter("item_id < 120").withColumnRenamed("item_id", "user_id"), []
+    for held, asked in ((131_072, 65_536), (64, 30)):
+        monkeypatch.setattr(retrieval, "TASK_INDEX", held)
+        monkeypatch.setattr(retrieval, "TASK_QUERIES", asked)
+        near = functools.partial(retrieval.knn_lists, index_rows=32)
+        found.append(sorted(map(tuple, serving.batch_recommend(vectors, index, users, items, 10, nearest=near).collect())))
+    assert found[0] == found[1] and len(found[0]) == 120 * 10
+
+
 def test_null_scores_rank_last_in_both_ways(spark):
     df = spark.createDataFrame([("q", 1, 5.0), ("q", 2, None), ("q", 3, 9.0)], "user_id string, item_id int, s double")
     for bounded in (False, True):
